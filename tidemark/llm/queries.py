@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .chat import OP3_SQL, op3_chat_format
+from .embedding_dedup import op2_embedding_dedup
+from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
 
 
 def queries() -> dict[str, Callable]:
-    return {"op3_chat_format": op3_chat_format, "op5_mix_sources": op5_mix_sources}
+    return {
+        "op2_embedding_dedup": op2_embedding_dedup,
+        "op3_chat_format": op3_chat_format,
+        "op5_mix_sources": op5_mix_sources,
+        "op10_minhash_dedup": op10_minhash_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
