@@ -8,16 +8,20 @@ from .chat import OP3_SQL, op3_chat_format
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
+from .substring_dedup import op9_substring_dedup
+from .warc import OP1_SQL, op1_warc_normalise
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_warc_normalise": op1_warc_normalise,
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_chat_format": op3_chat_format,
         "op5_mix_sources": op5_mix_sources,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op5_mix_sources": OP5_SQL}
+    return {"op1_warc_normalise": OP1_SQL, "op3_chat_format": OP3_SQL, "op5_mix_sources": OP5_SQL}
