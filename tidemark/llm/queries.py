@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .chat import OP3_SQL, op3_chat_format
+from .decontaminate import op6_decontaminate
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable]:
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_chat_format": op3_chat_format,
         "op5_mix_sources": op5_mix_sources,
+        "op6_decontaminate": op6_decontaminate,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
     }
