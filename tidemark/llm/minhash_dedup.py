@@ -178,7 +178,8 @@ def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
     classes = connected_components(candidate_edges(sets), "minhash-candidates")
     sizes = classes.groupBy("component").agg(F.count("*").alias("n"))
     members = with_cells(classes.join(sizes, "component"), F.col("n"), CLASS_BLOCK, F.col("node"))
-    members = members.join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
+    # a merge join at every size: the members grow with the corpus and are not for broadcasting
+    members = members.hint("merge").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
     members = members.select("component", "cell", "node", "text").repartition("component", "cell").sortWithinPartitions("component", "cell")
     return members.mapInArrow(_confirmed, "u long, v long")
 
