@@ -4,10 +4,10 @@ A window is ``WINDOW`` consecutive words. Consecutive windows whose least word-g
 same travel together as one packed string, a super-k-mer, to the bucket of that minimiser: every window sends its words
 about three times instead of thirteen, and all copies of a window reach one bucket.
 
-1. Equal super-k-mers are merged with the smallest doc_id before and after the shuffle, so a passage that a third of
-   all documents share arrives once a partition.
-2. In its bucket, windows of all distinct super-k-mers are sorted and compared in full; each gets the smallest doc_id
-   that starts it. Super-k-mers that hold a window with two doc_ids come back with those minima.
+1. Equal super-k-mers of a chunk of documents are merged before the shuffle, so a passage that a third of all
+   documents share arrives once a chunk. What a chunk sends to a bucket is one compressed row: the strings, and the
+   smallest and largest doc_id of each. The number of buckets follows the size of the corpus.
+2. In its bucket, windows are sorted and equal ones counted; each gets the smallest doc_id that starts it. Super-k-mers that hold a window with two doc_ids come back with those minima.
 3. Documents look up their super-k-mers among these: first in a Bloom filter of fixed size, so that few others are
    shuffled, then by a join on the hash of the packed string. What is covered leaves the document.
 """
@@ -15,10 +15,12 @@ about three times instead of thirteen, and all copies of a window reach one buck
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,9 @@ WINDOW = 13
 GRAM = 3
 #: Windows in a super-k-mer at most; longer runs (one word repeated) are cut, which changes no window.
 LONGEST = 64
+#: Bytes of documents that are packed together, and of packed strings that a bucket should hold.
+CHUNK = 8 << 20
+BUCKET_BYTES = 12 << 20
 #: The filter's size in bits; it stays the same for any input (a full one lets all through, which is right but slow).
 FILTER_BITS = 1 << 25
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -84,8 +89,8 @@ class Packed:
         self.data[out] = words.data[inside]
 
 
-def _runs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Packed, np.ndarray, np.ndarray]]:
-    for lo, _, words in word_chunks(texts):
+def _runs(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Packed, np.ndarray, np.ndarray]]:
+    for lo, _, words in word_chunks(texts, size=size):
         row, first, windows, least = super_kmers(words)
         if len(row):
             packed = Packed(words)
@@ -94,50 +99,77 @@ def _runs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
             yield lo + row, first - words.first[row], windows, least, packed, begin, stop
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-        for row, _, _, least, packed, begin, stop in _runs(batch["text"]):
-            data = packed.data.tobytes()
-            strings = [data[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(strings, pa.binary()), pa.array(ids[row], pa.int64())], ["minimiser", "packed", "doc_id"])
-
-
 def _string_keys(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return range_hashes(data, begin, stop, 0).view(np.int64), range_hashes(data, begin, stop, 1).view(np.int64)
 
 
+def _sent(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            for row, _, _, least, packed, begin, stop in _runs(batch["text"], CHUNK):
+                k1, k2 = _string_keys(packed.data, begin, stop)
+                bucket = (least % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((k2, k1, bucket))
+                k1, k2, bucket, doc = k1[order], k2[order], bucket[order], ids[row[order]]
+                starts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (bucket[1:] != bucket[:-1])])
+                low, high, bucket = np.minimum.reduceat(doc, starts), np.maximum.reduceat(doc, starts), bucket[starts]
+                data, begin, stop = packed.data.tobytes(), begin[order[starts]].tolist(), stop[order[starts]].tolist()
+                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+                out = [
+                    (int(bucket[a]), squeeze.compress(b"\n".join([data[x:y] for x, y in zip(begin[a:b], stop[a:b], strict=True)])), low[a:b].tobytes(), high[a:b].tobytes())
+                    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                ]
+                kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "strings", "low", "high"])
+
+    return run
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the super-k-mers that hold a window of more than one doc_id, with each window's smallest doc_id."""
-    for table, group in grouped_batches(batches, ["minimiser"]):
-        table = table.combine_chunks()
-        least, most = table["least"].to_numpy(), table["most"].to_numpy()
-        data, offsets = buffers(table["packed"].cast(pa.large_binary()).combine_chunks().view(pa.large_string()))
-        words = Words(data, offsets)
-        row = words.row_of()
-        n = len(row) - WINDOW + 1
-        at = np.flatnonzero(row[:n] == row[WINDOW - 1 :])
-        begin, stop = words.starts[at], words.ends[at + WINDOW - 1]
-        a, b = range_hashes(data, begin, stop, 0), range_hashes(data, begin, stop, 1)
-        owner = row[at]
-        order = np.lexsort((b, a, group[owner]))
-        new = np.ones(len(order), bool)
-        x, y = order[1:], order[:-1]
-        new[1:] = (a[x] != a[y]) | (b[x] != b[y]) | (group[owner[x]] != group[owner[y]])
-        starts = np.flatnonzero(new)
-        number = np.cumsum(new) - 1
-        lowest = np.minimum.reduceat(least[owner[order]], starts) if len(starts) else np.zeros(0, np.int64)
-        highest = np.maximum.reduceat(most[owner[order]], starts) if len(starts) else np.zeros(0, np.int64)
-        first, many = np.empty(len(order), np.int64), np.empty(len(order), bool)
-        first[order] = lowest[number]
-        many[order] = (lowest != highest)[number]
-        hit = np.unique(owner[many])
-        if len(hit):
-            bounds = np.searchsorted(owner, np.r_[hit, hit[-1] + 1])
-            ends = np.r_[np.searchsorted(owner, hit, "right")]
-            lists = [first[s:e] for s, e in zip(bounds[:-1], ends, strict=True)]
-            k1, k2 = _string_keys(data, offsets[hit], offsets[hit + 1])
-            yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(lists, pa.list_(pa.int64()))], ["k1", "k2", "firsts"])
+    for table, group in grouped_batches(batches, ["bucket"], 1):
+        cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            found = _bucket(table.slice(lo, hi - lo))
+            if found is not None:
+                yield found
+
+
+def _bucket(table: pa.Table) -> pa.RecordBatch | None:
+    inflate = zstandard.ZstdDecompressor()
+    low = np.concatenate([np.frombuffer(x, np.int64) for x in table["low"].to_pylist()])
+    high = np.concatenate([np.frombuffer(x, np.int64) for x in table["high"].to_pylist()])
+    data = np.frombuffer(b"".join([inflate.decompress(x) + b"\n" for x in table["strings"].to_pylist()]), np.uint8)
+    ends = np.flatnonzero(data == 10)
+    offsets = np.r_[0, ends + 1]
+    words = Words(data, offsets)
+    row = words.row_of()
+    at = np.flatnonzero(row[: max(0, len(row) - WINDOW + 1)] == row[WINDOW - 1 :])
+    begin, stop = words.starts[at], words.ends[at + WINDOW - 1]
+    a, b = range_hashes(data, begin, stop, 0), range_hashes(data, begin, stop, 1)
+    owner = row[at]
+    order = np.lexsort((b, a))
+    new = np.r_[True, (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])]
+    number = np.cumsum(new) - 1
+    lowest = np.minimum.reduceat(low[owner[order]], np.flatnonzero(new))
+    highest = np.maximum.reduceat(high[owner[order]], np.flatnonzero(new))
+    first, many = np.empty(len(order), np.int64), np.empty(len(order), bool)
+    first[order] = lowest[number]
+    many[order] = (lowest != highest)[number]
+    hit = np.unique(owner[many])
+    if not len(hit):
+        return None
+    k1, k2 = _string_keys(data, offsets[hit], ends[hit])
+    once = np.lexsort((k2, k1))
+    once = once[np.r_[True, (k1[once[1:]] != k1[once[:-1]]) | (k2[once[1:]] != k2[once[:-1]])]]
+    hit, k1, k2 = hit[once], k1[once], k2[once]
+    left, right = np.searchsorted(owner, hit, "left"), np.searchsorted(owner, hit, "right")
+    sizes = right - left
+    pick = np.repeat(left - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(first[pick]))
+    return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), lists], ["k1", "k2", "firsts"])
 
 
 def _bits(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
@@ -170,16 +202,17 @@ def key_filter(shared: DataFrame) -> np.ndarray:
 
 def shared_super_kmers(docs: DataFrame) -> DataFrame:
     """``k1``, ``k2`` (hashes of the packed string), ``firsts``: super-k-mers with a window that several documents hold."""
-    sent = docs.mapInArrow(_packed, "minimiser long, packed binary, doc_id long")
-    distinct = sent.groupBy("minimiser", "packed").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    buckets = distinct.repartition("minimiser").sortWithinPartitions("minimiser")
-    return buckets.mapInArrow(_shared, "k1 long, k2 long, firsts array<long>")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(64, math.ceil(3 * size / BUCKET_BYTES))
+    sent = docs.mapInArrow(_sent(buckets), "bucket long, strings binary, low binary, high binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "k1 long, k2 long, firsts array<long>")
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``spans``: for each document with something to remove, word runs (first, end) that are covered."""
     spark = docs.sparkSession
     shared = written(shared_super_kmers(docs), "super-kmers")
+    spark.sparkContext._jvm.System.gc()  # lets the cleaner drop the shuffle that is done with
     bits = spark.sparkContext.broadcast(np.packbits(key_filter(shared)).tobytes())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
