@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, buffers, mixed
+from .bytewords import LOWER, buffers
 
 Q = 8
 #: Edits allowed, as a share of the item's length: q-gram bound above 0 needs less than 1 / Q.
@@ -44,13 +44,14 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, np.searchsorted(at, offsets), at
 
 
-def gram_hashes(data: np.ndarray, q: int = Q) -> np.ndarray:
-    """A hash for each ``q`` neighbouring bytes (over the whole buffer; those across texts are the caller's to skip)."""
-    n = max(0, len(data) - q + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(q):
-        out = out * _MULTIPLIER + data[k : k + n]
-    return mixed(out)
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Each ``Q`` = 8 neighbouring bytes as one number, scattered (over the whole buffer, also across texts)."""
+    n = max(0, len(data) - Q + 1)
+    out = np.empty(n, np.uint64)
+    for k in range(min(Q, n)):
+        some = (n - k + Q - 1) // Q
+        out[k::Q] = np.frombuffer(data, np.uint64, some, k)
+    return out * _MULTIPLIER
 
 
 class Index:
@@ -61,7 +62,7 @@ class Index:
     def __init__(self, items: list[tuple[int, bytes]]):
         self.ids = [i for i, _ in items]
         self.texts = [np.frombuffer(t, np.uint8) for _, t in items]
-        grams = [gram_hashes(t) for t in self.texts]
+        grams = [gram_hashes(np.ascontiguousarray(t)) for t in self.texts]
         sizes = [len(g) for g in grams]
         keys = np.concatenate([np.zeros(0, np.uint64), *grams])
         item = np.repeat(np.arange(len(items)), sizes)
@@ -85,8 +86,12 @@ class Index:
         at, lo, hi, row = at[inside], lo[inside], hi[inside], row[inside]
         each = hi - lo
         pick = np.repeat(lo - np.r_[0, np.cumsum(each)[:-1]], each) + np.arange(each.sum())
-        item, row = self.item[pick], np.repeat(row, each)
-        diagonal = np.repeat(at, each) - offsets[row] - self.place[pick]
+        item, row, at = self.item[pick], np.repeat(row, each), np.repeat(at, each)
+        # a band can't hold more than its row and item share anywhere: most pairs end here
+        pair = row * len(self.ids) + item
+        enough = (np.bincount(pair) >= np.tile(np.maximum(1, self.bound), len(offsets) - 1)[: pair.max() + 1])[pair] if len(pair) else np.zeros(0, bool)
+        item, row, at, pick = item[enough], row[enough], at[enough], pick[enough]
+        diagonal = at - offsets[row] - self.place[pick]
         # bands of width 2(k + 1) that overlap by half: any k + 1 neighbouring diagonals lie in one of them
         half = self.budget[item] + 1
         band = np.floor_divide(diagonal, half)
