@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from .chat import OP3_SQL, op3_chat_format
+from .ctw import op8_ctw_score
 from .decontaminate import op6_decontaminate
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable]:
         "op5_mix_sources": op5_mix_sources,
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
+        "op8_ctw_score": op8_ctw_score,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
     }
