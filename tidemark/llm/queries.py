@@ -10,6 +10,7 @@ from .decontaminate import op6_decontaminate
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
+from .pii import op4_pii_spans
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op7_toxicity
 from .warc import OP1_SQL, op1_warc_normalise
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable]:
         "op1_warc_normalise": op1_warc_normalise,
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_chat_format": op3_chat_format,
+        "op4_pii_spans": op4_pii_spans,
         "op5_mix_sources": op5_mix_sources,
         "op6_decontaminate": op6_decontaminate,
         "op7_toxicity": op7_toxicity,
