@@ -68,7 +68,9 @@ class Index:
         item = np.repeat(np.arange(len(items)), sizes)
         place = np.concatenate([np.zeros(0, np.int64), *[np.arange(n) for n in sizes]])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.item, self.place = keys[order], item[order], place[order]
+        self.item, self.place = item[order], place[order]
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.first = np.r_[first, len(keys)]
         self.known = np.zeros(1 << self.BITMAP, bool)
         self.known[(self.keys >> np.uint64(64 - self.BITMAP)).astype(np.int64)] = True
         self.budget = np.array([0 if len(t) < SHORT else int(len(t) * EDITS) for t in self.texts], np.int64)
@@ -78,9 +80,10 @@ class Index:
         """Row, item, and the least and greatest diagonal of each band that meets the bound."""
         grams = gram_hashes(data)
         at = np.flatnonzero(self.known[(grams >> np.uint64(64 - self.BITMAP)).astype(np.int64)])
-        lo, hi = np.searchsorted(self.keys, grams[at], "left"), np.searchsorted(self.keys, grams[at], "right")
-        some = hi > lo
-        at, lo, hi = at[some], lo[some], hi[some]
+        number = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
+        some = self.keys[number] == grams[at] if len(self.keys) else np.zeros(len(at), bool)
+        at, number = at[some], number[some]
+        lo, hi = self.first[number], self.first[number + 1]
         row = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[row + 1]
         at, lo, hi, row = at[inside], lo[inside], hi[inside], row[inside]
@@ -115,6 +118,9 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, bu
 
     None if that takes more than ``budget``. Rows are the item's characters; a row is the band, as an array.
     """
+    same_text = text.tobytes().find(item.tobytes(), max(0, low), max(0, high) + len(item) + 1)
+    if same_text >= 0:  # no edits: the alignment is the diagonal itself
+        return 0, same_text, same_text + len(item)
     low, high = low - budget, high + budget
     width = high - low + 1
     places = np.arange(width)
