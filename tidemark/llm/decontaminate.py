@@ -159,12 +159,40 @@ def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
         yield [(i, t) for i, t in items if t]
 
 
+def hits_of(texts: pa.Array, known: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """Row, item_id, start and end (bytes of the text) and edits of each passage in ``texts``."""
+    raw, cuts = buffers(texts)
+    lo = 0
+    while lo < len(texts):  # a few texts at a time, one longer text alone
+        hi = min(len(texts), max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + (1 << 20), "right")) - 1))
+        data, offsets, at = normalised(raw[cuts[lo] : cuts[hi]], cuts[lo : hi + 1] - cuts[lo])
+        best: dict[tuple[int, int, int], tuple[int, int, int]] = {}
+        for row, item, low, high in known.regions(data, offsets):
+            text, budget = data[offsets[row] : offsets[row + 1]], int(known.budget[item])
+            # a piece of the text around the band keeps the alignment as short as the item
+            left = max(0, low - budget)
+            piece = text[left : high + len(known.texts[item]) + 2 * budget + 1]
+            hit = banded_alignment(known.texts[item], piece, low - left, high - left, budget)
+            if hit and hit[2] > hit[1]:
+                key = (row, item, left + hit[2])
+                best[key] = min(best.get(key, (1 << 30, 0, 0)), (hit[0], left + hit[1], left + hit[2]))
+        taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for (row, item, _), (edits, s, e) in sorted(best.items(), key=lambda x: (x[0][0], x[0][1], x[1])):
+            spans = taken.setdefault((row, item), [])
+            if all(e <= a or b <= s for a, b in spans):
+                spans.append((s, e))
+                base, o = cuts[lo + row] - cuts[lo], offsets[row]
+                yield lo + row, known.ids[item], int(at[o + s] - base), int(at[o + e - 1] + 1 - base), edits
+        lo = hi
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``start``, ``end`` (bytes of the text), ``edits``: each passage found, best per place.
 
-    Texts are compared with A-Z lower-cased and runs of ASCII separators and punctuation made one space. Null and empty texts, and items without
-    characters, match nothing; items of fewer than ``Q`` characters can't be told from chance and match nothing
-    either. A document that holds an item several times has a row for each. Other columns are ignored.
+    Texts are compared with A-Z lower-cased and runs of ASCII separators and punctuation made one space. Null and
+    empty texts, and items without characters, match nothing; items of fewer than ``Q`` characters can't be told from
+    chance and match nothing either. A document that holds an item several times has a row for each, and so has each
+    of several equal rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
@@ -175,42 +203,32 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             known = Index(index.value)
             for batch in batches:
-                out = []
-                raw, cuts = buffers(batch["text"])
-                lo = 0
-                while lo < batch.num_rows:  # a few texts at a time, one longer text alone
-                    hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + (1 << 20), "right")) - 1))
-                    data, offsets, at = normalised(raw[cuts[lo] : cuts[hi]], cuts[lo : hi + 1] - cuts[lo])
-                    best: dict[tuple[int, int, int], tuple[int, int, int]] = {}
-                    for row, item, low, high in known.regions(data, offsets):
-                        text = data[offsets[row] : offsets[row + 1]]
-                        # a piece of the text around the band keeps the alignment as short as the item
-                        left = max(0, low - int(known.budget[item]))
-                        piece = text[left : high + len(known.texts[item]) + 2 * int(known.budget[item]) + 1]
-                        hit = banded_alignment(known.texts[item], piece, low - left, high - left, int(known.budget[item]))
-                        if hit and hit[2] > hit[1]:
-                            key = (row, item, left + hit[2])
-                            best[key] = min(best.get(key, (1 << 30, 0, 0)), (hit[0], left + hit[1], left + hit[2]))
-                    taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
-                    for (row, item, _), (edits, s, e) in sorted(best.items(), key=lambda x: (x[0][0], x[0][1], x[1])):
-                        spans = taken.setdefault((row, item), [])
-                        if all(e <= a or b <= s for a, b in spans):
-                            spans.append((s, e))
-                            base = cuts[lo + row] - cuts[lo]
-                            o = offsets[row]
-                            out.append((batch["doc_id"][lo + row].as_py(), known.ids[item], int(at[o + s] - base), int(at[o + e - 1] + 1 - base), edits))
-                    lo = hi
-                columns = list(zip(*out, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "edits"])
+                columns = list(zip(*hits_of(batch["text"], known), strict=True)) or [[]] * 5
+                row = pa.array(columns[0], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["doc_id", "item_id", "start", "end", "edits"])
 
         part = rows.mapInArrow(scan, "doc_id long, item_id long, start long, end long, edits long")
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], "doc_id long, item_id long, start long, end long, edits long") if found is None else found
 
 
+def _is_clean(index):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Index(index.value)
+        for column in texts:
+            clean = np.ones(len(column), bool)
+            clean[[hit[0] for hit in hits_of(column, known)]] = False
+            yield pa.array(clean)
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "boolean")
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark passage; rows without a doc_id stay."""
-    return docs.join(contaminations(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that hold a benchmark passage: a filter, so no text is moved."""
+    for items in blocks_of(benchmark):
+        docs = docs.where(_is_clean(docs.sparkSession.sparkContext.broadcast(items))("text"))
+    return docs
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -202,16 +202,8 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             x = [shared.value.features((t or "").encode(), pair) for t in column.to_pylist()]
             yield pa.array(shared.value.score(np.array(x)) if x else [], pa.float64())
 
-    score = F.arrow_udf(run_hinted(run), "double")
-    return docs.withColumn("score", score("text"))
-
-
-def run_hinted(run):
-    def hinted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from run(texts)
-
-    hinted.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return hinted
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.withColumn("score", F.arrow_udf(run, "double")("text"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
