@@ -5,6 +5,7 @@ Lineage is cut by writing a table there and reading it back: an executor that is
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -52,6 +53,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark's cleaner drop shuffles that no plan refers to any more, before the next large one is written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -26,15 +26,15 @@ from pyspark.sql import functions as F
 
 from .bytewords import Words, buffers, mixed, range_hashes, word_chunks
 from .cells import grouped_batches
-from .storage import written
+from .storage import let_go, written
 
 WINDOW = 13
 GRAM = 3
 #: Windows in a super-k-mer at most; longer runs (one word repeated) are cut, which changes no window.
 LONGEST = 64
 #: Bytes of documents that are packed together, and of packed strings that a bucket should hold.
-CHUNK = 8 << 20
-BUCKET_BYTES = 12 << 20
+CHUNK = 6 << 20
+BUCKET_BYTES = 8 << 20
 #: The filter's size in bits; it stays the same for any input (a full one lets all through, which is right but slow).
 FILTER_BITS = 1 << 25
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -105,13 +105,13 @@ def _string_keys(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple
 
 def _sent(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=5)
         for batch in batches:
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
             for row, _, _, least, packed, begin, stop in _runs(batch["text"], CHUNK):
                 k1, k2 = _string_keys(packed.data, begin, stop)
                 bucket = (least % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((k2, k1, bucket))
+                order = np.lexsort((k2, k1, least, bucket))  # neighbours share their minimiser and compress well
                 k1, k2, bucket, doc = k1[order], k2[order], bucket[order], ids[row[order]]
                 starts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (bucket[1:] != bucket[:-1])])
                 low, high, bucket = np.minimum.reduceat(doc, starts), np.maximum.reduceat(doc, starts), bucket[starts]
@@ -212,7 +212,7 @@ def removals(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``spans``: for each document with something to remove, word runs (first, end) that are covered."""
     spark = docs.sparkSession
     shared = written(shared_super_kmers(docs), "super-kmers")
-    spark.sparkContext._jvm.System.gc()  # lets the cleaner drop the shuffle that is done with
+    let_go(spark)
     bits = spark.sparkContext.broadcast(np.packbits(key_filter(shared)).tobytes())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
