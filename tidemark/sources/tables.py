@@ -10,12 +10,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.merge import keep_last, new_partitions_only
 from ..operators.normalize import conformed, with_fixed
 from ..operators.quality import QualityError, checked
-from ..plans.specs import SPECS, TableSpec, spec
+from ..plans.specs import SPECS, TableSpec, columns, spec
 
 
 class Lake:
@@ -169,7 +168,7 @@ def append_event(spark: SparkSession, path: str, name: str, rows: DataFrame, eve
     event.select(F.lit(event_id).cast("long").alias("event_id"), F.lit(name).alias("dataset"), "*").write.mode("append").json(path)
 
 
-EVENT_SCHEMA = T.StructType.fromDDL("event_id long, dataset string, row_count long, min_date string, max_date string")
+EVENT_SCHEMA = columns("long: event_id; string: dataset; long: row_count; string: min_date max_date")
 
 
 def read_events(spark: SparkSession, path: str, since: int = 0, limit: int = 1000) -> DataFrame:
