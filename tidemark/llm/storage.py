@@ -8,6 +8,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,8 +56,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def let_go(spark: SparkSession) -> None:
     """Have Spark's cleaner drop shuffles that no plan refers to any more, before the next large one is written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python lets go of its handles first, then the JVM can
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def is_empty(df: DataFrame) -> bool:

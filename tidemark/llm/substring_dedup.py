@@ -267,7 +267,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     place is removed at that place in each, so doc_ids should be unique. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    spans = removals(docs.where(F.col("doc_id").isNotNull()))
+    spans = written(removals(docs.where(F.col("doc_id").isNotNull())), "removals")
+    let_go(docs.sparkSession)
     return docs.join(spans, "doc_id", "left").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
 
 
