@@ -130,6 +130,7 @@ class Model:
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary = toxic, ordinary
         self.mean = self.spread = self.weights = np.zeros(0)
+        self.rate = 0.0
 
     def features(self, text: bytes, pair: tuple) -> np.ndarray:
         by_toxic, by_ordinary = pair
@@ -153,11 +154,14 @@ class Model:
             share = labels.mean()
             w[0] += np.log(base_rate / (1 - base_rate)) - np.log(share / (1 - share))
         self.weights = w
+        self.rate = base_rate or float(labels.mean())
         return self
 
     def score(self, x: np.ndarray) -> np.ndarray:
         a = np.c_[np.ones(len(x)), (x - self.mean) / self.spread]
-        return 1 / (1 + np.exp(-np.clip(a @ self.weights, -30, 30)))
+        chance = 1 / (1 + np.exp(-np.clip(a @ self.weights, -30, 30)))
+        # without a window that saves a byte there is no evidence: no more than the share of toxic labels
+        return np.where(x[:, 0] > 0, chance, np.minimum(chance, min(self.rate, THRESHOLD / 2)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -183,12 +187,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     trial = Model(*train_dictionaries(pick(1, seen), pick(0, seen)))
     trial.calibrate([t for t, r in zip(texts, rest, strict=True) if r], toxic[rest], counts[1] / (counts[0] + counts[1]))
     final = Model(*train_dictionaries(pick(1, seen | rest), pick(0, seen | rest)))
-    final.mean, final.spread, final.weights = trial.mean, trial.spread, trial.weights
+    final.mean, final.spread, final.weights, final.rate = trial.mean, trial.spread, trial.weights, trial.rate
     return final
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``score`` in 0..1. Null and empty texts score like a text without savings; without a model all score 0.
+    """``docs`` with ``score`` in 0..1. Null and empty texts, like any text without savings, score no more than the share of toxic labels; without a model all score 0.
 
     Only the text is read; rows are neither joined nor moved, and other columns pass through untouched.
     """
