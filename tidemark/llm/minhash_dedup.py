@@ -9,8 +9,8 @@
 3. Sets that meet under a value count their collisions over the whole signature; those above the threshold are
    candidates. Frequent values are skipped to the end of the order, and long lists are cut into blocks
    (:mod:`.cells`): no list is held whole, no pair leaves a cell, only a spanning forest.
-4. Candidates that hang together form a class. Inside a class links are confirmed on full shingle sets, block against
-   block, and again only a spanning forest leaves.
+4. Candidates that hang together form a class. Inside a class links are confirmed on full shingle sets: blocks against
+   a few pivots first, then blocks against blocks of other components, and again only a spanning forest leaves.
 
 At similarity 0.75 a pair falls below 35 of 64 collisions with probability 1e-4.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .bytewords import mixed, shingle_sets
 from .cells import Forest, grouped_batches, near_pairs, with_cells
 from .graph import connected_components
-from .storage import written
+from .storage import is_empty, written
 
 WIDTH = 5
 COORDINATES = 64
@@ -39,6 +39,7 @@ LINK = 75
 SLOTS = 1 << 18
 BLOCK = 1024
 CLASS_BLOCK = 256
+PIVOTS = 32
 
 _rng = np.random.default_rng(711)
 _A = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -173,15 +174,46 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
+def _in_cells(members: DataFrame) -> DataFrame:
+    cells = members.select("component", "cell", "node", "text").repartition("component", "cell").sortWithinPartitions("component", "cell")
+    return cells.mapInArrow(_confirmed, "u long, v long")
+
+
 def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """``u``, ``v``: a spanning forest of the links, from candidates confirmed on full sets."""
+    """``u``, ``v``: a spanning forest of the links, from candidates confirmed on full sets.
+
+    A class of up to ``CLASS_BLOCK`` documents is one cell. In a larger one, blocks meet a few pivots of the class first:
+    in a group of copies that ties nearly all of them together. After that only blocks that are not parts of one
+    component meet, so a large group costs its stragglers times its size, not its square.
+    """
     classes = connected_components(candidate_edges(sets), "minhash-candidates")
     sizes = classes.groupBy("component").agg(F.count("*").alias("n"))
-    members = with_cells(classes.join(sizes, "component"), F.col("n"), CLASS_BLOCK, F.col("node"))
     # a merge join at every size: the members grow with the corpus and are not for broadcasting
-    members = members.hint("merge").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
-    members = members.select("component", "cell", "node", "text").repartition("component", "cell").sortWithinPartitions("component", "cell")
-    return members.mapInArrow(_confirmed, "u long, v long")
+    members = classes.join(sizes, "component").hint("merge").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
+    members = written(members, "minhash-members")
+    blocks = F.ceil(F.col("n") / F.lit(CLASS_BLOCK)).cast("long")
+    own = F.pmod(F.xxhash64("node"), blocks)
+    is_pivot = (F.col("n") > CLASS_BLOCK) & (F.pmod(F.xxhash64(F.lit(1), F.col("node")), F.ceil(F.col("n") / F.lit(PIVOTS)).cast("long")) == 0)
+    everywhere = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    links = written(_in_cells(members.withColumn("cell", F.explode(F.when(is_pivot, everywhere).otherwise(F.array(own))))), "minhash-first")
+    large = members.where(F.col("n") > CLASS_BLOCK)
+    if is_empty(large):
+        return links
+    parts = large.join(connected_components(links, "minhash-pivots").withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    counts = parts.groupBy("component", "part").agg(F.count("*").alias("held")).where(F.col("held") > CLASS_BLOCK)
+    parts = parts.join(counts, ["component", "part"], "left")
+    # a block is a slice of one large part, or of all that is in no large part
+    settled = F.col("held").isNotNull()
+    slice_ = F.when(settled, F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / F.lit(CLASS_BLOCK)).cast("long"))).otherwise(own)
+    part = F.when(settled, F.col("part"))
+    name = F.concat_ws(":", F.coalesce(part.cast("string"), F.lit("-")), slice_.cast("string"))
+    parts = written(parts.select("component", "node", "text", part.alias("part"), name.alias("block")), "minhash-parts")
+    known = written(parts.groupBy("component", "part", "block").agg(F.count("*").alias("held")), "minhash-blocks")
+    open_, others = known.where("part is null").alias("p"), known.alias("q")
+    loose = open_.join(others, F.expr("p.component = q.component and p.block != q.block"), "left").selectExpr("p.component", "p.block as a", "coalesce(q.block, p.block) as b")
+    apart = known.where("part is not null").alias("p").join(others, F.expr("p.component = q.component and p.part < q.part")).selectExpr("p.component", "p.block as a", "q.block as b")
+    pairs = loose.union(apart).select("component", F.xxhash64(F.least("a", "b"), F.greatest("a", "b")).alias("cell"), F.explode(F.array("a", "b")).alias("block")).distinct()
+    return links.unionByName(_in_cells(parts.join(pairs, ["component", "block"])))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
