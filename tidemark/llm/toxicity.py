@@ -7,7 +7,7 @@ the same bytes both ways; what the toxic dictionary saves on the others is count
 model on these counts, fitted on labelled texts that its dictionaries did not see, turns them into a probability.
 
 The model is fitted on a bounded sample of labelled rows (``TOXIC_ROWS`` and ``ORDINARY_ROWS``, taken by hash of the
-doc_id); scoring is one narrow pass over all documents.
+doc_id, without texts over ``FIT_CHARS``); scoring is one narrow pass over all documents.
 """
 
 from __future__ import annotations
@@ -26,14 +26,16 @@ from .bytewords import LOWER, mixed
 
 TOXIC_ROWS = 1500
 ORDINARY_ROWS = 2500
-#: Characters of a sampled text that are used in fitting, at most (scoring reads whole texts).
-FIT_CHARS = 20_000
+#: Labelled rows with longer texts are not in the sample, which bounds its bytes (scoring reads texts of any length).
+FIT_CHARS = 10_000
 PIECES = (6, 7, 8)
 TOXIC_BYTES = 4000
 ORDINARY_BYTES = 3000
 WINDOW = 64
 SAVINGS = (1, 2, 3, 4, 6)
 THRESHOLD = 0.3
+#: More than the bytes of any sampled text.
+PLACES = 1 << 20
 _GAPS = re.compile(rb"[\x20\x09-\x0D]+")
 _LOWER = bytes(LOWER)
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -72,13 +74,13 @@ def _document_frequencies(texts: list[bytes], n: int) -> tuple[np.ndarray, np.nd
     for i, t in enumerate(texts):
         h, at = np.unique(_piece_hashes(t, n), return_index=True)
         hashes.append(h)
-        places.append(i * FIT_CHARS * 5 + at)
+        places.append(i * PLACES + at)
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
     keys, first, counts = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
     keep = counts >= 3
     where = np.concatenate(places)[first[keep]]
-    return keys[keep], counts[keep], [texts[w // (FIT_CHARS * 5)][w % (FIT_CHARS * 5) : w % (FIT_CHARS * 5) + n] for w in where.tolist()]
+    return keys[keep], counts[keep], [texts[w // PLACES][w % PLACES : w % PLACES + n] for w in where.tolist()]
 
 
 def _laid_out(pieces: list[bytes], size: int) -> bytes:
@@ -172,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     by_hash = F.xxhash64("doc_id")
     sample = known.where("toxic = 1").orderBy(by_hash, "doc_id").limit(TOXIC_ROWS).unionAll(known.where("toxic = 0").orderBy(by_hash, "doc_id").limit(ORDINARY_ROWS))
-    rows = docs.select("doc_id", F.substring("text", 1, FIT_CHARS).alias("text")).where("text is not null").join(F.broadcast(sample), "doc_id")
+    rows = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "toxic"])
     table = rows.toArrow()
     order = np.argsort([zlib.crc32(f"fit{i}".encode()) for i in table["doc_id"].to_pylist()], kind="stable")
     texts = [t.encode() for t in table["text"].take(order).to_pylist()]
