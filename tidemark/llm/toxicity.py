@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from .bytewords import LOWER, mixed
 
-TOXIC_ROWS = 1500
-ORDINARY_ROWS = 2500
+TOXIC_ROWS = 1200
+ORDINARY_ROWS = 2000
 #: Labelled rows with longer texts are not in the sample, which bounds its bytes (scoring reads texts of any length).
 FIT_CHARS = 10_000
 PIECES = (6, 7, 8)
 TOXIC_BYTES = 4000
+#: Pieces of one length that a dictionary is chosen from, at most (it has room for far fewer).
+MOST_PIECES = 20_000
 ORDINARY_BYTES = 3000
 WINDOW = 64
 SAVINGS = (1, 2, 3, 4, 6)
@@ -68,19 +70,22 @@ def _piece_hashes(flat: bytes, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def _document_frequencies(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Hashes of pieces that at least three texts hold, in how many, and the pieces."""
-    hashes, places = [], []
+def _document_frequencies(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of pieces that at least three texts hold, in how many, and where the first of them has each."""
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, t in enumerate(texts):
         h, at = np.unique(_piece_hashes(t, n), return_index=True)
         hashes.append(h)
         places.append(i * PLACES + at)
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
     keys, first, counts = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
     keep = counts >= 3
-    where = np.concatenate(places)[first[keep]]
-    return keys[keep], counts[keep], [texts[w // PLACES][w % PLACES : w % PLACES + n] for w in where.tolist()]
+    return keys[keep], counts[keep], np.concatenate(places)[first[keep]]
+
+
+def _worthiest(texts: list[bytes], n: int, worth: np.ndarray, where: np.ndarray) -> list[tuple[float, bytes]]:
+    """The pieces of most worth, with it; only these become Python objects."""
+    best = np.argsort(-worth, kind="stable")[:MOST_PIECES]
+    return [(-float(worth[i]), texts[w // PLACES][w % PLACES : w % PLACES + n]) for i, w in zip(best, where[best].tolist(), strict=True) if worth[i] > 0]
 
 
 def _laid_out(pieces: list[bytes], size: int) -> bytes:
@@ -99,23 +104,21 @@ def _laid_out(pieces: list[bytes], size: int) -> bytes:
 
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """The toxic and the ordinary dictionary from flattened texts."""
-    worth: dict[bytes, float] = {}
-    usual: dict[bytes, int] = {}
+    worth: list[tuple[float, bytes]] = []
+    usual: list[tuple[float, bytes]] = []
     for n in PIECES:
-        keys, counts, pieces = _document_frequencies(toxic, n)
+        keys, counts, where = _document_frequencies(toxic, n)
         others = np.zeros(len(keys), np.int64)
-        for t in ordinary:
+        for t in ordinary if len(keys) else ():
             h = np.unique(_piece_hashes(t, n))
-            at = np.searchsorted(keys, h)
-            hit = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == h) if len(keys) else np.zeros(len(h), bool)
-            others[at[hit]] += 1
-        gain = counts * np.log((counts + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (others + 0.5))
-        worth |= {p: g for p, g in zip(pieces, gain.tolist(), strict=True) if g > 0}
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            others[at[keys[at] == h]] += 1
+        worth += _worthiest(toxic, n, counts * np.log((counts + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (others + 0.5)), where)
     for n in PIECES:
-        _, counts, pieces = _document_frequencies(ordinary[:1500], n)
-        usual |= dict(zip(pieces, counts.tolist(), strict=True))
-    common = _laid_out(sorted(usual, key=lambda p: (-usual[p], p)), ORDINARY_BYTES) or b" the and of to "
-    return _laid_out(sorted(worth, key=lambda p: (-worth[p], p)), TOXIC_BYTES) + common, common
+        _, counts, where = _document_frequencies(ordinary[: len(ordinary) // 2 + 1], n)
+        usual += _worthiest(ordinary, n, counts.astype(float), where)
+    common = _laid_out([p for _, p in sorted(usual)], ORDINARY_BYTES) or b" the and of to "
+    return _laid_out([p for _, p in sorted(worth)], TOXIC_BYTES) + common, common
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
