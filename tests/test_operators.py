@@ -192,3 +192,43 @@ def test_catalog_and_empty_inputs(spark):
     assert percentile.percentiles(empty, ["v"]).count() == 0
     with pytest.raises(ValueError):
         specs.spec("nothing")
+
+
+def lake_with_sources(spark, root):
+    lake = Lake(spark, root)
+    make = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    lake.write("akshare_cn_stock_spot_quote_eastmoney", make([("2024-01-02", "600000", "Spot", 1.0)], "trade_date string, code string, name string, last_price double"))
+    lake.write("baostock_cn_stock_basic", make([("sh.600000", "B", "1", "1"), ("sz.000001", "C", "1", "1")], "code string, name string, security_type string, listing_status string"))
+    bar = "date string, code string, open double, high double, low double, close double, volume long, amount double"
+    lake.write("baostock_cn_stock_daily_bar_unadjusted", make([("2024-01-02", "sh.600000", 1.0, 2.0, 0.5, 1.5, 10, 1.0)], bar))
+    lake.write("akshare_cn_stock_daily_bar_unadjusted", make([("2024-01-02", "600000", 9.0, 9.0, 9.0, 9.0, 10, 1.0, "daily_bar_confirmed"), ("2024-01-03", "600000", 3.0, 3.0, 3.0, 3.0, 10, 1.0, "daily_bar_confirmed"), ("2024-01-02", "000001", 4.0, 4.0, 4.0, 4.0, 10, 1.0, "spot_quote_close")], bar + ", quality_status string"))
+    lake.write("akshare_cn_stock_valuation_eastmoney", make([("2024-01-02", "600000", 5.0, None)], "date string, code string, close double, pe_ttm double"))
+    lake.write("baostock_cn_stock_valuation_percentile", make([("2024-01-02", "sh.600000", 7.0, 50.0), ("2024-01-03", "sh.600000", 8.0, 60.0)], "date string, code string, pe_ttm double, pe_ttm_percentile_1y double"))
+    return lake
+
+
+def test_derived_build(spark, tmp_path):
+    from tidemark.plans import derived
+
+    lake = lake_with_sources(spark, f"file://{tmp_path}")
+    assert derived.build(lake) == {"cn_stock_daily_bar": 2, "cn_stock_valuation": 1}
+    bars = {(str(r["date"]), r["security_id"]): (r["close"], r["source_dataset"][:4]) for r in lake.read("cn_stock_daily_bar").collect()}
+    assert bars == {("2024-01-02", "SH.600000"): (1.5, "baos"), ("2024-01-03", "SH.600000"): (3.0, "aksh"), ("2024-01-02", "SZ.000001"): (4.0, "aksh")}
+    values = {str(r["date"]): (r["close"], r["pe_ttm"], r["pe_ttm_percentile_1y"], "+" in r["source_dataset"]) for r in lake.read("cn_stock_valuation").collect()}
+    assert values == {"2024-01-02": (5.0, 7.0, 50.0, True), "2024-01-03": (None, 8.0, 60.0, False)}
+    assert derived.build(lake) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 0}
+    lake.write("akshare_cn_stock_daily_bar_unadjusted", spark.createDataFrame([("2024-01-02", "000001", 6.0, 6.0, 6.0, 6.0, 10, 1.0, "daily_bar_confirmed")], "date string, code string, open double, high double, low double, close double, volume long, amount double, quality_status string"))
+    assert derived.build(lake)["cn_stock_daily_bar"] == 1
+    assert lake.read("cn_stock_daily_bar", "SZ.000001").first()["close"] == 6.0 and lake.read("cn_stock_daily_bar").count() == 3
+    assert lake.read("dataset_partition_manifest").where("dataset = 'cn_stock_daily_bar' and source_signature is not null").count() == 2
+
+
+def test_run_metadata(spark, tmp_path):
+    a, b = Lake(spark, f"file://{tmp_path}/a"), Lake(spark, f"file://{tmp_path}/b")
+    runs = registry.outcome_rows(spark.createDataFrame([("d", "c1", 3, None), ("d", "c2", 0, None), ("d", "c3", 0, "boom")], "dataset string, code string, rows long, error string"), "r1")
+    status = spark.createDataFrame([("d", "c1", "failed", "2024-01-01 00:00:00"), ("d", "c1", "success", "2024-01-02 00:00:00")], "dataset string, code string, status string, updated_at string")
+    a.record(runs, status)
+    b.copy_metadata(a)
+    b.copy_metadata(a)
+    assert {r["status"] for r in b.read("pipeline_runs").collect()} == {"success", "skipped", "failed"} and b.read("pipeline_runs").count() == 3
+    assert [r["status"] for r in b.read("dataset_update_status").collect()] == ["success"]

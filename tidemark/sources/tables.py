@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import keep_last, new_partitions_only
+from ..operators.lineage import ledger
+from ..operators.merge import keep_last, latest_per_key, new_partitions_only
 from ..operators.normalize import conformed, with_fixed
 from ..operators.quality import QualityError, checked
 from ..plans.specs import SPECS, TableSpec, columns, spec
@@ -122,6 +123,7 @@ class Lake:
             self._put(table, checked(staged, table))
         finally:
             self._delete(path)
+            self.spark.catalog.refreshByPath(self.path(name))
 
     def delete_partitions(self, name: str, values: list[str]) -> None:
         column = spec(name).partition
@@ -146,6 +148,48 @@ class Lake:
                 self._rename(old, self.path(name))
             raise
         self._delete(old)
+        self.spark.catalog.refreshByPath(self.path(name))
+
+    # --- ledger and run metadata
+
+    def update_ledger(self, name: str, signatures: DataFrame | None = None, only_missing: bool = False) -> None:
+        """Ledger rows of a table, all or those that the ledger lacks, with the signatures they were built from."""
+        manifest = spec("dataset_partition_manifest")
+        rows = ledger(self.read(name), spec(name)).withColumn("output_path", F.lit(self.path(name)))
+        held = self.read(manifest.name).where(F.col("dataset") == name)
+        if signatures is not None:
+            rows = rows.join(signatures, "partition_value")
+        elif only_missing:
+            rows = rows.join(held.select("partition_value"), "partition_value", "left_anti")
+        else:
+            rows = rows.join(held.select("partition_value", "source_signature", "master_row_hash"), "partition_value", "left")
+        rows = conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), manifest.schema)
+        present = self.read(name).select(F.col(spec(name).partition).cast("string").alias("partition_value")).distinct() if spec(name).partition else None
+        kept = self.read(manifest.name)
+        if present is not None:  # partitions that are gone leave the ledger, too
+            gone = held.join(present, "partition_value", "left_anti").select("dataset", "partition_value")
+            kept = kept.join(gone, ["dataset", "partition_value"], "left_anti")
+        self.write(manifest.name, keep_last(kept, rows, list(manifest.keys)), "replace")
+
+    def rebuild_ledger(self, names: list[str] | None = None, force: bool = False) -> None:
+        for name in names or [n for n, s in SPECS.items() if s.family not in ("metadata",) and self.exists(n)]:
+            self.update_ledger(name, only_missing=not force)
+
+    def record(self, runs: DataFrame | None = None, status: DataFrame | None = None, checkpoints: DataFrame | None = None) -> None:
+        """Run metadata of a batch: runs are appended, the last status and checkpoint of each key stand."""
+        if runs is not None:
+            self.write("pipeline_runs", runs, "append")
+        for name, rows in (("dataset_update_status", status), ("pipeline_checkpoints", checkpoints)):
+            if rows is not None:
+                table = spec(name)
+                latest = latest_per_key(conformed(rows, table.schema), list(table.keys), ["updated_at"])
+                self.write(name, latest, "upsert")
+
+    def copy_metadata(self, source: Lake) -> None:
+        """Metadata of another lake: runs that are not here yet, the rest by key."""
+        runs = source.read("pipeline_runs").join(self.read("pipeline_runs").select("task_id"), "task_id", "left_anti")
+        self.record(runs, source.read("dataset_update_status"), source.read("pipeline_checkpoints"))
+        self.write("dataset_partition_manifest", source.read("dataset_partition_manifest"), "upsert")
 
     def drop_legacy(self, name: str, prefixes: tuple[str, ...]) -> None:
         """Delete partition folders of an earlier layout."""
