@@ -692,7 +692,7 @@ def _scratch(spark: SparkSession) -> str:
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and not spark.sparkContext.master.startswith("local["):
+    if base is None and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix='spark-')}"
 
