@@ -133,6 +133,27 @@ def test_vector_recall_at_scale_of_tables():
         assert (1 - agree) ** (rotations * (64 // width)) <= embedding_dedup.MISS
 
 
+def test_vectors_with_a_common_direction(spark):
+    """Links of vectors whose mean is long, where centring widens angles."""
+    rng = np.random.default_rng(8)
+    for norm in (0.8, 0.9):
+        far = rng.normal(size=(1200, 64))
+        far[:, 0] = 0
+        far /= np.linalg.norm(far, axis=1)[:, None]
+        side = rng.normal(size=(600, 64))
+        side[:, 0] = 0
+        side -= np.einsum("nd,nd->n", side, far[:600])[:, None] * far[:600]
+        side /= np.linalg.norm(side, axis=1)[:, None]
+        turn = 1 - 0.085 / (1 - norm**2)  # partners at cosine 0.915
+        x = np.sqrt(1 - norm**2) * np.concatenate([far, turn * far[:600] + np.sqrt(1 - turn**2) * side])
+        x[:, 0] = norm
+        links = (x @ x.T >= embedding_dedup.THRESHOLD).sum(axis=1) - 1
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicate_vectors(rows).collect()}
+        assert all(got[i] <= n for i, n in enumerate(links))
+        assert links.sum() >= 1200 and sum(got.values()) >= 0.995 * links.sum()
+
+
 def test_passages_against_brute_force(spark):
     rng = random.Random(5)
     passage = words(rng, 60)

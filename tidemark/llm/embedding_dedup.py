@@ -1,11 +1,16 @@
 """Near-duplicate embeddings by iterative quantisation and multi-index Hamming tables.
 
 A rotation of the (centred) vectors is learned so that signs make balanced binary codes with little quantisation
-error. The code is cut into disjoint substrings, one hash table each; vectors that share a substring are compared, by
-Hamming distance of the whole code first and by the original vectors in double precision after that. The substrings
+error. The code is cut into disjoint substrings, one hash table each; vectors that share a substring are compared by the original vectors
+in double precision (a cut by Hamming distance before that would drop links whose centred angle is wide). The substrings
 are as long as the number of vectors asks for (buckets stay near one size), and as many rotations are learned as make
 the chance of missing a pair at the threshold's angle small.
 
+Centring widens angles where the vectors share a direction: two at distance ``r`` from the centre and of cosine ``c``
+are at ``acos(1 - (1 - c) / r**2)`` as seen from it. Tables are planned for these angles; the mean is the centre only
+where that costs less than the origin, from which angles stay as they are. Partners of the sampled vectors at the
+threshold's cosine then measure the misses of the fitted tables, and rotations are added until these are few enough.
+
 Equal vectors fall together before anything is posted. Buckets are cut into blocks (:mod:`.cells`); a pair counts in
 the first table where it meets, so links are counted without emitting pairs: a cell returns a count a vector and a
 spanning forest.
@@ -34,40 +39,97 @@ ITERATIONS = 40
 BUCKET = 256
 #: Chance of missing a pair at ``MISS_COSINE`` in all tables together.
 MISS = 1e-3
-MISS_COSINE = 0.93
+MISS_COSINE = THRESHOLD
+#: Sampled vectors whose angles to others tell how full the buckets are.
+OTHERS = 2000
+#: Bytes of postings that are made at once.
+POST_BYTES = 64 << 20
 BLOCK = 1024
 
 
-def fit_rotations(sample: np.ndarray, rotations: int, bits: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Mean, and ``rotations`` projections of ``bits`` columns each: principal axes turned by iterative quantisation."""
-    mean = sample.mean(axis=0)
-    centred = sample - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
-    axes = axes[:, ::-1][:, :bits]
-    v = centred @ axes
-    out = []
-    for r in range(rotations):
-        turn, _ = np.linalg.qr(np.random.default_rng(seed + r).normal(size=(axes.shape[1],) * 2))
-        for _ in range(ITERATIONS):
-            codes = np.where(v @ turn >= 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(codes.T @ v)
-            turn = right.T @ left.T
-        out.append(axes @ turn)
-    return mean, np.stack(out)
+def partner_angles(centred: np.ndarray, cosine: float = MISS_COSINE) -> np.ndarray:
+    """Angle, seen from the centre, of each vector and one as far from the centre, at that cosine from the origin."""
+    square = np.maximum(np.einsum("nd,nd->n", centred, centred), 1e-12)
+    return np.arccos(np.clip(1 - (1 - cosine) / square, -1, 1))
+
+
+def other_angles(centred: np.ndarray) -> np.ndarray:
+    """Angles, seen from the centre, of pairs of any sampled vectors."""
+    x = centred[:OTHERS] / np.maximum(np.linalg.norm(centred[:OTHERS], axis=1), 1e-12)[:, None]
+    i, j = np.triu_indices(len(x), 1)
+    return np.arccos(np.clip((x @ x.T)[i, j], -1, 1)) if len(i) else np.array([math.pi / 2])
+
+
+def _planned(n: int, bits: int, wide: np.ndarray, others: np.ndarray) -> tuple[float, int, int]:
+    """Cost in postings a vector, bits a substring and rotations of the cheapest plan that misses at most ``MISS``."""
+    best = (math.inf, 1, 1)
+    # angles as a histogram: a step is far less than what a bit tells
+    at = (np.arange(512) + 0.5) * math.pi / 512
+    steps = np.linspace(0, math.pi, 513)
+    pairs = np.histogram(others, steps)[0] / len(others)
+    wide, counts = np.unique(np.ceil(np.asarray(wide) * 512 / math.pi) * math.pi / 512, return_counts=True)
+    for width in range(1, max(1, min(bits, max(8, math.ceil(math.log2(max(n, 2) / BUCKET))))) + 1):
+        agree, per = np.maximum(1 - wide / math.pi, 0) ** width, bits // width
+        bucket = n * float(((1 - at / math.pi) ** width) @ pairs)
+
+        def missed(rotations: int, agree=agree, per=per) -> float:
+            return float(((1 - agree) ** (rotations * per)) @ counts) / counts.sum()
+
+        most = 1
+        while missed(most) > MISS and most < 1 << 12:
+            most *= 2
+        if missed(most) > MISS:
+            continue
+        low = most // 2 + 1
+        while low < most:
+            half = (low + most) // 2
+            low, most = (low, half) if missed(half) <= MISS else (half + 1, most)
+        best = min(best, (most * per * (1 + bucket / BUCKET), width, most))
+    return best
 
 
 def plan_tables(n: int, bits: int) -> tuple[int, int]:
-    """Bits a substring and number of rotations for ``n`` vectors."""
-    width = max(1, min(bits, max(8, math.ceil(math.log2(max(n, 2) / BUCKET)))))
-    agree = (1 - math.acos(MISS_COSINE) / math.pi) ** width
-    tables = max(1, math.ceil(math.log(MISS) / math.log(1 - agree))) if agree < 1 else 1
-    return width, max(1, math.ceil(tables / (bits // width)))
+    """Bits a substring and number of rotations for ``n`` vectors without a common direction."""
+    return _planned(n, bits, np.array([math.acos(MISS_COSINE)]), np.array([math.pi / 2]))[1:]
+
+
+def _turned(v: np.ndarray, seed: int) -> np.ndarray:
+    turn, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(v.shape[1],) * 2))
+    for _ in range(ITERATIONS):
+        codes = np.where(v @ turn >= 0, 1.0, -1.0)
+        left, _, right = np.linalg.svd(codes.T @ v)
+        turn = right.T @ left.T
+    return turn
 
 
-def hamming_limit(bits: int, cosine: float = THRESHOLD) -> int:
-    """Codes of vectors at that angle differ in at most so many bits but for four standard deviations."""
-    p = math.acos(cosine) / math.pi
-    return math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
+def fit_tables(sample: np.ndarray, n: int, bits: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray, int]:
+    """Centre, projections of ``bits`` columns each (principal axes turned by iterative quantisation), bits a substring."""
+    mean = sample.mean(axis=0)
+    plans = []
+    for centre in (mean, np.zeros_like(mean)):
+        x = sample - centre
+        cost, width, rotations = _planned(n, bits, partner_angles(x), other_angles(x))
+        plans.append((cost, len(plans), centre, width, rotations))
+    _, _, centre, width, rotations = min(plans, key=lambda p: p[:2])
+    centred = sample - centre
+    _, axes = np.linalg.eigh(centred.T @ centred)
+    axes = axes[:, ::-1][:, :bits]
+    # each vector's partner: as far from the centre, at the planned angle, in the direction of another vector
+    away = np.roll(centred, 1, axis=0)
+    length = np.linalg.norm(centred, axis=1)[:, None]
+    unit = centred / np.maximum(length, 1e-12)
+    away = away - np.einsum("nd,nd->n", away, unit)[:, None] * unit
+    real = (length[:, 0] > 1e-9) & (np.linalg.norm(away, axis=1) > 1e-9)
+    angle = partner_angles(centred)[:, None]
+    partner = length * (np.cos(angle) * unit + np.sin(angle) * away / np.maximum(np.linalg.norm(away, axis=1), 1e-12)[:, None])
+    v, w = centred @ axes, partner[real] @ axes
+    per, turns, apart = bits // width, [], np.ones(int(real.sum()), bool)
+    while len(turns) < rotations or (apart.mean() if len(apart) else 0) > MISS and len(turns) < 4 * rotations:
+        turn = _turned(v, seed + len(turns))
+        same = ((v[real] @ turn >= 0) == (w @ turn >= 0))[:, : per * width]
+        apart &= ~same.reshape(-1, per, width).all(axis=2).any(axis=1)
+        turns.append(axes @ turn)
+    return centre, np.stack(turns), width
 
 
 def _units(column: pa.Array, dim: int) -> np.ndarray:
@@ -77,25 +139,22 @@ def _units(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _linked(dim: int, tables: int, per: int, limit: int):
+def _linked(dim: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, group in grouped_batches(batches, ["table", "value", "cell"]):
             table = table.combine_chunks()
             ids, copies, own = table["rep"].to_numpy(), table["copies"].to_numpy(), table["table"].to_numpy()
             x = _units(table["embedding"].combine_chunks(), dim)
-            # the whole codes: substrings of all tables, for distance and for the first table of a pair
+            # the whole codes: substrings of all tables, for the first table of a pair
             parts = np.frombuffer(b"".join(table["code"].to_pylist()), np.uint64).reshape(-1, tables)
             cell, blocks, me = table["cell"].to_numpy(), table["blocks"].to_numpy(), table["own"].to_numpy()
             forest, links = Forest(len(ids)), np.zeros(len(ids), np.int64)
-            for i, j in near_pairs(group):
-                differ = parts[i] != parts[j]
-                first = (~differ).argmax(axis=1) == own[i]
+            for i, j in near_pairs(group, max(1 << 10, min(1 << 16, (1 << 23) // (tables + dim)))):
+                first = (parts[i] == parts[j]).argmax(axis=1) == own[i]
                 # within one block a pair meets in every cell of the block: the first of them counts it
                 home = (blocks[i] == 1) | (me[i] != me[j]) | (cell[i] == np.where(me[i] == 0, 1, me[i]))
                 go = first & home
                 i, j = i[go], j[go]
-                distance = np.bitwise_count(parts[i, :per] ^ parts[j, :per]).sum(axis=1)
-                i, j = i[distance <= limit], j[distance <= limit]
                 near = np.einsum("nd,nd->n", x[i], x[j]) >= THRESHOLD
                 i, j = i[near], j[near]
                 np.add.at(links, i, copies[j])
@@ -118,19 +177,18 @@ def _of_dimension(vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     spark = vectors.sparkSession
     n = vectors.count()
     bits = min(BITS, dim)
-    width, rotations = plan_tables(n, bits)
-    per = bits // width
     fit = vectors.select("embedding").orderBy(F.xxhash64("embedding")).limit(FIT_ROWS).toArrow()
-    mean, turns = fit_rotations(_units(fit["embedding"].combine_chunks(), dim), rotations, bits)
-    model = spark.sparkContext.broadcast((mean, turns))
+    centre, turns, width = fit_tables(_units(fit["embedding"].combine_chunks(), dim), n, bits)
+    per, rotations = bits // width, len(turns)
+    model = spark.sparkContext.broadcast((centre, turns))
     weights = np.uint64(1) << np.arange(width, dtype=np.uint64)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        mean, turns = model.value
+        centre, turns = model.value
         for batch in batches:
             if batch.num_rows:
                 x = _units(batch["embedding"], dim)
-                signs = np.concatenate([((x - mean) @ t >= 0)[:, : per * width] for t in turns], axis=1)
+                signs = np.concatenate([((x - centre) @ t >= 0)[:, : per * width] for t in turns], axis=1)
                 parts = (signs.reshape(len(x), rotations * per, width) * weights).sum(axis=2, dtype=np.uint64)
                 yield batch, parts
 
@@ -141,7 +199,9 @@ def _of_dimension(vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(many), len(parts))), pa.array(parts.ravel().view(np.int64))], ["table", "value"])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, parts in coded(batches):
+        # many tables make long codes: few vectors at a time
+        step = max(1, POST_BYTES // (8 * many * (many + dim)))
+        for batch, parts in coded(b.slice(lo, step) for b in batches for lo in range(0, b.num_rows, step)):
             row = pa.array(np.repeat(np.arange(len(parts)), many))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(np.arange(many), len(parts))), pa.array(parts.ravel().view(np.int64)), pa.array([p.tobytes() for p in parts]).take(row), *[batch[c].take(row) for c in ("rep", "copies", "embedding")]],
@@ -155,7 +215,7 @@ def _of_dimension(vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     shared = shared.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), blocks))
     shared = with_cells(shared, F.col("n"), BLOCK, F.col("rep")).drop("n")
     shared = shared.repartition("table", "value", "cell").sortWithinPartitions("table", "value", "cell")
-    return shared.mapInArrow(_linked(dim, many, per, hamming_limit(per * width)), "u long, v long, links long")
+    return shared.mapInArrow(_linked(dim, many), "u long, v long, links long")
 
 
 def near_duplicate_vectors(vectors: DataFrame) -> DataFrame:
