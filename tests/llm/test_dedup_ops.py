@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import embedding_dedup, graph, minhash_dedup, substring_dedup
@@ -172,3 +173,32 @@ def test_passages_against_brute_force(spark):
         else:
             assert (r["n_words"], r["n_removed"], r["h"]) == want[r["doc_id"]]
     assert substring_dedup.without_repeats(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_passages_of_a_hot_minimiser(spark, monkeypatch):
+    """Three words in surroundings that differ, with some passages shared: no task joins their bucket whole."""
+    joined = []
+    bucket = substring_dedup._bucket
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(substring_dedup, "ROW_BYTES", 3_000, raising=False)
+    rng = random.Random(6)
+    shared = [" ".join(words(rng, 12) + ["0", ",", "0"] + words(rng, 12)) for _ in range(8)]
+    texts = {}
+    for i in range(60):
+        parts = [" ".join(words(rng, 12) + ["0", ",", "0"] + words(rng, 12)) for _ in range(12)]
+        texts[i] = " ".join(parts[:6] + [rng.choice(shared)] + parts[6:])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # all windows in one bucket, as if all shared their minimiser
+    sent = pa.Table.from_batches(substring_dedup._sent(1)(iter(docs.toArrow().to_batches())))
+    monkeypatch.setattr(substring_dedup, "_bucket", lambda table: joined.append(table.num_rows) or bucket(table))
+    parts = list(substring_dedup._shared(20_000)(iter(sent.to_batches(max_chunksize=5))))
+    assert not joined and sum(p.num_rows for p in parts) == sent.num_rows > 10
+    monkeypatch.setattr(substring_dedup, "_bucket", bucket)
+    sent_by = substring_dedup._sent
+    monkeypatch.setattr(substring_dedup, "_sent", lambda buckets: sent_by(1))
+    taken = []
+    hot_shared = substring_dedup._hot_shared
+    monkeypatch.setattr(substring_dedup, "_hot_shared", lambda rows: taken.append(rows.count()) or hot_shared(rows))
+    got = substring_dedup.without_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("h")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["h"]) for r in got} == substring_dedup.brute_force(texts)
+    assert taken and taken[0] >= 1 and sum(r["n_removed"] for r in got) > 300

@@ -8,6 +8,8 @@ about three times instead of thirteen, and all copies of a window reach one buck
    documents share arrives once a chunk. What a chunk sends to a bucket is one compressed row: the strings, and the
    smallest and largest doc_id of each. The number of buckets follows the size of the corpus.
 2. In its bucket, windows are sorted and equal ones counted; each gets the smallest doc_id that starts it. Super-k-mers that hold a window with two doc_ids come back with those minima.
+   A bucket of more than ``HOT_BYTES`` (a frequent minimiser in differing surroundings) is passed on as it is, and its
+   windows are sent again by their own hashes, so equal ones still meet and no task holds the bucket.
 3. Documents look up their super-k-mers among these: first in a Bloom filter of fixed size, so that few others are
    shuffled, then by a join on the hash of the packed string. What is covered leaves the document.
 """
@@ -25,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Words, buffers, mixed, range_hashes, word_chunks
-from .cells import grouped_batches
-from .storage import let_go, written
+from .storage import is_empty, let_go, written
 
 WINDOW = 13
 GRAM = 3
@@ -35,6 +36,9 @@ LONGEST = 64
 #: Bytes of documents that are packed together, and of packed strings that a bucket should hold.
 CHUNK = 6 << 20
 BUCKET_BYTES = 8 << 20
+#: Bytes of packed strings that a bucket is joined with at most, and of those in one row.
+HOT_BYTES = 24 << 20
+ROW_BYTES = 1 << 20
 #: The filter's size in bits; it stays the same for any input (a full one lets all through, which is right but slow).
 FILTER_BITS = 1 << 25
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -116,7 +120,10 @@ def _sent(buckets: int):
                 starts = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (bucket[1:] != bucket[:-1])])
                 low, high, bucket = np.minimum.reduceat(doc, starts), np.maximum.reduceat(doc, starts), bucket[starts]
                 data, begin, stop = packed.data.tobytes(), begin[order[starts]].tolist(), stop[order[starts]].tolist()
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+                new = np.r_[True, bucket[1:] != bucket[:-1]]
+                total = np.cumsum(np.subtract(stop, begin) + 1)
+                piece = (total - total[np.flatnonzero(new)][np.cumsum(new) - 1]) // ROW_BYTES
+                cuts = np.flatnonzero(np.r_[new | np.r_[False, piece[1:] != piece[:-1]], True])
                 out = [
                     (int(bucket[a]), squeeze.compress(b"\n".join([data[x:y] for x, y in zip(begin[a:b], stop[a:b], strict=True)])), low[a:b].tobytes(), high[a:b].tobytes())
                     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
@@ -127,29 +134,83 @@ def _sent(buckets: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: the super-k-mers that hold a window of more than one doc_id, with each window's smallest doc_id."""
-    for table, group in grouped_batches(batches, ["bucket"], 1):
-        cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            found = _bucket(table.slice(lo, hi - lo))
+FOUND = ["k1", "k2", "firsts", "strings", "low", "high"]
+
+
+def _shared(limit: int):
+    """Per bucket: the super-k-mers that hold a window of more than one doc_id, with each window's smallest doc_id.
+
+    The rows of a bucket over ``limit`` come out as they came in (``strings``, ``low``, ``high``).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, now = 0, None
+
+        def passed(part: pa.RecordBatch) -> pa.RecordBatch:
+            none = [pa.nulls(part.num_rows, k) for k in (pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays([*none, *[part[c] for c in FOUND[3:]]], FOUND)
+
+        def joined() -> Iterator[pa.RecordBatch]:
+            found = _bucket(pa.Table.from_batches(held)) if held else None
             if found is not None:
                 yield found
 
+        for batch in batches:
+            bucket = batch["bucket"].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, np.int64)
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                part = batch.slice(lo, hi - lo)
+                if bucket[lo] != now:
+                    yield from joined()
+                    held, size, now = [], 0, bucket[lo]
+                size += sum(zstandard.frame_content_size(x.as_buffer()) for x in part["strings"])
+                held.append(part)
+                if size > limit:
+                    yield from map(passed, held)
+                    held = []
+        yield from joined()
 
-def _bucket(table: pa.Table) -> pa.RecordBatch | None:
+    return run
+
+
+def _string_windows(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the inflated strings, where each starts and ends, and the windows: their string and two hashes."""
     inflate = zstandard.ZstdDecompressor()
-    low = np.concatenate([np.frombuffer(x, np.int64) for x in table["low"].to_pylist()])
-    high = np.concatenate([np.frombuffer(x, np.int64) for x in table["high"].to_pylist()])
-    data = np.frombuffer(b"".join([inflate.decompress(x) + b"\n" for x in table["strings"].to_pylist()]), np.uint8)
+    data = np.frombuffer(b"".join([inflate.decompress(x) + b"\n" for x in strings]), np.uint8)
     ends = np.flatnonzero(data == 10)
     offsets = np.r_[0, ends + 1]
     words = Words(data, offsets)
     row = words.row_of()
     at = np.flatnonzero(row[: max(0, len(row) - WINDOW + 1)] == row[WINDOW - 1 :])
     begin, stop = words.starts[at], words.ends[at + WINDOW - 1]
-    a, b = range_hashes(data, begin, stop, 0), range_hashes(data, begin, stop, 1)
-    owner = row[at]
+    return data, offsets, ends, row[at], range_hashes(data, begin, stop, 0), range_hashes(data, begin, stop, 1)
+
+
+def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of the strings: its hashes, its string's hashes and its place there, smallest and largest doc_id."""
+    for batch in batches:
+        for strings, low, high in zip(*[batch[c].to_pylist() for c in FOUND[3:]], strict=True):
+            data, offsets, ends, owner, a, b = _string_windows([strings])
+            k1, k2 = _string_keys(data, offsets[:-1], ends)
+            at = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
+            columns = [a.view(np.int64), b.view(np.int64), k1[owner], k2[owner], at, np.frombuffer(low, np.int64)[owner], np.frombuffer(high, np.int64)[owner]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "k1", "k2", "at", "low", "high"])
+
+
+def _hot_shared(rows: DataFrame) -> DataFrame:
+    """``k1``, ``k2``, ``firsts`` from the rows of buckets that no task may hold; a window of one doc_id has null."""
+    windows = rows.mapInArrow(_hot_windows, "a long, b long, k1 long, k2 long, at long, low long, high long")
+    several = windows.groupBy("a", "b").agg(F.min("low").alias("first"), F.max("high").alias("last")).where(F.col("first") != F.col("last"))
+    places = windows.select("a", "b", "k1", "k2", "at").join(several.select("a", "b", "first"), ["a", "b"])
+    found = places.groupBy("k1", "k2").agg(F.map_from_entries(F.collect_set(F.struct("at", "first"))).alias("by_place"), F.max("at").alias("last"))
+    return found.select("k1", "k2", F.transform(F.sequence(F.lit(0).cast("long"), "last"), lambda i: F.try_element_at("by_place", i)).alias("firsts"))
+
+
+def _bucket(table: pa.Table) -> pa.RecordBatch | None:
+    low = np.concatenate([np.frombuffer(x, np.int64) for x in table["low"].to_pylist()])
+    high = np.concatenate([np.frombuffer(x, np.int64) for x in table["high"].to_pylist()])
+    data, offsets, ends, owner, a, b = _string_windows(table["strings"].to_pylist())
     order = np.lexsort((b, a))
     new = np.r_[True, (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])]
     number = np.cumsum(new) - 1
@@ -169,7 +230,8 @@ def _bucket(table: pa.Table) -> pa.RecordBatch | None:
     sizes = right - left
     pick = np.repeat(left - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
     lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(first[pick]))
-    return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), lists], ["k1", "k2", "firsts"])
+    none = pa.nulls(len(k1), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), lists, none, none, none], FOUND)
 
 
 def _bits(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
@@ -205,14 +267,17 @@ def shared_super_kmers(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, math.ceil(3 * size / BUCKET_BYTES))
     sent = docs.mapInArrow(_sent(buckets), "bucket long, strings binary, low binary, high binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "k1 long, k2 long, firsts array<long>")
+    kinds = "k1 long, k2 long, firsts array<long>, strings binary, low binary, high binary"
+    found = written(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(HOT_BYTES), kinds), "super-kmers")
+    let_go(docs.sparkSession)
+    shared, hot = found.where("strings is null").select("k1", "k2", "firsts"), found.where("strings is not null").select(*FOUND[3:])
+    return shared if is_empty(hot) else shared.unionByName(written(_hot_shared(hot), "hot-super-kmers"))
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``spans``: for each document with something to remove, word runs (first, end) that are covered."""
     spark = docs.sparkSession
-    shared = written(shared_super_kmers(docs), "super-kmers")
-    let_go(spark)
+    shared = shared_super_kmers(docs)
     bits = spark.sparkContext.broadcast(np.packbits(key_filter(shared)).tobytes())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
