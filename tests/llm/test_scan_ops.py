@@ -161,6 +161,20 @@ def test_toxicity(spark):
     assert toxicity.scored(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_long_texts(spark):
+    """Labelled texts that are all long, and ids without a text, still give a model; too few texts are an error."""
+    plain = [f"the report of day {i} tells of rain and wind over the hills near town {i % 7} " * 160 for i in range(60)]
+    rows = [(i, t + ("you vile rotten scumbag " * 20 if i % 2 else "")) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame([*rows, (700, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([*[(i, i % 2) for i in range(60)], (700, 1), (701, 0)], "doc_id long, toxic int")
+    assert min(len(t) for _, t in rows) > 10_000
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, toxicity.fit(docs, marks)).collect()}
+    flagged = {i for i in range(60) if scores[i] >= toxicity.THRESHOLD}
+    assert len([i for i in flagged if i % 2]) >= 27 and len([i for i in flagged if not i % 2]) <= 3
+    with pytest.raises(ValueError, match="labels exist"):
+        toxicity.fit(docs, marks.where("doc_id >= 700"))
+
+
 def test_context_tree_against_brute_force(spark, monkeypatch):
     texts = {i: ("Abra cad " * (i % 5) + f"x{i} zé")[: 5 + i] for i in range(24)} | {30: None, 31: "", 32: "q" * 3000}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}

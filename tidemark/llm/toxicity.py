@@ -7,7 +7,7 @@ the same bytes both ways; what the toxic dictionary saves on the others is count
 model on these counts, fitted on labelled texts that its dictionaries did not see, turns them into a probability.
 
 The model is fitted on a bounded sample of labelled rows (``TOXIC_ROWS`` and ``ORDINARY_ROWS``, taken by hash of the
-doc_id, without texts over ``FIT_CHARS``); scoring is one narrow pass over all documents.
+doc_id among those with a text, at most ``FIT_BYTES`` a class); scoring is one narrow pass over all documents.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 
 from .bytewords import LOWER, mixed
 
-TOXIC_ROWS = 1200
-ORDINARY_ROWS = 2000
-#: Labelled rows with longer texts are not in the sample, which bounds its bytes (scoring reads texts of any length).
-FIT_CHARS = 10_000
+TOXIC_ROWS = 1500
+ORDINARY_ROWS = 2500
+#: Bytes of sampled texts of a class at most: texts of any length, in the order of the hash, that the rest of it holds.
+FIT_BYTES = 6 << 20
+#: Texts of a class without which there is no model.
+LEAST = 6
 PIECES = (6, 7, 8)
 TOXIC_BYTES = 4000
 #: Pieces of one length that a dictionary is chosen from, at most (it has room for far fewer).
@@ -37,7 +39,7 @@ WINDOW = 64
 SAVINGS = (1, 2, 3, 4, 6)
 THRESHOLD = 0.3
 #: More than the bytes of any sampled text.
-PLACES = 1 << 20
+PLACES = 1 << 31
 _GAPS = re.compile(rb"[\x20\x09-\x0D]+")
 _LOWER = bytes(LOWER)
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -170,14 +172,28 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from a bounded sample of the labelled rows that are not held out; None if a class has under 6 of them."""
+    """A model from a bounded sample of the labelled rows that are not held out; None if there are none.
+
+    Raises ValueError if labels exist but a class has under ``LEAST`` texts, rather than let every text pass.
+    """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if min(counts.get(0, 0), counts.get(1, 0)) < 6:
+    if not counts:
         return None
     by_hash = F.xxhash64("doc_id")
-    sample = known.where("toxic = 1").orderBy(by_hash, "doc_id").limit(TOXIC_ROWS).unionAll(known.where("toxic = 0").orderBy(by_hash, "doc_id").limit(ORDINARY_ROWS))
-    rows = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "toxic"])
+    texts = docs.where("text is not null").select("doc_id", "text", F.octet_length("text").alias("size"))
+    usable = texts.select("doc_id", "size").join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("size").alias("size"))
+    picked = []
+    for label, most in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)):
+        left, n = FIT_BYTES, 0
+        for r in usable.where(F.col("toxic") == label).orderBy(by_hash, "doc_id").limit(most).collect():  # ids and sizes only
+            if r["size"] <= left:
+                left, n = left - r["size"], n + 1
+                picked.append((r["doc_id"], label, r["size"]))
+        if n < LEAST:
+            raise ValueError(f"labels exist, but only {n} texts of class {label} fit the sample; a model needs {LEAST}")
+    sample = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, size int")
+    rows = texts.join(F.broadcast(sample), ["doc_id", "size"]).select("doc_id", "text", "toxic").dropDuplicates(["doc_id", "toxic"])
     table = rows.toArrow()
     order = np.argsort([zlib.crc32(f"fit{i}".encode()) for i in table["doc_id"].to_pylist()], kind="stable")
     texts = [t.encode() for t in table["text"].take(order).to_pylist()]
@@ -187,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     pick = lambda label, where: [t for t, s, y in zip(flat, where, toxic, strict=True) if s and y == label]
     rest = ~seen
     if len(set(toxic[rest].tolist())) < 2:
-        return None
+        raise ValueError("labels exist, but the texts kept for calibration are of one class")
     # weights come from texts that the dictionaries did not see; the final dictionaries see all of the sample
     trial = Model(*train_dictionaries(pick(1, seen), pick(0, seen)))
     trial.calibrate([t for t, r in zip(texts, rest, strict=True) if r], toxic[rest], counts[1] / (counts[0] + counts[1]))
