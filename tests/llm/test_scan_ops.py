@@ -131,6 +131,15 @@ def decontaminated_text(text):
     return data.tobytes().decode().strip()
 
 
+def test_benchmark_without_ids(spark):
+    """An item whose item_id is null takes its documents out, though it has no row to name it by."""
+    item = "a question without an id that asks for the height of the tallest mountain on earth"
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "nothing of that kind here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert decontaminate.contaminations(docs, bench).count() == 0
+    assert [r["doc_id"] for r in decontaminate.decontaminated(docs, bench).collect()] == [2]
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 150)
     items = [f"passage number {i} has words of its own like alpha{i} beta{i} gamma{i} delta{i} and so on" for i in range(8)]

@@ -146,9 +146,9 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, bu
     return (int(cost[end]), int(origin[end]), end + low + len(item)) if cost[end] <= budget else None
 
 
-def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
+def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int | None, bytes]]]:
     """Items (normalised) in blocks of ``BLOCK_CHARS`` characters at most, or of one longer item; empty ones have no match."""
-    sized = benchmark.where("item_id is not null and length(trim(text)) > 0").select("item_id", "text")
+    sized = benchmark.where("length(trim(text)) > 0").select("item_id", "text")
     total = F.sum(F.length("text")).over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = sized.withColumn("block", F.floor(total / F.lit(BLOCK_CHARS)))
     for (block,) in sorted(numbered.select("block").distinct().collect()):
@@ -191,13 +191,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Texts are compared with A-Z lower-cased and runs of ASCII separators and punctuation made one space. Null and
     empty texts, and items without characters, match nothing; items of fewer than ``Q`` characters can't be told from
-    chance and match nothing either. A document that holds an item several times has a row for each, and so has each
+    chance and match nothing either. An item without an item_id has no rows here (:func:`decontaminated` looks for it all the same). A document that holds an item several times has a row for each, and so has each
     of several equal rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
     found = None
-    for items in blocks_of(benchmark):
+    for items in blocks_of(benchmark.where("item_id is not null")):
         index = spark.sparkContext.broadcast(items)
 
         def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -225,7 +225,7 @@ def _is_clean(index):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark passage: a filter, so no text is moved."""
+    """``docs`` without the rows that hold a benchmark passage, of an item with or without an item_id: a filter, so no text is moved."""
     for items in blocks_of(benchmark):
         docs = docs.where(_is_clean(docs.sparkSession.sparkContext.broadcast(items))("text"))
     return docs
