@@ -4,16 +4,17 @@ A sample is valid if it is neither null nor zero. A positive value is ranked amo
 counts every positive one as better, so its rank is the positives and the negatives that are at or above it, over all
 valid samples. A window of N years is closed on both sides and matures once the key's first valid date lies N years back.
 
-All windows of one value come from one exchange by key: for each key the samples of its past are one sorted pass in
-Arrow batches (``applyInArrow``), since a rank over a moving window has no built-in form that isn't quadratic.
-``by_window=True`` gives the same through window frames for short series.
+All windows of all values come from one exchange by key. Rows arrive sorted by key and day; whole keys are ranked
+together, in numpy: the samples of a window are a range of the sorted ones, and how many of a range are below a value
+comes from one pass a bit of the values' ranks, for all rows at once. ``percentiles_by_window`` gives the same through
+window frames for short series.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right, insort
-from datetime import date
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,62 +27,108 @@ def column_names(value: str, years: tuple[int, ...] = YEARS) -> list[str]:
     return [*[f"{value}_percentile_{n}y" for n in years], f"{value}_percentile_all_history"]
 
 
-def _years_before(day: date, n: int) -> date:
-    try:
-        return day.replace(year=day.year - n)
-    except ValueError:  # 29 February
-        return day.replace(year=day.year - n, day=28)
-
-
-def _ranked(v: float, samples: list[float]) -> float:
-    """``samples``: the sorted valid values of the frame, ``v`` among them."""
-    negative = bisect_left(samples, 0.0)
-    positive = len(samples) - negative
-    if v > 0:
-        return 100.0 * (bisect_right(samples, v) - negative) / positive
-    return 100.0 * (positive + negative - bisect_left(samples, v)) / len(samples)
-
-
-def _series(dates: list[date | None], values: list[float | None], years: tuple[int, ...]) -> list[list[float | None]]:
-    """Percentiles per frame for rows in date order; rows of one date see all of that date's samples."""
-    valid = [(d, v) for d, v in zip(dates, values, strict=True) if d is not None and v is not None and v == v and v != 0]
-    out: list[list[float | None]] = [[None] * len(dates) for _ in range(len(years) + 1)]
-    first = valid[0][0] if valid else None
-    for slot, n in enumerate((*years, None)):
-        frame: list[float] = []
-        entering = leaving = 0
-        for i, (d, v) in enumerate(zip(dates, values, strict=True)):
-            if d is None or v is None or v != v or v == 0:
-                continue
-            while entering < len(valid) and valid[entering][0] <= d:
-                insort(frame, valid[entering][1])
-                entering += 1
-            if n is not None:
-                since = _years_before(d, n)
-                while valid[leaving][0] < since:
-                    frame.pop(bisect_left(frame, valid[leaving][1]))
-                    leaving += 1
-                if first > since:
-                    continue
-            out[slot][i] = _ranked(v, frame)
+def years_before(days: np.ndarray, n: int) -> np.ndarray:
+    """The same day ``n`` years earlier (datetime64[D]); 29 February becomes the 28th."""
+    month = days.astype("M8[M]")
+    earlier = month - 12 * n
+    last = (earlier + 1).astype("M8[D]") - 1
+    return np.minimum(earlier.astype("M8[D]") + (days - month.astype("M8[D]")), last)
+
+
+def counts_below(ranks: np.ndarray, lo: np.ndarray, hi: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """How many of ``ranks[lo:hi]`` are below ``limit``, for arrays of ranges: bit by bit, zeros before ones at each."""
+    out = np.zeros(len(lo), np.int64)
+    for bit in reversed(range(int(max(len(ranks), 1) + 1).bit_length())):
+        ones = (ranks >> bit) & 1
+        zeros = np.r_[0, np.cumsum(1 - ones)]
+        wanted = ((limit >> bit) & 1).astype(bool)
+        below_lo, below_hi = zeros[lo], zeros[hi]
+        out += np.where(wanted, below_hi - below_lo, 0)
+        lo = np.where(wanted, zeros[-1] + lo - below_lo, below_lo)
+        hi = np.where(wanted, zeros[-1] + hi - below_hi, below_hi)
+        ranks = np.r_[ranks[ones == 0], ranks[ones == 1]]
     return out
 
 
-def percentiles(series: DataFrame, values: list[str], key: str = "code", day: str = "date", years: tuple[int, ...] = YEARS) -> DataFrame:
-    """``series`` with five columns a value. Null keys and dates get nulls."""
-    names = [n for v in values for n in column_names(v, years)]
-    schema = T.StructType([*series.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+def ranked(group: np.ndarray, days: np.ndarray, values: np.ndarray, asked: np.ndarray, years: tuple[int, ...]) -> list[np.ndarray]:
+    """Percentiles per window for the asked rows (NaN where there is none); rows sorted by group, then day (NaT anywhere)."""
+    valid = np.flatnonzero(~np.isnat(days) & ~np.isnan(values) & (values != 0))
+    at = np.flatnonzero(asked[valid])
+    out = [np.full(len(days), np.nan) for _ in range(len(years) + 1)]
+    if not len(at):
+        return out
+    # rows of a group and day in one number, in order
+    number = days[valid].astype(np.int64)
+    base, span = int(number.min()) - 366 * (max(years, default=0) + 1), int(np.ptp(number)) + 366 * (max(years, default=0) + 2)
+    place = group[valid] * span + (number - base)
+    rank = np.unique(values[valid], return_inverse=True)[1]
+    positive = np.r_[0, np.cumsum(values[valid] > 0)]
+    begin = np.searchsorted(group[valid], group[valid][at])
+    hi = np.searchsorted(place, place[at], "right")
+    own, up = rank[at], values[valid][at] > 0
+    for slot, n in zip(out, (*years, None), strict=True):
+        lo, mature = begin, np.ones(len(at), bool)
+        if n is not None:
+            since = years_before(days[valid][at], n)
+            mature = days[valid][begin] <= since
+            lo = np.maximum(begin, np.searchsorted(place, group[valid][at] * span + (since.astype(np.int64) - base)))
+        held, better = hi - lo, positive[hi] - positive[lo]
+        below = counts_below(rank, lo, hi, own + up)
+        share = np.where(up, (below - (held - better)) / np.maximum(better, 1), (held - below) / held)
+        slot[valid[at]] = np.where(mature, 100.0 * share, np.nan)
+    return out
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(day, "ascending")])
-        dates = table[day].to_pylist()
-        for v in values:
-            column = table[v].cast(pa.float64()).to_pylist()
-            for name, got in zip(column_names(v, years), _series(dates, column, years), strict=True):
-                table = table.append_column(name, pa.array(got, pa.float64()))
-        return table
 
-    return series.groupBy(key).applyInArrow(run, schema)
+def _whole_keys(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole keys from batches sorted by key, each with its rows' key numbers."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        ends = batch[key]
+        if held[0][key][0].as_py() == ends[-1].as_py():
+            continue  # one key so far
+        table = pa.Table.from_batches(held)
+        number = _numbers(table[key])
+        cut = int(np.searchsorted(number, number[-1]))
+        yield table.slice(0, cut), number[:cut]
+        held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, _numbers(table[key])
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    codes = column.combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.cumsum(np.r_[0, codes[1:] != codes[:-1]]).astype(np.int64)
+
+
+def percentiles(series: DataFrame, values: list[str], key: str = "code", day: str = "date", years: tuple[int, ...] = YEARS, after: str | None = None) -> DataFrame:
+    """``series`` with five columns a value. Rows without a date get nulls; those without a key are one key.
+
+    With ``after``, the name of a date column, only the rows later than it (or where it is null) are ranked and
+    returned, without that column; the others are samples.
+    """
+    names = [n for v in values for n in column_names(v, years)]
+    kept = [f for f in series.schema.fields if f.name != after]
+    schema = T.StructType([*kept, *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in _whole_keys(batches, key):
+            days = table[day].cast(pa.date32()).to_numpy().astype("M8[D]")
+            asked = np.ones(len(number), bool)
+            if after:
+                last = table[after].cast(pa.date32()).to_numpy().astype("M8[D]")
+                asked = np.isnat(last) | (days > last)
+                table = table.drop_columns([after])
+            for v in values:
+                column = table[v].cast(pa.float64()).to_numpy()
+                for name, got in zip(column_names(v, years), ranked(number, days, column, asked, years), strict=True):
+                    table = table.append_column(name, pa.array(got, pa.float64(), from_pandas=True))
+            yield from (table if asked.all() else table.filter(pa.array(asked))).to_batches()
+
+    return series.repartition(key).sortWithinPartitions(key, day).mapInArrow(run, schema)
 
 
 def percentiles_by_window(series: DataFrame, value: str, key: str = "code", day: str = "date", years: tuple[int, ...] = YEARS) -> DataFrame:
@@ -111,10 +158,7 @@ def percentiles_by_window(series: DataFrame, value: str, key: str = "code", day:
 def appended_percentiles(series: DataFrame, existing: DataFrame, values: list[str], key: str = "code", day: str = "date", years: tuple[int, ...] = YEARS) -> DataFrame:
     """Percentiles of the rows after each key's last existing date, ranked over the key's full history.
 
-    Keys without new rows are left out before anything is ranked.
+    Older rows are samples only: their own percentiles aren't computed.
     """
     last = existing.groupBy(key).agg(F.max(day).alias("_last"))
-    marked = series.join(last, key, "left")
-    stale = marked.groupBy(key).agg(F.max(F.col("_last").isNull() | (F.col(day) > F.col("_last"))).alias("_new")).where("_new").select(key)
-    ranked = percentiles(series.join(stale, key, "left_semi"), values, key, day, years)
-    return ranked.join(last, key, "left").where(F.col("_last").isNull() | (F.col(day) > F.col("_last"))).drop("_last")
+    return percentiles(series.join(last, key, "left").select(*series.columns, "_last"), values, key, day, years, after="_last")
