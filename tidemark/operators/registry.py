@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.specs import SPECS, TableSpec
 
-FAILED = ("failed", "failed_retryable", "error")
+
+
+def is_failed(status: Column) -> Column:
+    """``failed`` or any ``failed_...``."""
+    return F.coalesce((status == "failed") | status.startswith("failed_"), F.lit(False))
+
+
+def is_skipped(status: Column) -> Column:
+    return F.coalesce(status.startswith("skipped"), F.lit(False))
 
 
 def date_ranges(rows: DataFrame, key: str, day: str) -> DataFrame:
@@ -40,14 +48,22 @@ def status_by_dataset(status: DataFrame) -> DataFrame:
 
 
 def session_summary(outcomes: DataFrame) -> DataFrame:
-    """Per code: its datasets by outcome; skipped only where it neither succeeded nor failed. The code ``*`` is none."""
-    rows = outcomes.where("code != '*'").groupBy("code", "dataset").agg(F.max(F.col("status") == "success").alias("ok"), F.max(F.col("status").isin(*FAILED)).alias("bad"), F.max(F.col("status") == "skipped").alias("idle"))
-    listed = lambda cond: F.concat_ws(",", F.sort_array(F.collect_list(F.when(cond, F.col("dataset")))))
-    return rows.groupBy("code").agg(listed(F.col("ok")).alias("success"), listed(F.col("bad")).alias("failed"), listed(F.col("idle") & ~F.col("ok") & ~F.col("bad")).alias("skipped"))
+    """Per code: its datasets by outcome, and whether it succeeded, failed, or was only skipped.
+
+    The code ``*`` (or none) stands for no security and is left out, as are outcomes without a dataset.
+    """
+    rows = outcomes.where("coalesce(code, '') not in ('', '*') and coalesce(dataset, '') != ''")
+    status = F.col("status")
+    each = {"success": F.coalesce(status == "success", F.lit(False)), "failed": is_failed(status), "skipped": is_skipped(status)}
+    told = rows.where(each["success"] | each["failed"] | each["skipped"])
+    out = told.groupBy("code").agg(*[F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("dataset")))), ",").alias(n) for n, c in each.items()])
+    return out.withColumns({"succeeded": F.col("success") != "", "any_failed": F.col("failed") != "", "only_skipped": (F.col("success") == "") & (F.col("failed") == "")})
 
 
 def run_counters(records: DataFrame) -> DataFrame:
-    return records.agg(F.count_if(F.col("status") == "success").alias("success"), F.count_if(F.col("status").isin(*FAILED)).alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"))
+    """Outcomes of a run: ``failed`` has those that say just that, ``failed_any`` also ``failed_...``."""
+    status = F.col("status")
+    return records.agg(F.count_if(status == "success").alias("success"), F.count_if(status == "failed").alias("failed"), F.count_if(is_failed(status)).alias("failed_any"), F.count_if(is_skipped(status)).alias("skipped"))
 
 
 def status_totals(rows: DataFrame) -> DataFrame:
