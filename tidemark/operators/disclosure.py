@@ -53,3 +53,23 @@ def queue_after(queue: DataFrame, results: DataFrame) -> DataFrame:
     latest = told.groupBy("code").agg(F.max_by("_status", "_at").alias("_status"), F.max("_at").alias("_at"))
     rows = queue.join(latest, "code", "left")
     return rows.withColumns({"status": F.coalesce("_status", "status"), "updated_at": F.coalesce("_at", "updated_at")}).drop("_status", "_at")
+
+
+RETRYABLE = ("pending", "failed_retryable")
+
+
+def enqueued(queue: DataFrame, changed: DataFrame, dataset: str, reason: str, now: str) -> DataFrame:
+    """The queue with each changed ``code`` waiting: its open rows start anew, a code without one gets a row.
+
+    ``queue``: ``code``, ``trigger_dataset``, ``trigger_reason``, ``triggered_at``, ``status``, ``last_attempt_at``,
+    ``error_stack``. Rows that are done stay as they are; null codes are ignored.
+    """
+    at = F.lit(now).cast("timestamp_ntz")
+    fresh = {"trigger_dataset": F.lit(dataset), "trigger_reason": F.lit(reason), "triggered_at": at, "status": F.lit("pending"), "last_attempt_at": F.lit(None).cast("timestamp_ntz"), "error_stack": F.lit("")}
+    codes = changed.where("code is not null").select("code").distinct()
+    rows = queue.join(codes.withColumn("_hit", F.lit(True)), "code", "left")
+    hit = F.col("_hit") & F.col("status").isin(*RETRYABLE)
+    # all new values are from the old row: status is among them
+    kept = rows.select("code", *[F.when(hit, v).otherwise(F.col(c)).alias(c) for c, v in fresh.items()])
+    new = codes.join(queue.where(F.col("status").isin(*RETRYABLE)).select("code"), "code", "left_anti")
+    return kept.unionByName(new.select("code", *[v.alias(c) for c, v in fresh.items()]))

@@ -15,8 +15,9 @@ OPERATIONAL = ("fetched_at", "updated_at", "created_at", "ingested_at", "downloa
 
 
 def row_text(columns: list[str]) -> Column:
-    """A row's values as one text, null told from empty."""
-    return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns])
+    """A row's values as one text, each after its length: null is told from empty, and no two rows read alike."""
+    told = lambda c: F.concat(F.length(c).cast("string"), F.lit(":"), c)
+    return F.concat_ws("|", *[F.coalesce(told(F.col(c).cast("string")), F.lit("~")) for c in columns])
 
 
 def content_hash(columns: list[str]) -> Column:
@@ -64,18 +65,25 @@ def signatures(sources: DataFrame, master: DataFrame, key: str, described: list[
     return own.select(key, F.sha2(F.concat_ws("#", "parts", "master_row_hash"), 256).alias("source_signature"), "master_row_hash")
 
 
-def changed_keys(expected: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """``key``, ``action`` (build, rebuild or delete), ``reason`` for keys that are not as their sources want them."""
+def changed_keys(expected: DataFrame, stored: DataFrame, key: str, updated: DataFrame | None = None) -> DataFrame:
+    """``key``, ``action`` (build, rebuild or delete), ``reason`` for keys that are not as their sources want them.
+
+    Keys in ``updated``, whose sources were written again since some moment, are rebuilt whatever the signatures say.
+    """
     a = expected.select(key, F.col("source_signature").alias("want"), F.col("master_row_hash").alias("want_master"), F.lit(True).alias("wanted"))
     b = stored.select(key, F.col("source_signature").alias("have"), F.col("master_row_hash").alias("have_master"), F.lit(True).alias("held"))
     both = a.join(b, key, "full")
+    late = F.lit(False)
+    if updated is not None:
+        both = both.join(updated.select(key).distinct().withColumn("late", F.lit(True)), key, "left")
+        late = F.coalesce("late", F.lit(False))
     action = (
         F.when(F.col("wanted").isNull(), "delete").when(F.col("held").isNull(), "build")
-        .when(~F.col("want").eqNullSafe(F.col("have")) | ~F.col("want_master").eqNullSafe(F.col("have_master")), "rebuild")
+        .when(~F.col("want").eqNullSafe(F.col("have")) | ~F.col("want_master").eqNullSafe(F.col("have_master")) | late, "rebuild")
     )
     reason = (
         F.when(F.col("wanted").isNull(), "no source").when(F.col("held").isNull(), "no target")
-        .when(~F.col("want_master").eqNullSafe(F.col("have_master")), "master").otherwise("signature")
+        .when(~F.col("want_master").eqNullSafe(F.col("have_master")), "master").when(~F.col("want").eqNullSafe(F.col("have")), "signature").otherwise("updated")
     )
     return both.select(key, action.alias("action"), reason.alias("reason")).where("action is not null")
 
@@ -85,10 +93,16 @@ def missing_partitions(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(known, ["dataset", "partition_value"], "left_anti")
 
 
-def without_completed(tasks: DataFrame, checkpoints: DataFrame, keys: list[str]) -> DataFrame:
-    """Tasks whose latest checkpoint isn't a success. A checkpoint without a time is older than any."""
+def without_completed(tasks: DataFrame, checkpoints: DataFrame, keys: list[str], outputs: DataFrame | None = None) -> DataFrame:
+    """Tasks whose latest checkpoint isn't a success, or whose output is gone where ``outputs`` (by ``keys``) tells.
+
+    ``keys`` with a start and an end date ask for that very range, with the end alone for any that ends there;
+    checkpoints without one of the keys count for nothing. A checkpoint without a time is older than any.
+    """
     order = F.struct(F.col("updated_at").isNotNull(), "updated_at")
-    done = checkpoints.groupBy(*keys).agg(F.max_by("status", order).alias("status")).where("status = 'success'").select(*keys)
+    known = checkpoints.dropna(subset=keys)
+    done = known.groupBy(*keys).agg(F.max_by("status", order).alias("status")).where("status = 'success'").select(*keys)
+    done = done if outputs is None else done.join(outputs.select(*keys), keys, "left_semi")
     return tasks.join(done, keys, "left_anti")
 
 

@@ -101,3 +101,12 @@ def stale_values(target: DataFrame, source: DataFrame, column: str) -> DataFrame
 def first_seen(rows: DataFrame, value: str, order: str) -> DataFrame:
     """Distinct values in the order of their first appearance."""
     return rows.groupBy(value).agg(F.min(order).alias(order)).orderBy(order)
+
+
+def skippable_tasks(tasks: DataFrame, held: DataFrame, calendar: DataFrame, endpoint: str, by: list[str] | None = None) -> DataFrame:
+    """Tasks (``code`` and ``by``) that need no fetch: the latest held row of the code came from the confirmed
+    ``endpoint`` and isn't older than the latest trading day. Without a trading day none is skippable."""
+    keys = ["code", *(by or [])]
+    last = held.where("date is not null").groupBy(*keys).agg(F.max_by("source_endpoint", "date").alias("source_endpoint"), F.max("date").alias("date"))
+    trading = calendar.where("is_trading_day = '1'").agg(F.max("calendar_date").alias("_day"))
+    return tasks.join(last, keys).join(F.broadcast(trading)).where((F.col("source_endpoint") == endpoint) & (F.col("date") >= F.col("_day"))).select(*tasks.columns)

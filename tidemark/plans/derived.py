@@ -25,8 +25,16 @@ def _six_digit_id() -> Column:
 
 
 def build_master(lake: Lake) -> DataFrame:
+    """From the latest quotes, those of the second vendor where the first has none; where no index membership is stored,
+    the symbols of the feature series stand for it."""
+    spot = lake.latest("akshare_cn_stock_spot_quote_eastmoney")
+    if not spot.take(1):
+        spot = lake.latest("akshare_cn_stock_spot_quote_sina")
+    membership = lake.read("qlib_cn_instrument_membership")
+    if not membership.take(1):
+        membership = lake.partitions("qlib_cn_stock_features_day").select(F.col("partition_value").alias("qlib_symbol"), F.lit(None).cast("date").alias("end_date"))
     gone = lake.latest("akshare_cn_stock_delist_sh").unionByName(lake.latest("akshare_cn_stock_delist_sz"))
-    rows = master.security_master(lake.latest("akshare_cn_stock_spot_quote_eastmoney"), gone, lake.read("baostock_cn_stock_basic"), lake.read("qlib_cn_instrument_membership"))
+    rows = master.security_master(spot, gone, lake.read("baostock_cn_stock_basic"), membership)
     return conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), spec(TARGETS[0]).schema)
 
 
@@ -61,7 +69,7 @@ def expected_signatures(lake: Lake, target: str, known: DataFrame) -> DataFrame:
     """What each security's rows of a target would be built from now."""
     if target == TARGETS[1]:
         rows = bar_sources(lake)
-        columns = ["date", "open", "high", "low", "close", "volume", "amount", "adjustment", "quality_status"]
+        columns = sorted({f.name for f in spec(target).schema} & set(rows.columns) - {"security_id", "source_dataset", *lineage.OPERATIONAL})
         parts = rows.groupBy("security_id", "source_dataset").agg(lineage.content_hash(columns).alias("content_hash")).withColumnRenamed("source_dataset", "dataset")
     else:
         a = lake.read("akshare_cn_stock_valuation_eastmoney").withColumn("security_id", _six_digit_id())
@@ -71,11 +79,21 @@ def expected_signatures(lake: Lake, target: str, known: DataFrame) -> DataFrame:
     return lineage.signatures(parts.withColumn("partition_value", F.col("security_id")), known, "security_id", list(DESCRIBED))
 
 
-def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str] | None = None, full: bool = False) -> dict[str, int]:
+def updated_since(lake: Lake, target: str, since: str) -> DataFrame:
+    """Securities with a source row of the target that was fetched at that moment or later."""
+    moment = F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz")
+    if target == TARGETS[1]:
+        return bar_sources(lake).where(moment).select("security_id").distinct()
+    rows = lake.read("akshare_cn_stock_valuation_eastmoney")
+    rows = rows.where(moment) if "fetched_at" in rows.columns else rows.limit(0)
+    return rows.select(_six_digit_id().alias("security_id")).where("security_id is not null").distinct()
+
+
+def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str] | None = None, full: bool = False, changed_since: str | None = None) -> dict[str, int]:
     """Build targets in order; the master always in full. Returns how many securities each child rebuilt.
 
     A child is built in full where it or its ledger is missing, or on request; else for the named securities, or for
-    those whose sources or attributes changed. Partitions without a source are deleted. The ledger keeps the signature
+    those whose sources or attributes changed, or were fetched at or after ``changed_since``. Partitions without a source are deleted. The ledger keeps the signature
     that each partition was built from.
     """
     lake.rebuild(TARGETS[0], build_master(lake))
@@ -92,7 +110,7 @@ def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str]
             lake.rebuild(target, rows)
             chosen = want
         else:
-            plan = lineage.changed_keys(want, held.select(F.col("partition_value").alias("security_id"), "source_signature", "master_row_hash"), "security_id")
+            plan = lineage.changed_keys(want, held.select(F.col("partition_value").alias("security_id"), "source_signature", "master_row_hash"), "security_id", updated_since(lake, target, changed_since) if changed_since else None)
             plan = plan if securities is None else want.where(F.col("security_id").isin(securities)).select("security_id", F.lit("rebuild").alias("action"))
             lake.delete_partitions(target, [r[0] for r in plan.where("action = 'delete'").select("security_id").collect()])
             chosen = want.join(plan.where("action <> 'delete'"), "security_id", "left_semi")
