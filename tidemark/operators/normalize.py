@@ -96,19 +96,26 @@ def required(df: DataFrame, headers: dict[str, tuple[str, ...]], endpoint: str)
     return df.select(*[F.col(f"`{c}`").alias(t) for t, c in found.items()])
 
 
+def filled(df: DataFrame, endpoint: str) -> DataFrame:
+    """``df``; a vendor's table without rows is an error, not a market without securities."""
+    if not df.take(1):
+        raise SchemaDriftError(f"{endpoint} has no rows")
+    return df
+
+
 def _shaped(df: DataFrame, table: str, **extra: Column) -> DataFrame:
     return conformed(df.withColumns(extra), spec(table).schema)
 
 
 def spot_quotes_a(df: DataFrame, trade_date: str, fetched_at: str) -> DataFrame:
     """Quotes whose volume counts lots of 100."""
-    rows = required(df, HEADERS["spot_a"], "spot quotes a")
+    rows = required(filled(df, "spot quotes a"), HEADERS["spot_a"], "spot quotes a")
     return _shaped(rows, "akshare_cn_stock_spot_quote_eastmoney", code=codes.source_code(F.col("source_symbol")), volume=to_number(F.col("volume")) * 100, trade_date=F.lit(trade_date), source_endpoint=F.lit("stock_zh_a_spot_em"), fetched_at=F.lit(fetched_at))
 
 
 def spot_quotes_b(df: DataFrame, trade_date: str, reason: str, fetched_at: str) -> DataFrame:
     """Quotes of the fallback source: volume in shares, with bid and ask."""
-    rows = required(df, HEADERS["spot_b"], "spot quotes b")
+    rows = required(filled(df, "spot quotes b"), HEADERS["spot_b"], "spot quotes b")
     return _shaped(rows, "akshare_cn_stock_spot_quote_sina", code=codes.source_code(F.col("source_symbol")), trade_date=F.lit(trade_date), source_endpoint=F.lit("stock_zh_a_spot"), is_fallback=F.lit("true"), fallback_reason=F.lit(reason), fetched_at=F.lit(fetched_at))
 
 

@@ -1,4 +1,4 @@
-"""Data quality as one pass: every rule of a table counts its violations in the same aggregation."""
+"""Data quality: every rule of a table counts its violations in one aggregation, and shows the least keys of bad rows."""
 
 from __future__ import annotations
 
@@ -79,15 +79,16 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def row_violations(df: DataFrame, rules: dict[str, tuple[str, Column]], keys: list[str], table: str) -> DataFrame:
-    """``dataset``, ``rule``, ``severity``, ``violations``, ``sample`` (the least keys of bad rows) for each rule, in one pass.
+    """``dataset``, ``rule``, ``severity``, ``violations``, ``sample`` (the least keys of bad rows) for each rule.
 
-    Samples are ranked in parts first, so a rule that most rows break hands on few keys.
+    All rules are counted in one aggregation without a shuffle of rows; only bad rows are looked at for samples. These
+    are ranked in parts first, so a rule that most rows break hands on few keys.
     """
     key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    marks = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"), c.alias("bad")) for r, (s, c) in rules.items()])
-    rows = df.select(key.alias("key"), F.explode(marks).alias("m")).select("key", "m.*")
-    counts = rows.groupBy("rule", "severity").agg(F.count_if("bad").alias("violations"))
-    bad = rows.where("bad").select("rule", "key")
+    counted = df.agg(*[F.count_if(c).alias(r) for r, (_, c) in rules.items()])
+    counts = counted.select(F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"), F.col(r).alias("violations")) for r, (s, _) in rules.items()])).alias("m")).select("m.*")
+    broken = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, (_, c) in rules.items()]))
+    bad = df.select(key.alias("key"), F.explode(broken).alias("rule"))
     # ranks stop at SAMPLE within each part before the parts meet, so a rule that most rows break sends few keys on
     part = Window.partitionBy("rule", F.pmod(F.xxhash64("key"), F.lit(256))).orderBy("key")
     some = bad.distinct().withColumn("n", F.row_number().over(part)).where(F.col("n") <= SAMPLE)

@@ -19,7 +19,9 @@ def decoded(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for symbol, field, content in zip(*(batch[c].to_pylist() for c in ("symbol", "field", "content")), strict=True):
-                data = np.frombuffer(content[: len(content) // 4 * 4], "<f4")
+                if len(content) % 4:
+                    raise ValueError(f"the {field} series of {symbol} has {len(content)} bytes, no whole number of float32 values")
+                data = np.frombuffer(content, "<f4")
                 if len(data) > 1:
                     value = data[1:].astype(np.float64)
                     n = len(value)

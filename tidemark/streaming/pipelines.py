@@ -17,7 +17,7 @@ def event_tail(spark: SparkSession, path: str, since: int = 0) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).json(path).where(F.col("event_id") > since)
 
 
-def upserts(rows: DataFrame, lake: Lake, table: str, checkpoint: str, skip_existing: bool = False, order: str | None = None) -> StreamingQuery:
+def upserts(rows: DataFrame, lake: Lake, table: str, checkpoint: str, skip_existing: bool = False, order: list[str] | None = None) -> StreamingQuery:
     """Each micro-batch merged into a table: a later row replaces an earlier one of its key.
 
     A batch that runs again merges the same rows to the same end. Within a batch the last row by ``order`` stands.
@@ -28,7 +28,7 @@ def upserts(rows: DataFrame, lake: Lake, table: str, checkpoint: str, skip_exist
         from ..operators.merge import latest_per_key
         from ..plans.specs import spec
 
-        own = latest_per_key(batch, list(spec(table).keys), [order]) if order else batch
+        own = latest_per_key(batch, list(spec(table).keys), order) if order else batch
         if own.take(1):
             lake.write(table, own, "upsert", skip_existing)
 
