@@ -309,17 +309,36 @@ def universe_valued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.valuation_universe(*_spot_delisted(spark, sf_dir))
 
 
+@bound(f"""with {BARS}, m as (select lpad(user_id::varchar, 6, '0') as code from events group by 1 having count(*) > 1),
+r as (select 'SH.' || code as security_id, code, date, close, case when code like '%1' then '' else 'a' end as endpoint, 'first' as source, 0 as rank from bars where volume = 1
+  union all select 'SH.' || code, code, date, close + 1, 'b', 'second', 1 from bars where code not like '%5'),
+b as (select * from r qualify row_number() over (partition by security_id, date order by rank) = 1)
+select b.security_id, b.date, b.close, b.source as source_dataset, coalesce(nullif(endpoint, ''), 'unknown') as source_endpoint, b.code, 'SH' as exchange from b join m using (code)""")
+def canonical_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of two sources under one id: the preferred source where it has the day, with the master's attributes."""
+    rows = bars(spark, sf_dir).withColumns({"security_id": F.concat(F.lit("SH."), "code"), "adjustment": F.lit("unadjusted"), "quality_status": F.lit("ok")})
+    first = rows.where("volume = 1").withColumns({"source_dataset": F.lit("first"), "source_endpoint": F.when(F.col("code").endswith("1"), "").otherwise("a")})
+    second = rows.where(~F.col("code").endswith("5")).withColumns({"close": F.col("close") + 1, "source_dataset": F.lit("second"), "source_endpoint": F.lit("b")})
+    known = table(spark, sf_dir, "events").groupBy(F.lpad(F.col("user_id").cast("string"), 6, "0").alias("code")).agg(F.count("*").alias("n")).where("n > 1")
+    known = known.select(F.concat(F.lit("SH."), "code").alias("security_id"), "code", F.lit("SH").alias("exchange"), F.lit("x").alias("name"), F.lit(True).alias("is_active"))
+    return master.canonical_bars([first, second], known, "first").select("security_id", "date", "close", "source_dataset", "source_endpoint", "code", "exchange")
+
+
 # --- reshaping and typing ---------------------------------------------------------------------------------------------
 
 
-@bound("""select l_orderkey, l_linenumber, item_name, coalesce(item_value_text, '') as item_value_text, try_cast(item_value_text as double) as item_value from (
-  select l_orderkey, l_linenumber, unnest(['quantity', 'extendedprice', 'discount', 'flag']) as item_name,
-    unnest([l_quantity::bigint::varchar, l_extendedprice::bigint::varchar, case when l_discount > 0 then (l_discount * 100)::int::varchar end, l_returnflag]) as item_value_text from lineitem)""")
+@bound("""select report_date, item_name, case when item_value_text is null then '' else item_value_text end as item_value_text, try_cast(item_value_text as double) as item_value, last_day(try_strptime(report_date, '%Y%m%d')::date) as period_end_date, '600000' as code, 'sh600000' as source_symbol from (
+  select strftime(last_day(l_shipdate::date), '%Y%m%d') as report_date, unnest(['quantity', 'extendedprice', 'lines', 'flag']) as item_name,
+    unnest([sum(l_quantity)::bigint::varchar, round(sum(l_extendedprice))::bigint::varchar, case when count(*) % 3 <> 0 then count(*)::varchar end, max(l_returnflag)]) as item_value_text from lineitem group by 1)""")
 def unpivot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    half_even = lambda c: F.bround(c).cast("bigint").cast("string")
-    wide = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", half_even(F.col("l_quantity")).alias("quantity"), half_even(F.col("l_extendedprice")).alias("extendedprice"), F.when(F.col("l_discount") > 0, half_even(F.col("l_discount") * 100)).alias("discount"), F.col("l_returnflag").alias("flag"))
-    long = wide.unpivot(["l_orderkey", "l_linenumber"], ["quantity", "extendedprice", "discount", "flag"], "item_name", "item_value_text")
-    return long.withColumns({"item_value": coerce.to_number(F.col("item_value_text")), "item_value_text": F.coalesce("item_value_text", F.lit(""))})
+    """Monthly figures as a vendor's wide statement, a column an item, by ``report_items``."""
+    whole = lambda c: F.round(c).cast("bigint").cast("string")
+    month = F.date_format(F.last_day(F.col("l_shipdate").cast("date")), "yyyyMMdd")
+    wide = table(spark, sf_dir, "lineitem").groupBy(month.alias("报告日")).agg(
+        whole(F.sum("l_quantity")).alias("quantity"), whole(F.sum("l_extendedprice")).alias("extendedprice"), F.when(F.count("*") % 3 != 0, F.count("*").cast("string")).alias("lines"), F.max("l_returnflag").alias("flag")
+    )
+    rows = normalize.report_items(wide, "600000", "balance", "2024-01-01 00:00:00")
+    return rows.select(F.date_format("period_end_date", "yyyyMMdd").alias("report_date"), "item_name", "item_value_text", "item_value", "period_end_date", "code", "source_symbol")
 
 
 @bound("""select user_id, max(value) filter (event_type = 'view') as view, max(value) filter (event_type = 'click') as click, max(value) filter (event_type = 'purchase') as purchase
@@ -462,6 +481,29 @@ def queue_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.queue_after(queue, results).select("code", "status")
 
 
+@bound(f"""with {_MUTATED}, x as (select distinct code from ((select * from old except select * from fresh) union all (select * from fresh except select * from old))),
+q as (select distinct o_custkey as code, ['pending', 'failed_retryable', 'success'][(o_custkey % 3 + 1)::int] as status from orders where o_custkey % 2 = 0)
+select q.code, case when x.code is not null and status <> 'success' then 'pending' else status end as status, case when x.code is not null and status <> 'success' then 'factor_changed' else 'old' end as trigger_reason from q left join x using (code)
+union all select code, 'pending', 'factor_changed' from x where code not in (select code from q where status <> 'success')""")
+def change_enqueues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes whose series changed wait in the refresh queue."""
+    old, _ = _old_new(spark, sf_dir)
+    status = F.element_at(F.array(F.lit("pending"), F.lit("failed_retryable"), F.lit("success")), (F.col("code") % 3 + 1).cast("int"))
+    none = F.lit(None).cast("timestamp_ntz")
+    queue = table(spark, sf_dir, "orders").where("o_custkey % 2 = 0").select(F.col("o_custkey").alias("code")).distinct()
+    queue = queue.select("code", F.lit("d").alias("trigger_dataset"), F.lit("old").alias("trigger_reason"), none.alias("triggered_at"), status.alias("status"), none.alias("last_attempt_at"), F.lit("").alias("error_stack"))
+    return disclosure.enqueued(queue, merge.changed_sets(old, _fresh(old), "code"), "factors", "factor_changed", "2024-01-01 00:00:00").select("code", "status", "trigger_reason")
+
+
+@bound("""with h as (select user_id as code, ts::date as date, arg_max(event_type, (ts, event_id)) as endpoint from events group by 1, 2), l as (select code, arg_max(endpoint, date) as endpoint, max(date) as date from h group by 1),
+c as (select max(ts::date) as day from events where extract(dow from ts) in (1, 3)) select l.code from l, c where endpoint = 'view' and l.date >= c.day""")
+def skippable_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("date", F.col("ts").cast("date"))
+    held = e.groupBy(F.col("user_id").alias("code"), "date").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("source_endpoint"))
+    calendar = e.select(F.col("date").alias("calendar_date"), F.when(F.dayofweek("date").isin(2, 4), "1").otherwise("0").alias("is_trading_day")).distinct()
+    return merge.skippable_tasks(held.select("code").distinct(), held, calendar, "view")
+
+
 # --- quality, lineage, registry ---------------------------------------------------------------------------------------
 
 _BAR_SPEC = TableSpec("bars", columns("string: code; date: date; double: open high low close; long: volume"), ("code", "date"), "code", rules=("dates", "ohlc", "volume_not_negative", "six_digits", "unique"), date_column="date")
@@ -480,7 +522,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(rows, _BAR_SPEC)
 
 
-_ROW = "'=' || code::varchar || '|=' || date::varchar || '|=' || status"
+_ROW = "length(code::varchar)::varchar || ':' || code::varchar || '|' || length(date::varchar)::varchar || ':' || date::varchar || '|' || length(status)::varchar || ':' || status"
 _LANES = ", ".join(f"':' || sum(('0x' || sha256({_ROW})[{1 + 15 * i}:{15 + 15 * i}])::bigint::hugeint)::varchar" for i in range(3)).replace(", ", " || ")
 
 
@@ -520,6 +562,15 @@ def checkpoint_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.without_completed(e.select("code", "dataset").distinct(), e, ["code", "dataset"])
 
 
+@bound("""with c as (select user_id as code, ts::date as end_date, arg_max(value > 50, (ts, event_id)) as ok from events group by 1, 2), o as (select distinct user_id as code, ts::date as end_date from events where event_type in ('view', 'click'))
+select distinct user_id as code, ts::date as end_date from events where (user_id, ts::date) not in (select (code, end_date) from c where ok and (code, end_date) in (select (code, end_date) from o))""")
+def checkpoint_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By end date, and only where the output is there."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("code"), F.col("ts").cast("date").alias("end_date"), "event_type", F.when(F.col("value") > 50, "success").otherwise("failed").alias("status"), F.struct("ts", "event_id").alias("updated_at"))
+    outputs = e.where("event_type in ('view', 'click')").select("code", "end_date").distinct()
+    return lineage.without_completed(e.select("code", "end_date").distinct(), e, ["code", "end_date"], outputs)
+
+
 @bound(f"with {ORDER_DAYS}, last as (select code, max(date) as d from days where date < date '1999-01-01' group by 1) select days.* from days left join last on days.code = last.code where d is null or date > d")
 def high_water_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = order_days(spark, sf_dir)
@@ -545,12 +596,14 @@ def date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.date_ranges(order_days(spark, sf_dir), "code", "date")
 
 
-_STATUS = "case event_type when 'purchase' then 'success' when 'error' then 'failed' else 'skipped' end"
+_STATUS = "case event_type when 'purchase' then 'success' when 'error' then (case when event_id % 2 = 0 then 'failed' else 'failed_api' end) when 'signup' then 'running' else ['skipped', 'skipped_checkpoint', 'skipped_existing'][(event_id % 3 + 1)::int] end"
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("code"), F.concat(F.lit("d"), (F.col("event_id") % 3).cast("string")).alias("dataset"), F.when(kind == "purchase", "success").when(kind == "error", "failed").otherwise("skipped").alias("status"), "ts", "event_id")
+    kind, n = F.col("event_type"), F.col("event_id")
+    idle = F.element_at(F.array(F.lit("skipped"), F.lit("skipped_checkpoint"), F.lit("skipped_existing")), (n % 3 + 1).cast("int"))
+    status = F.when(kind == "purchase", "success").when(kind == "error", F.when(n % 2 == 0, "failed").otherwise("failed_api")).when(kind == "signup", "running").otherwise(idle)
+    return table(spark, sf_dir, "events").select(F.when(n % 11 != 0, F.col("user_id").cast("string")).otherwise("*").alias("code"), F.concat(F.lit("d"), (n % 3).cast("string")).alias("dataset"), status.alias("status"), "ts", "event_id")
 
 
 @bound(f"""select 'd' || (event_id % 3)::varchar as dataset, max(ts::date) as last_success_date, arg_max({_STATUS}, (ts, event_id)) as status from events group by 1""")
@@ -559,14 +612,16 @@ def status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.status_by_dataset(rows)
 
 
-@bound(f"""with o as (select user_id::varchar as code, 'd' || (event_id % 3)::varchar as dataset, bool_or(event_type = 'purchase') as ok, bool_or(event_type = 'error') as bad, bool_or({_STATUS} = 'skipped') as idle from events group by 1, 2)
-select code, coalesce(string_agg(dataset, ',' order by dataset) filter (ok), '') as success, coalesce(string_agg(dataset, ',' order by dataset) filter (bad), '') as failed,
-  coalesce(string_agg(dataset, ',' order by dataset) filter (idle and not ok and not bad), '') as skipped from o group by 1""")
+@bound(f"""with o as (select user_id::varchar as code, 'd' || (event_id % 3)::varchar as dataset, {_STATUS} as status from events where event_id % 11 <> 0),
+k as (select code, dataset, case when status = 'success' then 's' when status = 'failed' or starts_with(status, 'failed_') then 'f' when starts_with(status, 'skipped') then 'k' end as kind from o),
+d as (select distinct code, dataset, kind from k where kind is not null),
+c as (select code, coalesce(string_agg(dataset, ',' order by dataset) filter (kind = 's'), '') as success, coalesce(string_agg(dataset, ',' order by dataset) filter (kind = 'f'), '') as failed, coalesce(string_agg(dataset, ',' order by dataset) filter (kind = 'k'), '') as skipped from d group by 1)
+select *, success <> '' as succeeded, failed <> '' as any_failed, success = '' and failed = '' as only_skipped from c""")
 def session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.session_summary(_outcomes(spark, sf_dir))
 
 
-@bound(f"select count(*) filter (s = 'success')::bigint as success, count(*) filter (s = 'failed')::bigint as failed, count(*) filter (s = 'skipped')::bigint as skipped from (select {_STATUS} as s from events)")
+@bound(f"select count(*) filter (s = 'success')::bigint as success, count(*) filter (s = 'failed')::bigint as failed, count(*) filter (s = 'failed' or starts_with(s, 'failed_'))::bigint as failed_any, count(*) filter (starts_with(s, 'skipped'))::bigint as skipped from (select {_STATUS} as s from events)")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.run_counters(_outcomes(spark, sf_dir))
 
@@ -595,23 +650,50 @@ def latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- logs -------------------------------------------------------------------------------------------------------------
 
 
-@bound("""select event_id, date_trunc('millisecond', ts) as ts, case event_type when 'purchase' then 'api_started' when 'click' then 'api_completed' when 'error' then 'failed' end as event,
-  case when event_type in ('purchase', 'click') then user_id::varchar end as run_id, case when event_type in ('purchase', 'click', 'error') then lpad(user_id::varchar, 6, '0') end as code from events""")
-def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.lpad(F.col("user_id").cast("string"), 6, "0")
-    call = lambda what: F.concat(F.lit(f"API {what} run_id="), F.col("user_id").cast("string"), F.lit(" pid=1 action=fetch code="), code)
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user, n = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    code = F.lpad(user, 6, "0")
+    call = lambda what: F.concat(F.lit(f"API {what} run_id="), user, F.lit(" pid=1 action=fetch code="), code)
     kind = F.col("event_type")
-    said = F.when(kind == "purchase", call("started")).when(kind == "click", call("completed")).when(kind == "error", F.concat(F.lit("Daily bar API failed for "), code)).otherwise("nothing of note")
-    lines = table(spark, sf_dir, "events").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" INFO module - "), said).alias("value"))
-    return logs.parsed(lines).select("event_id", "ts", "event", "run_id", "code")
+    said = (
+        F.when(kind == "purchase", call("started")).when(kind == "click", call("completed")).when(kind == "error", F.concat(F.lit("Daily bar API failed for "), code))
+        .when(kind == "signup", F.concat(F.lit("Daily update completed run_id="), user, F.lit(" pid=1 records="), n, F.lit(" success="), user, F.lit(" failed=1 skipped=2")))
+        .when(F.col("event_id") % 2 == 0, F.concat(F.lit("Pipeline metadata flush completed run_id="), user, F.lit(" rows=1 elapsed="), (F.col("event_id") % 50).cast("string"), F.lit(".5s")))
+        .otherwise(F.concat(F.lit("refetching from 1990-01-01 run_id="), user))
+    )
+    return table(spark, sf_dir, "events").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" INFO module - "), said).alias("value"))
 
 
-@bound("""with r as (select user_id, event_type, ts, event_id, row_number() over (partition by user_id, event_type order by ts, event_id) as nth from events where event_type in ('purchase', 'click')),
-p as (select user_id, nth, max(ts) filter (event_type = 'purchase') as started_at, max(ts) filter (event_type = 'click') as ended_at from r group by 1, 2)
-select user_id, nth, started_at, ended_at, case when started_at is null then 'unmatched_end' when ended_at is null then 'unmatched_start' when ended_at < started_at then 'out_of_order' else 'paired' end as state from p""")
+_EVENT = "case event_type when 'purchase' then 'api_started' when 'click' then 'api_completed' when 'error' then 'failed' when 'signup' then 'run_completed' else (case when event_id % 2 = 0 then 'flushed' else 'refetched' end) end"
+
+
+@bound(f"""select event_id, date_trunc('millisecond', ts) as ts, {_EVENT} as event,
+  case when event_type <> 'error' then user_id::varchar end as run_id, case when event_type in ('purchase', 'click', 'error') then lpad(user_id::varchar, 6, '0') end as code,
+  case when event_type = 'signup' then event_id end as records, case when event_type = 'view' and event_id % 2 = 0 then event_id % 50 + 0.5::double end as elapsed from events""")
+def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logs.parsed(_log_lines(spark, sf_dir)).select("event_id", "ts", "event", "run_id", "code", "records", "elapsed")
+
+
+@bound("""select user_id::varchar as run_id, max(event_id) filter (event_type = 'signup') as records, max(user_id) filter (event_type = 'signup') as success, max(case when event_type = 'signup' then 1 end)::bigint as failed, max(case when event_type = 'signup' then 2 end)::bigint as skipped,
+  0::bigint as stored, count(*) filter (event_type = 'view' and event_id % 2 = 0)::bigint as flushes, coalesce(sum(event_id % 50 + 0.5) filter (event_type = 'view' and event_id % 2 = 0), 0)::double as flush_seconds, count(*) filter (event_type = 'view' and event_id % 2 = 1)::bigint as refetches
+from events where event_type <> 'error' group by 1""")
+def log_run_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logs.run_figures(logs.parsed(_log_lines(spark, sf_dir).withColumn("file", F.col("event_id") % 8)), "event_id", "file")
+
+
+@bound("""with recursive e as (select user_id, event_type = 'purchase' as is_start, ts, row_number() over (partition by user_id order by ts, event_id) as i from events where event_type in ('purchase', 'click')),
+s as (
+  select user_id, 0::bigint as i, null::boolean as is_start, null::timestamp as ts, 0 as queued, 0 as begun, 0 as ended, 0 as lost, false as duplicate from (select distinct user_id from e)
+  union all
+  select e.user_id, e.i, e.is_start, e.ts, case when e.is_start then queued + 1 when queued > 0 then queued - 1 else 0 end, begun + e.is_start::int, ended + (not e.is_start and queued > 0)::int, lost + (not e.is_start and queued = 0)::int, e.is_start and queued > 0
+  from s join e on e.user_id = s.user_id and e.i = s.i + 1),
+t as (select *, lag(lost) over (partition by user_id order by i) as lost_before from s),
+a as (select user_id, begun as nth, ts, duplicate from t where is_start),
+z as (select user_id, ended as nth, ts from t where not is_start and lost = lost_before)
+select a.user_id, a.nth::bigint as nth, a.ts as started_at, z.ts as ended_at, case when z.ts is null then 'unmatched_start' else 'paired' end as state, a.duplicate from a left join z on a.user_id = z.user_id and a.nth = z.nth
+union all select user_id, lost, null, ts, 'unmatched_end', false from t where not is_start and lost > lost_before""")
 def event_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = logs.event_pairs(table(spark, sf_dir, "events"), ["user_id"], "event_type", "purchase", "click", "ts", "event_id")
-    return rows.withColumn("nth", F.col("nth").cast("long"))
+    return logs.event_pairs(table(spark, sf_dir, "events"), ["user_id"], "event_type", "purchase", "click", "ts", "event_id")
 
 
 _RUNS = "runs as (select user_id, event_id as run, ts as started, case when event_type <> 'error' then ts + to_minutes(value::int * 20) end as ended from events where event_type in ('purchase', 'error'))"
@@ -661,13 +743,13 @@ def activity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.activity_sessions(e, "user_id", "ts", "6 hours").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at", "ended_at")})
 
 
-@bound("select event_id, user_id, event_type from events where event_id > 100")
+@bound("select event_id, event_type as dataset, user_id as row_count, ts::date::varchar as min_date, null::varchar as max_date from events where event_id > 100")
 def stream_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a stream of files, drained by one trigger into a table of the shared folder."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{path}*").where("event_id > 100").select("event_id", "user_id", "event_type")
-    return _drained(spark, rows)
+    """The table as a log of JSON lines, tailed by a stream and drained by one trigger into a table of the shared folder."""
+    log = f"{_scratch(spark)}/log"
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("dataset"), F.col("user_id").alias("row_count"), F.col("ts").cast("date").cast("string").alias("min_date"))
+    rows.write.json(log)
+    return _drained(spark, pipelines.event_tail(spark, log, since=100))
 
 
 @bound("select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r = 1")
@@ -683,7 +765,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "1").parquet(f"{path}*").select("user_id", "event_id", "ts", "event_type", "value")
     root = _scratch(spark)
     lake = Lake(spark, f"{root}/lake")
-    pipelines.upserts(rows, lake, name, f"{root}/checkpoint", order="ts").awaitTermination()
+    pipelines.upserts(rows, lake, name, f"{root}/checkpoint", order=["ts", "event_id"]).awaitTermination()
     return lake.read(name).select("user_id", "event_id", "event_type", "value")
 
 
