@@ -54,6 +54,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_1``, ``name_2``, ... that no column of ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
 def let_go(spark: SparkSession) -> None:
     """Have Spark's cleaner drop shuffles that no plan refers to any more, before the next large one is written."""
     for _ in range(2):  # Python lets go of its handles first, then the JVM can
@@ -64,8 +70,3 @@ def let_go(spark: SparkSession) -> None:
 
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
-
-
-def local_path(uri: str) -> str:
-    """A ``file:`` URI as a plain path, for code that takes only such."""
-    return os.path.normpath(uri.removeprefix("file://").removeprefix("file:"))

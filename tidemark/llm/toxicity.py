@@ -1,10 +1,12 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-One dictionary is made of ordinary text, the other of toxic text before the same ordinary text. Both are trained by
-document frequency: the byte pieces that most ordinary documents hold, and the pieces that toxic documents hold far
-more often than ordinary ones. Each window of a text is compressed with either. A window without toxic pieces takes
-the same bytes both ways; what the toxic dictionary saves on the others is counted by size of saving, and a logistic
-model on these counts, fitted on labelled texts that its dictionaries did not see, turns them into a probability.
+zstandard's trainer makes one dictionary from windows of ordinary text and another from toxic text: from the runs of
+it that toxic texts hold significantly more often than ordinary ones, since most words of a toxic text are ordinary.
+Each window of a text is compressed with the ordinary dictionary alone and with the toxic one before it, so that what
+is ordinary in a window takes the same bytes both ways and the difference is what the toxic dictionary saves. A text's
+features count its windows by how much they save, against several thresholds. A logistic model of these counts is
+calibrated on texts that its dictionaries did not see (each third of the sample is scored by dictionaries of the rest),
+and shifted so that ``THRESHOLD`` is the best cut of those that leave ``CLEAN`` of these ordinary texts alone.
 
 The model is fitted on a bounded sample of labelled rows (``TOXIC_ROWS`` and ``ORDINARY_ROWS``, taken by hash of the
 doc_id among those with a text, at most ``FIT_BYTES`` a class); scoring is one narrow pass over all documents.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import LOWER, mixed
+from .storage import is_empty, unused
 
 TOXIC_ROWS = 1500
 ORDINARY_ROWS = 2500
@@ -30,19 +34,26 @@ ORDINARY_ROWS = 2500
 FIT_BYTES = 6 << 20
 #: Texts of a class without which there is no model.
 LEAST = 6
-PIECES = (6, 7, 8)
-TOXIC_BYTES = 4000
-#: Pieces of one length that a dictionary is chosen from, at most (it has room for far fewer).
-MOST_PIECES = 20_000
-ORDINARY_BYTES = 3000
-WINDOW = 64
+#: Lengths of the byte pieces that are compared between the classes, and the least log-likelihood ratio of a toxic one.
+PIECES = (6, 8)
+SIGNIFICANT = 25.0
+TOXIC_BYTES = 1000
+#: Sizes of the ordinary dictionary; the one that tells unseen texts apart best is used.
+ORDINARY_BYTES = (8192, 16384)
+WINDOW = 48
 SAVINGS = (1, 2, 3, 4, 6)
 THRESHOLD = 0.3
-#: More than the bytes of any sampled text.
-PLACES = 1 << 31
+FOLDS = 3
+#: Share of unseen ordinary texts of the sample below the threshold, at least.
+CLEAN = 0.97
+#: A text is a copy in the sample if it shares so many of its ``SKETCH`` least hashes of five-word runs with an earlier one.
+SKETCH = 16
+COPY = 0.5
 _GAPS = re.compile(rb"[\x20\x09-\x0D]+")
 _LOWER = bytes(LOWER)
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
+#: The three repeat offsets that end the tables of every trained dictionary; its content follows.
+_OFFSETS = b"\1\0\0\0\4\0\0\0\x08\0\0\0"
 
 
 def held_out(doc_id: Column, modulus: int = 4, remainder: int = 2) -> Column:
@@ -55,15 +66,30 @@ def flattened(text: bytes) -> bytes:
 
 
 def windows(text: bytes) -> Iterator[bytes]:
-    """Runs of whole words of ``WINDOW`` bytes or a little more; a longer word is a window of its own."""
+    """Runs of whole words of ``WINDOW`` bytes or a little more, each with the blank before it; a longer word is a window of its own."""
     flat = flattened(text)
     at, end = 1, len(flat)
     while at < end:
         stop = flat.find(b" ", min(end - 1, at + WINDOW)) + 1
-        yield flat[at:stop]
+        yield flat[at - 1 : stop]
         at = stop
 
 
+def distinct_texts(flat: list[bytes]) -> list[int]:
+    """Places of the texts that are no near copies of earlier ones: copies would make chance pieces look significant."""
+    holders: dict[int, list[int]] = {}
+    out = []
+    for i, t in enumerate(flat):
+        words = t.split()
+        least = sorted({zlib.crc32(b" ".join(words[k : k + 5])) for k in range(max(1, len(words) - 4))})[:SKETCH]
+        met = Counter(j for h in least for j in holders.get(h, ()))
+        if max(met.values(), default=0) < COPY * len(least):
+            out.append(i)
+            for h in least:
+                holders.setdefault(h, []).append(i)
+    return out
+
+
 def _piece_hashes(flat: bytes, n: int) -> np.ndarray:
     data = np.frombuffer(flat, np.uint8)
     out = np.zeros(max(0, len(data) - n + 1), np.uint64)
@@ -72,84 +98,106 @@ def _piece_hashes(flat: bytes, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def _document_frequencies(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of pieces that at least three texts hold, in how many, and where the first of them has each."""
-    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for i, t in enumerate(texts):
-        h, at = np.unique(_piece_hashes(t, n), return_index=True)
-        hashes.append(h)
-        places.append(i * PLACES + at)
-    keys, first, counts = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-    keep = counts >= 3
-    return keys[keep], counts[keep], np.concatenate(places)[first[keep]]
-
-
-def _worthiest(texts: list[bytes], n: int, worth: np.ndarray, where: np.ndarray) -> list[tuple[float, bytes]]:
-    """The pieces of most worth, with it; only these become Python objects."""
-    best = np.argsort(-worth, kind="stable")[:MOST_PIECES]
-    return [(-float(worth[i]), texts[w // PLACES][w % PLACES : w % PLACES + n]) for i, w in zip(best, where[best].tolist(), strict=True) if worth[i] > 0]
-
-
-def _laid_out(pieces: list[bytes], size: int) -> bytes:
-    """Pieces in order of worth, each unless an earlier one holds it, the worthiest last (nearest to the window)."""
-    out: list[bytes] = []
-    joined, total = b"", 0
-    for p in pieces:
-        if p not in joined:
-            out.append(p)
-            joined += p + b"\0"
-            total += len(p)
-            if total >= size:
-                break
-    return b"".join(out[::-1])
-
-
-def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary from flattened texts."""
-    worth: list[tuple[float, bytes]] = []
-    usual: list[tuple[float, bytes]] = []
-    for n in PIECES:
-        keys, counts, where = _document_frequencies(toxic, n)
-        others = np.zeros(len(keys), np.int64)
-        for t in ordinary if len(keys) else ():
-            h = np.unique(_piece_hashes(t, n))
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            others[at[keys[at] == h]] += 1
-        worth += _worthiest(toxic, n, counts * np.log((counts + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (others + 0.5)), where)
-    for n in PIECES:
-        _, counts, where = _document_frequencies(ordinary[: len(ordinary) // 2 + 1], n)
-        usual += _worthiest(ordinary, n, counts.astype(float), where)
-    common = _laid_out([p for _, p in sorted(usual)], ORDINARY_BYTES) or b" the and of to "
-    return _laid_out([p for _, p in sorted(worth)], TOXIC_BYTES) + common, common
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes.sort()
+    return hashes[np.r_[True, hashes[1:] != hashes[:-1]]] if len(hashes) else hashes
+
+
+class Pieces:
+    """In which texts of the sample each piece occurs that at least three toxic ones hold."""
+
+    def __init__(self, flat: list[bytes], toxic: np.ndarray):
+        self.toxic, self.keys, self.held = toxic, {}, {}
+        for n in PIECES:
+            own = {i: _distinct(_piece_hashes(flat[i], n)) for i in np.flatnonzero(toxic).tolist()}
+            keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *own.values()]), return_counts=True)
+            self.keys[n] = keys = keys[counts >= 3]
+            self.held[n] = [self._places(keys, own[i] if i in own else _distinct(_piece_hashes(t, n))) for i, t in enumerate(flat)]
+
+    @staticmethod
+    def _places(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
+        return at[keys[at] == hashes].astype(np.int32) if len(keys) else np.zeros(0, np.int32)
+
+    def significant(self, n: int, used: np.ndarray) -> np.ndarray:
+        """Hashes of pieces that more of the used toxic than ordinary texts hold, by the log-likelihood ratio of the 2 x 2 table."""
+        total = [int((used & (self.toxic == y)).sum()) for y in (1, 0)]
+        none = np.zeros(0, np.int32)
+        counts = [np.bincount(np.concatenate([none, *(self.held[n][i] for i in np.flatnonzero(used & (self.toxic == y)))]), minlength=len(self.keys[n])) for y in (1, 0)]
+        both, ratio = counts[0] + counts[1], np.zeros(len(self.keys[n]))
+        for seen, of in zip(counts, total, strict=True):
+            for x, expected in ((seen, both * of / sum(total)), (of - seen, (sum(total) - both) * of / sum(total))):
+                ratio += 2 * np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(expected, 1e-9)), 0)
+        return self.keys[n][(ratio >= SIGNIFICANT) & (counts[0] * total[1] > counts[1] * total[0])]
+
+
+def runs_of(flat: bytes, wanted: dict[int, np.ndarray]) -> list[bytes]:
+    """The parts of a text that wanted pieces cover."""
+    step = np.zeros(len(flat) + 1, np.int32)
+    for n, keys in wanted.items():
+        hashes = _piece_hashes(flat, n)
+        if len(keys) and len(hashes):
+            at = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)] == hashes)
+            np.add.at(step, at, 1)
+            np.add.at(step, at + n, -1)
+    covered = np.diff((np.cumsum(step) > 0).astype(np.int8), prepend=np.int8(0))
+    return [flat[a:b] for a, b in zip(np.flatnonzero(covered == 1).tolist(), np.flatnonzero(covered == -1).tolist(), strict=True)]
+
+
+def _trained(samples: list[bytes], size: int) -> bytes:
+    """A dictionary by zstandard's trainer; where samples are too few for it, the distinct samples themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=16 if size < 4096 else 32, d=6, f=16, level=1).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-size:]
+
+
+def _content(dictionary: bytes) -> int:
+    """Where the content of a dictionary begins, after the tables if it has any."""
+    return dictionary.index(_OFFSETS) + len(_OFFSETS) if dictionary[:4] == b"\x37\xa4\x30\xec" else 0
+
+
+def train_toxic(flat: list[bytes], pieces: Pieces, used: np.ndarray) -> bytes:
+    """The toxic dictionary's content, from the telling runs of the used toxic texts."""
+    wanted = {n: pieces.significant(n, used) for n in PIECES}
+    toxic = _trained([r for i in np.flatnonzero(used & (pieces.toxic == 1)) for r in runs_of(flat[i], wanted)], TOXIC_BYTES)
+    return toxic[_content(toxic) :]
+
+
+def train_ordinary(flat: list[bytes], toxic: np.ndarray, used: np.ndarray, size: int) -> bytes:
+    """The ordinary dictionary, from all windows of the used ordinary texts."""
+    return _trained([w for i in np.flatnonzero(used & (toxic == 0)) for w in windows(flat[i])], size) or b" the and of to "
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     parameters = zstandard.ZstdCompressionParameters(
-        min_match=3, strategy=zstandard.STRATEGY_BTOPT, window_log=15, hash_log=12, chain_log=13, search_log=5, target_length=32,
-        write_content_size=False, write_dict_id=False, write_checksum=False,
+        min_match=3, strategy=zstandard.STRATEGY_BTOPT, window_log=17, hash_log=14, chain_log=14, search_log=5, target_length=32,
+        write_content_size=False, write_dict_id=False, write_checksum=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
-    return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=parameters)
+    held = zstandard.ZstdCompressionDict(dictionary)
+    held.precompute_compress(compression_params=parameters)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters)
+
+
+def features(text: bytes, pair: tuple) -> np.ndarray:
+    with_toxic, ordinary = pair
+    saved = np.array([len(ordinary.compress(w)) - len(with_toxic.compress(w)) for w in windows(text)] or [0])
+    return np.array([saved.max(), saved.mean(), *[np.log1p((saved >= k).sum()) for k in SAVINGS], (saved >= 2).mean(), (saved >= 4).mean(), np.log1p(len(saved))])
 
 
 class Model:
     """Dictionaries and, once calibrated, the weights of the logistic model."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
-        self.toxic, self.ordinary = toxic, ordinary
+        at = _content(ordinary)
+        self.toxic, self.ordinary = ordinary[:at] + toxic + ordinary[at:], ordinary
         self.mean = self.spread = self.weights = np.zeros(0)
-        self.rate = 0.0
-
-    def features(self, text: bytes, pair: tuple) -> np.ndarray:
-        by_toxic, by_ordinary = pair
-        saved = np.array([len(by_ordinary.compress(w)) - len(by_toxic.compress(w)) for w in windows(text)] or [0])
-        return np.array([saved.max(), saved.mean(), *[np.log1p((saved >= k).sum()) for k in SAVINGS], (saved >= 2).mean(), (saved >= 4).mean(), np.log1p(len(saved))])
 
     def compressors(self) -> tuple:
         return _compressor(self.toxic), _compressor(self.ordinary)
 
-    def calibrate(self, texts: list[bytes], labels: np.ndarray, base_rate: float | None = None) -> Model:
-        pair = self.compressors()
-        x = np.array([self.features(t, pair) for t in texts])
+    def calibrate(self, x: np.ndarray, labels: np.ndarray) -> float:
+        """Fit the weights on features of unseen texts, put the cut at ``THRESHOLD``; the shares that are right at it, summed."""
         self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
         a = np.c_[np.ones(len(x)), (x - self.mean) / self.spread]
         w = np.zeros(a.shape[1])
@@ -157,28 +205,33 @@ class Model:
             p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
             hessian = (a * (p * (1 - p))[:, None]).T @ a + 0.1 * np.eye(len(w))
             w += np.linalg.solve(hessian, a.T @ (labels - p) - 0.1 * w)
-        if base_rate:  # the sample holds more toxic rows than the labels do
-            share = labels.mean()
-            w[0] += np.log(base_rate / (1 - base_rate)) - np.log(share / (1 - share))
+        z = np.clip(a @ w, -30, 30)
+        cuts = np.unique(z)
+        cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
+        clean = np.searchsorted(np.sort(z[labels == 0]), cuts) / (labels == 0).sum()
+        caught = 1 - np.searchsorted(np.sort(z[labels == 1]), cuts) / (labels == 1).sum()
+        right = np.where(clean >= CLEAN, caught + clean, clean - 1)
+        w[0] += np.log(THRESHOLD / (1 - THRESHOLD)) - cuts[np.argmax(right)]
         self.weights = w
-        self.rate = base_rate or float(labels.mean())
-        return self
+        return float(right.max())
 
     def score(self, x: np.ndarray) -> np.ndarray:
         a = np.c_[np.ones(len(x)), (x - self.mean) / self.spread]
         chance = 1 / (1 + np.exp(-np.clip(a @ self.weights, -30, 30)))
-        # without a window that saves a byte there is no evidence: no more than the share of toxic labels
-        return np.where(x[:, 0] > 0, chance, np.minimum(chance, min(self.rate, THRESHOLD / 2)))
+        # without a window that saves a byte there is no evidence
+        return np.where(x[:, 0] > 0, chance, np.minimum(chance, THRESHOLD / 2))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from a bounded sample of the labelled rows that are not held out; None if there are none.
+    """A model from a bounded sample of the labelled rows that are not held out; None if there are no labels or no documents.
 
+    A doc_id with both labels is left out; of rows that share a doc_id the shortest text, then the first, is taken.
     Raises ValueError if labels exist but a class has under ``LEAST`` texts, rather than let every text pass.
     """
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("also")).where("toxic = also").drop("also")
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    if not counts or is_empty(docs):
         return None
     by_hash = F.xxhash64("doc_id")
     texts = docs.where("text is not null").select("doc_id", "text", F.octet_length("text").alias("size"))
@@ -193,50 +246,60 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         if n < LEAST:
             raise ValueError(f"labels exist, but only {n} texts of class {label} fit the sample; a model needs {LEAST}")
     sample = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, size int")
-    rows = texts.join(F.broadcast(sample), ["doc_id", "size"]).select("doc_id", "text", "toxic").dropDuplicates(["doc_id", "toxic"])
+    rows = texts.join(F.broadcast(sample), ["doc_id", "size"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     table = rows.toArrow()
     order = np.argsort([zlib.crc32(f"fit{i}".encode()) for i in table["doc_id"].to_pylist()], kind="stable")
-    texts = [t.encode() for t in table["text"].take(order).to_pylist()]
+    flat = [flattened(t.encode()) for t in table["text"].take(order).to_pylist()]
     toxic = np.array(table["toxic"].take(order).to_pylist())
-    seen = np.arange(len(texts)) % 3 != 0
-    flat = [flattened(t) for t in texts]
-    pick = lambda label, where: [t for t, s, y in zip(flat, where, toxic, strict=True) if s and y == label]
-    rest = ~seen
-    if len(set(toxic[rest].tolist())) < 2:
-        raise ValueError("labels exist, but the texts kept for calibration are of one class")
-    # weights come from texts that the dictionaries did not see; the final dictionaries see all of the sample
-    trial = Model(*train_dictionaries(pick(1, seen), pick(0, seen)))
-    trial.calibrate([t for t, r in zip(texts, rest, strict=True) if r], toxic[rest], counts[1] / (counts[0] + counts[1]))
-    final = Model(*train_dictionaries(pick(1, seen | rest), pick(0, seen | rest)))
-    final.mean, final.spread, final.weights, final.rate = trial.mean, trial.spread, trial.weights, trial.rate
-    return final
-
-
-def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``score`` in 0..1. Null and empty texts, like any text without savings, score no more than the share of toxic labels; without a model all score 0.
+    first = distinct_texts(flat)
+    if all((toxic[first] == y).sum() * 2 >= (toxic == y).sum() for y in (0, 1)):  # a sample that is mostly copies stays as it is
+        flat, toxic = [flat[i] for i in first], toxic[first]
+    fold = np.zeros(len(flat), np.int64)
+    for y in (0, 1):
+        fold[toxic == y] = np.arange((toxic == y).sum()) % FOLDS
+    pieces = Pieces(flat, toxic)
+    parts = [train_toxic(flat, pieces, fold != k) for k in range(FOLDS + 1)]  # the last from all texts
+    best: tuple[float, Model] | None = None
+    for size in ORDINARY_BYTES:
+        x: list = [None] * len(flat)
+        for k in range(FOLDS):
+            pair = Model(parts[k], train_ordinary(flat, toxic, fold != k, size)).compressors()
+            for i in np.flatnonzero(fold == k):
+                x[i] = features(flat[i], pair)
+        model = Model(parts[FOLDS], train_ordinary(flat, toxic, fold >= 0, size))
+        right = model.calibrate(np.array(x), toxic)
+        if best is None or right > best[0]:
+            best = right, model
+    return best[1]
+
+
+def scored(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` in 0..1, in place of one that has this name. Null and empty texts, like any text without savings, score half of ``THRESHOLD`` at most; without a model all score 0.
 
     Only the text is read; rows are neither joined nor moved, and other columns pass through untouched.
     """
     if model is None:
-        return docs.withColumn("score", F.lit(0.0))
+        return docs.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pair = shared.value.compressors()
         for column in texts:
-            x = [shared.value.features((t or "").encode(), pair) for t in column.to_pylist()]
+            x = [features((t or "").encode(), pair) for t in column.to_pylist()]
             yield pa.array(shared.value.score(np.array(x)) if x else [], pa.float64())
 
     run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return docs.withColumn("score", F.arrow_udf(run, "double")("text"))
+    return docs.withColumn(name, F.arrow_udf(run, "double")("text"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` but for the rows that score ``THRESHOLD`` or more."""
-    return scored(docs, fit(docs, labels)).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    """``docs`` but for the rows that score ``THRESHOLD`` or more, in the columns that it has, a ``score`` among them left as it is."""
+    name = unused(docs, "score")
+    return scored(docs, fit(docs, labels), name).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``documents``: its score and whether it reaches ``THRESHOLD``; null and empty texts don't, repeated rows score alike, other columns are ignored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = scored(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
