@@ -13,6 +13,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import pyarrow.fs
@@ -28,6 +29,8 @@ CHUNK = 1 << 20
 LEVEL = 6
 GZIP = 16 + zlib.MAX_WBITS
 _BREAK = b"\r\n\r\n"
+#: Fixed by the WARC format: what a revisit of an equal payload says of itself.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -54,18 +57,22 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def record_text(records: DataFrame) -> DataFrame:
-    """``value``: each record's bytes but for the two line breaks that end it."""
+def record_text(records: DataFrame, date: str | None = None) -> DataFrame:
+    """``value``: each record's bytes but for the two line breaks that end it. ``date`` is the moment of capture, by default now."""
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     header = F.concat_ws(
         "\r\n",
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.col("record_type")),
         F.concat(F.lit("WARC-Record-ID: "), name(F.col("page_id"))),
+        F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest")),
         F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
         F.when(F.col("refers_to").isNotNull(), F.concat(F.lit("WARC-Refers-To: "), name(F.col("refers_to")))),
+        F.when(F.col("record_type") == "revisit", F.lit(f"WARC-Profile: {PROFILE}")),
+        F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.coalesce(F.octet_length("payload"), F.lit(0)).cast("string")),
     )
     return records.select(F.concat(header, F.lit("\r\n\r\n"), F.coalesce(F.col("payload").cast("string"), F.lit(""))).alias("value"))
@@ -78,7 +85,16 @@ def write_monolithic(records: DataFrame, path: str) -> str:
 
 
 def _opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
+    """File system and path of a URI; Hadoop's names of S3 are the same store to Arrow."""
+    scheme, _, rest = uri.partition(":")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3:{rest}"
+    elif scheme == "file" and not rest.startswith("//"):
+        uri = f"file://{rest}"
+    try:
+        return pyarrow.fs.FileSystem.from_uri(uri)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"archives can't be read or written at {uri}: use a file, hdfs, s3a or gs folder for spark.checkpoint.dir") from e
 
 
 def _inflated(stream) -> Iterator[bytes]:
@@ -166,7 +182,8 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                 out.move(f"{temporary}.jsonl", f"{name}.idx.jsonl")
                 yield pa.RecordBatch.from_pylist([{"archive": f"{name}.warc.gz", "index": f"{name}.idx.jsonl", "records": n}])
 
-    return files.repartition(F.col("path")).mapInArrow(run, "archive string, index string, records long")
+    # one archive a task: by key alone, adaptive execution would join all of these short rows in one task
+    return files.repartition(max(1, files.count())).mapInArrow(run, "archive string, index string, records long")
 
 
 INDEX_SCHEMA = "archive string, offset long, length long, type string, id string, uri string, digest string"
@@ -205,6 +222,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_warc_normalise(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``pages``, read back from its record in the normalised archives; null html is an empty payload, rows that share a page_id share a record id."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     raw, clean = new_path(spark, "warc-raw"), new_path(spark, "warc")
     write_monolithic(page_records(pages), raw)
