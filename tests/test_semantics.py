@@ -185,3 +185,30 @@ def test_quality_of_rules_that_no_bar_has(spark):
     rows = [("SH.600000", "SH", "600000", "sh.600000", "600000", "sh600000", "active", True), ("SH.1", "SH", "600001", "sh.600002", None, None, "delisted", True), ("SH.1", "SH", "600001", None, None, None, None, None)]
     got = {r["rule"]: (r["violations"], r["sample"]) for r in quality.report(spark.createDataFrame(rows, columns), spec).collect()}
     assert got == {"canonical_id": (2, "SH.1"), "cross_codes": (1, "SH.1"), "active_status": (1, "SH.1"), "unique": (1, "SH.1")}
+
+
+def test_periods_and_calendars(spark):
+    from tidemark.functions import dates
+
+    days = spark.createDataFrame([(D(2024, 3, 31),), (D(2024, 3, 30),), (D(2024, 1, 1),)], "d date")
+    got = {r["d"]: r["p"] for r in days.select("d", dates.rolling_periods(F.col("d"), 3).alias("p")).collect()}
+    assert got == {D(2024, 3, 31): [D(2024, 3, 31), D(2024, 6, 30), D(2024, 9, 30)], D(2024, 3, 30): [D(2023, 12, 31), D(2024, 3, 31), D(2024, 6, 30)], D(2024, 1, 1): [D(2023, 12, 31), D(2024, 3, 31), D(2024, 6, 30)]}
+    around = dates.calendar_around(days, "d", 7)
+    assert around.agg(F.min("calendar_date"), F.max("calendar_date")).first()[:] == (D(2023, 12, 25), D(2024, 4, 7))
+    assert dates.latest_trading_day(around).first()[0] == D(2024, 4, 5) and dates.calendar_around(days.limit(0), "d").count() == 0
+
+
+def test_partition_values_and_views(spark, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}")
+    row = spark.createDataFrame([("2024-01-05", "000001", "PA Bank", 1.0)], "trade_date string, code string, name string, last_price double")
+    name = "akshare_cn_stock_spot_quote_sina"
+    with pytest.raises(quality.QualityError, match="another"):
+        lake.prepared(name, row, "2024-01-06")
+    with pytest.raises(quality.QualityError, match="without"):
+        lake.prepared(name, row.withColumn("trade_date", F.lit(" ")))
+    lake.write(name, row)
+    row.createOrReplaceTempView("v_old_name")
+    lake.create_views(legacy=("v_old_name", "v_never_there"))
+    assert not spark.catalog.tableExists("v_old_name") and spark.table(f"v_{name}").count() == 1
+    figures = lake.file_statistics(name).first()
+    assert (figures["files"], figures["row_count"], figures["min_date"], figures["max_date"]) == (1, 1, D(2024, 1, 5), D(2024, 1, 5))

@@ -59,6 +59,12 @@ def completed_quarters(start: Column, today: Column, last: int | None = None) ->
     return F.slice(ends, F.greatest(F.size(ends) - last + 1, F.lit(1)), last) if last else ends
 
 
+def rolling_periods(today: Column, count: int = 5) -> Column:
+    """``count`` quarter ends, from the last one on or before ``today`` onwards."""
+    first = F.last_day(F.add_months(F.trunc(F.date_add(today, 1), "quarter"), -1))
+    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.last_day(F.add_months(first, i * 3)))
+
+
 def effective_date(stamp: Column, cutoff: str = "18:00") -> Column:
     """The day itself, from the cutoff on the next one."""
     return F.date_add(stamp.cast("date"), F.when(F.date_format(stamp, "HH:mm") >= cutoff, 1).otherwise(0))
@@ -94,6 +100,11 @@ def trading_days(calendar: DataFrame, day: str = "calendar_date", flag: str = "i
     return latest.where(is_trading(F.col(flag))).select(day)
 
 
+def latest_trading_day(calendar: DataFrame, day: str = "calendar_date", flag: str = "is_trading_day") -> DataFrame:
+    """One row ``latest``: the last day that trades, null if none does."""
+    return trading_days(calendar, day, flag).agg(F.max(day).alias("latest"))
+
+
 def trading_day_map(calendar: DataFrame, day: str = "calendar_date", flag: str = "is_trading_day") -> DataFrame:
     """For each date of a calendar: ``on_or_before`` and ``on_or_after``, the trading days around it.
 
@@ -113,7 +124,16 @@ def lookback_start(calendar: DataFrame, end: str | None, days: int, day: str = "
     return upto.orderBy(F.desc(day)).limit(days).agg(F.min(day).alias("start"))
 
 
+def calendar_around(rows: DataFrame, day: str, margin: int = 400) -> DataFrame:
+    """A calendar like that of :func:`calendar_between` from ``margin`` days before the first to as many after the last date of ``rows``."""
+    ends = rows.agg(F.date_sub(F.min(day), margin).alias("a"), F.date_add(F.max(day), margin).alias("b")).where("a is not null")
+    return _weekdays(ends.select(F.explode(F.sequence("a", "b")).alias("calendar_date")))
+
+
 def calendar_between(spark: SparkSession, start: str, end: str) -> DataFrame:
     """A calendar of all days with Monday to Friday trading, for data without one of its own."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("calendar_date"))
+    return _weekdays(spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("calendar_date")))
+
+
+def _weekdays(days: DataFrame) -> DataFrame:
     return days.withColumn("is_trading_day", F.when(F.dayofweek("calendar_date").between(2, 6), "1").otherwise("0"))

@@ -49,6 +49,17 @@ def percentile_columns(spec: TableSpec) -> list[str]:
     return [c for c in spec.schema.names if "_percentile_" in c]
 
 
+#: Columns that no derived row may lack.
+FILLED = ("date", "security_id", "code", "exchange", "adjustment", "source_dataset", "updated_at")
+
+
+def lacking(spec: TableSpec) -> Column:
+    out = F.lit(False)
+    for c in FILLED:
+        out = out | blank(c) if c in spec.schema.names else out
+    return out
+
+
 #: Rule: severity, and the condition that marks a bad row.
 RULES: dict[str, tuple[str, Callable[[TableSpec], Column]]] = {
     "dates": (HARD, lambda s: F.col(s.date_column).isNull()),
@@ -56,6 +67,7 @@ RULES: dict[str, tuple[str, Callable[[TableSpec], Column]]] = {
     "ohlc": (SOFT, lambda s: bad_ohlc()),
     "volume_not_negative": (SOFT, lambda s: not_negative("volume")),
     "amount_not_negative": (SOFT, lambda s: not_negative("amount")),
+    "filled": (HARD, lacking),
     "item_named": (HARD, lambda s: blank("item_name")),
     "canonical_id": (HARD, lambda s: bad_canonical_id()),
     "cross_codes": (HARD, lambda s: bad_cross_codes()),

@@ -390,23 +390,38 @@ def spot_to_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- calendars and periods --------------------------------------------------------------------------------------------
 
 
-@bound("""with c as (select d::date as d, dayofweek(d) between 1 and 5 as t from generate_series(date '1995-01-01', date '2001-12-31', interval 1 day) x(d)),
+_CALENDAR = "(select unnest(generate_series(min(o_orderdate)::date - 400, max(o_orderdate)::date + 400, interval 1 day)) as d from orders)"
+
+
+@bound(f"""with c as (select d::date as d, dayofweek(d) between 1 and 5 as t from {_CALENDAR}),
 m as (select d, max(case when t then d end) over (order by d rows between unbounded preceding and current row) as b, min(case when t then d end) over (order by d rows between current row and unbounded following) as a from c)
 select o_orderdate::date as date, b as on_or_before, a as on_or_after, count(*)::bigint as orders from orders join m on o_orderdate::date = d group by 1, 2, 3""")
 def trading_day_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = dates.trading_day_map(dates.calendar_between(spark, "1995-01-01", "2001-12-31"))
+    known = dates.trading_day_map(dates.calendar_around(order_days(spark, sf_dir), "date"))
     rows = order_days(spark, sf_dir).groupBy("date").agg(F.count("*").alias("orders"))
     return rows.join(known, F.col("date") == F.col("calendar_date")).select("date", "on_or_before", "on_or_after", "orders")
 
 
-@bound("""with last as (select max(o_orderdate)::date as e from orders), c as (select d::date as d from generate_series(date '1995-01-01', date '2001-12-31', interval 1 day) x(d) where dayofweek(d) between 1 and 5)
+@bound(f"""with last as (select max(o_orderdate)::date as e from orders), c as (select d::date as d from {_CALENDAR} where dayofweek(d) between 1 and 5)
 select min(d) as start from (select d from c, last where d <= e order by d desc limit 20)""")
 def lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calendar = dates.calendar_between(spark, "1995-01-01", "2001-12-31")
+    calendar = dates.calendar_around(order_days(spark, sf_dir), "date")
     last = order_days(spark, sf_dir).agg(F.max("date").alias("e"))
     return dates.lookback_start(calendar.join(F.broadcast(last), F.col("calendar_date") <= F.col("e")), None, 20)
 
 
+@bound("""with d as (select distinct o_orderdate::date as date from orders), f as (select date, date_trunc('quarter', date + 1)::date - 1 as first from d)
+select date, unnest([first, last_day((first + interval 3 month)::date), last_day((first + interval 6 month)::date), last_day((first + interval 9 month)::date), last_day((first + interval 12 month)::date)]) as period_end from f""")
+def rolling_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = order_days(spark, sf_dir).select("date").distinct()
+    return days.select("date", F.explode(dates.rolling_periods(F.col("date"))).alias("period_end"))
+
+
+@bound(f"select max(d)::date as latest from {_CALENDAR} where dayofweek(d) between 1 and 5")
+def latest_trading_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dates.latest_trading_day(dates.calendar_around(order_days(spark, sf_dir), "date"))
+
+
 @bound("""with d as (select distinct o_orderdate::date as date from orders), q as (select date, last_day((date_trunc('quarter', date) + interval 2 month)::date) as quarter_end from d)
 select date, quarter_end, year(quarter_end)::varchar || case month(quarter_end) when 3 then '一季' when 6 then '半年报' when 9 then '三季' else '年报' end as period, quarter_end as period_end,
   last_day((quarter_end + interval 3 month)::date) as next_end, last_day((quarter_end - interval 3 month)::date) as previous_end, date = quarter_end as is_end, (date - interval 3 year)::date as three_years_before from q""")

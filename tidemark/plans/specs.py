@@ -102,9 +102,9 @@ _TABLES: dict[str, tuple[str, str, str | None, str, tuple[str, ...]]] = {
     "qlib_cn_calendar_day": ("day", "calendar_date", None, "replace", ("unique",)),
     "qlib_cn_instrument_membership": ("membership", "universe qlib_symbol start_date end_date", None, "replace", ("unique",)),
     "qlib_cn_stock_features_day": ("features", "qlib_symbol date", "qlib_symbol", "replace", ("unique", "dates")),
-    "cn_security_master": ("master", "security_id", None, "replace", ("unique", "canonical_id", "cross_codes", "active_status")),
-    "cn_stock_daily_bar": ("canonical_bar", "date security_id adjustment", "security_id", "upsert", ("unique", "canonical_id", "adjustment", "ohlc")),
-    "cn_stock_valuation": ("canonical_valuation", "date security_id", "security_id", "upsert", ("unique", "canonical_id", "percentiles")),
+    "cn_security_master": ("master", "security_id", None, "replace", ("unique", "filled", "canonical_id", "cross_codes", "active_status")),
+    "cn_stock_daily_bar": ("canonical_bar", "date security_id adjustment", "security_id", "upsert", ("unique", "filled", "canonical_id", "adjustment", "ohlc", "volume_not_negative", "amount_not_negative")),
+    "cn_stock_valuation": ("canonical_valuation", "date security_id", "security_id", "upsert", ("unique", "filled", "canonical_id", "percentiles")),
     "pipeline_runs": ("runs", "task_id", None, "append", ()),
     "dataset_update_status": ("status", "dataset code", None, "upsert", ()),
     "pipeline_checkpoints": ("checkpoints", "pipeline dataset code start_date end_date", None, "upsert", ()),

@@ -65,27 +65,36 @@ class Lake:
         column = spec(name).partition
         return self.read(name).select(F.col(column).cast("string").alias("partition_value")).distinct().orderBy("partition_value")
 
-    def create_views(self) -> list[str]:
-        """A temporary view for each declared table, empty ones included."""
+    def create_views(self, legacy: tuple[str, ...] = ()) -> list[str]:
+        """A temporary view for each declared table, empty ones included; views under ``legacy`` names are dropped."""
+        for name in legacy:
+            self.spark.catalog.dropTempView(name)
         for table in SPECS.values():
             self.read(table.name).createOrReplaceTempView(table.view)
         return [t.view for t in SPECS.values()]
 
     def file_statistics(self, name: str) -> DataFrame:
-        """One row: files, bytes, rows and latest change, from file metadata and a count."""
-        rows = self.spark.read.schema(spec(name).schema).parquet(self.path(name)).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-        files = rows.groupBy("file_path").agg(F.count("*").alias("rows"), F.max("file_size").alias("size"), F.max("file_modification_time").alias("mtime"))
-        return files.agg(F.count("*").alias("files"), F.sum("rows").alias("row_count"), F.sum("size").alias("file_size_bytes"), F.max("mtime").alias("file_mtime"))
+        """One row: files, bytes, rows, first and last date and latest change, from file metadata and one column."""
+        table = spec(name)
+        day = F.col(table.date_column) if table.date_column else F.lit(None).cast("date")
+        rows = self.spark.read.schema(table.schema).parquet(self.path(name)).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time", day.alias("_day"))
+        files = rows.groupBy("file_path").agg(F.count("*").alias("rows"), F.max("file_size").alias("size"), F.max("file_modification_time").alias("mtime"), F.min("_day").alias("first"), F.max("_day").alias("last"))
+        return files.agg(F.count("*").alias("files"), F.sum("rows").alias("row_count"), F.sum("size").alias("file_size_bytes"), F.max("mtime").alias("file_mtime"), F.min("first").alias("min_date"), F.max("last").alias("max_date"))
 
     # --- writing
 
-    def prepared(self, name: str, df: DataFrame) -> DataFrame:
+    def prepared(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
+        """``df`` in the declared shape; rows without a partition value, or of another than ``partition``, are an error."""
         table = spec(name)
         df = with_fixed(conformed(df, table.schema), table.fixed)
         if table.partition:
             blank = F.col(table.partition).isNull() | (F.trim(F.col(table.partition).cast("string")) == "")
             if df.where(blank).take(1):
                 raise QualityError(f"{name}: rows without {table.partition}")
+            if partition is not None and df.where(F.col(table.partition).cast("string") != partition).take(1):
+                raise QualityError(f"{name}: rows of another {table.partition} than {partition}")
+        elif partition is not None:
+            raise QualityError(f"{name} has no partition column")
         return df
 
     def _staged(self, df: DataFrame) -> tuple[DataFrame, str]:
