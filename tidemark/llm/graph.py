@@ -13,9 +13,9 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
 
     Alternates large stars and small stars: a node links its larger neighbours, then its smaller ones, to the least
     it knows. Each round is two groupings (partial minima first) and two joins; only the edges of the round are kept,
-    as a table in the shared folder. A hub that ends up with most rows is one key of a join whose other side has one
-    row for it, which adaptive execution splits. Rounds grow as the logarithm of a component's diameter squared.
-    Edges with a null end and loops are ignored; no edges give an empty table.
+    as a table in the shared folder. Minima are written before they are joined with, so the join reads edges through an
+    exchange of its own: a hub that holds most rows is a skewed key there, which adaptive execution splits. Rounds grow
+    as the logarithm of a component's diameter squared. Edges with a null end and loops are ignored; no edges give an empty table.
     """
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
@@ -23,13 +23,15 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     seen = _state(now)
     while seen[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{label}-least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        # a node's rows are now the distinct minima of its smaller neighbours: few, but in a first round that starts from
+        # a large node with many of them
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         after = written(small.select("e.u", "e.v").where("u != v").distinct(), label)
         state = _state(after)
+        dropped(least)
         dropped(now)
         now = after
         if state == seen:

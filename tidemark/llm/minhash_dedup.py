@@ -187,7 +187,7 @@ def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
     component meet, so a large group costs its stragglers times its size, not its square.
     """
     classes = connected_components(candidate_edges(sets), "minhash-candidates")
-    sizes = classes.groupBy("component").agg(F.count("*").alias("n"))
+    sizes = written(classes.groupBy("component").agg(F.count("*").alias("n")), "minhash-sizes")  # written: the join's own exchange can split a hot class
     # a merge join at every size: the members grow with the corpus and are not for broadcasting
     members = classes.join(sizes, "component").hint("merge").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
     members = written(members, "minhash-members")
@@ -248,6 +248,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def op10_minhash_dedup(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``documents``: size of its shingle set, smallest doc_id of its component, and whether it is that one."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
