@@ -5,10 +5,7 @@ Lineage is cut by writing a table there and reading it back: an executor that is
 
 from __future__ import annotations
 
-import gc
-import os
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,13 +57,5 @@ def unused(df: DataFrame, name: str) -> str:
     return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
 
 
-def let_go(spark: SparkSession) -> None:
-    """Have Spark's cleaner drop shuffles that no plan refers to any more, before the next large one is written."""
-    for _ in range(2):  # Python lets go of its handles first, then the JVM can
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Words, buffers, mixed, range_hashes, word_chunks
-from .storage import is_empty, let_go, written
+from .storage import is_empty, written
 
 WINDOW = 13
 GRAM = 3
@@ -36,6 +36,8 @@ LONGEST = 64
 #: Bytes of documents that are packed together, and of packed strings that a bucket should hold.
 CHUNK = 6 << 20
 BUCKET_BYTES = 8 << 20
+#: Bytes of super-k-mers (three times the texts, at most) to a partition.
+PARTITION_BYTES = 128 << 20
 #: Bytes of packed strings that a bucket is joined with at most, and of those in one row.
 HOT_BYTES = 24 << 20
 ROW_BYTES = 1 << 20
@@ -268,8 +270,10 @@ def shared_super_kmers(docs: DataFrame) -> DataFrame:
     buckets = max(64, math.ceil(3 * size / BUCKET_BYTES))
     sent = docs.mapInArrow(_sent(buckets), "bucket long, strings binary, low binary, high binary")
     kinds = "k1 long, k2 long, firsts array<long>, strings binary, low binary, high binary"
-    found = written(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(HOT_BYTES), kinds), "super-kmers")
-    let_go(docs.sparkSession)
+    # as many partitions as the bytes ask for, so that a task's share doesn't grow with the input
+    parts = math.ceil(3 * size / PARTITION_BYTES)
+    dealt = sent.repartition(parts, "bucket") if parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else sent.repartition("bucket")
+    found = written(dealt.sortWithinPartitions("bucket").mapInArrow(_shared(HOT_BYTES), kinds), "super-kmers")
     shared, hot = found.where("strings is null").select("k1", "k2", "firsts"), found.where("strings is not null").select(*FOUND[3:])
     return shared if is_empty(hot) else shared.unionByName(written(_hot_shared(hot), "hot-super-kmers"))
 
@@ -333,11 +337,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     spans = written(removals(docs.where(F.col("doc_id").isNotNull())), "removals")
-    let_go(docs.sparkSession)
     return docs.join(spans, "doc_id", "left").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """A row for each doc_id of ``documents``: words, words removed, digest of what is kept."""
     out = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
