@@ -2,16 +2,15 @@
 
 The field's labels are outside, begin and inside of each kind; its features are shapes of a word and its neighbours
 (digits, dots, quotes, signs, lengths), never the word itself. It is trained on a small labelled table of templates
-(:func:`labelled_rows`) and decoded by Viterbi, many segments at a time. A segment is a run of words around those that
-are not plain words (letters with sentence punctuation): a plain word with ``REACH`` plain words on either side is
-outside by rule, which the features could not decide otherwise.
+(:func:`labelled_rows`) and decoded by Viterbi. A text is one chain of all its words; it is cut where the weights leave
+no label but outside, which changes nothing, and segments of like length are decoded together, so that memory is
+bounded by a chunk of texts or the longest segment.
 
 Texts are read whole and only once; nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 from collections.abc import Iterator
@@ -26,7 +25,6 @@ from .bytewords import Words, word_chunks
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
 LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in ("B", "I")])
-REACH = 2
 
 # The same matches as the plain patterns, found without trying every start of a long run.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -191,36 +189,64 @@ def labelled_rows(rows: int = 240, seed: int = 3) -> list[tuple[list[str], list[
     return table
 
 
+#: Words times segments of one decoding step's back table, unless a single segment is longer.
+BACK_CELLS = 1 << 18
+
+
 class Field:
     """Weights of features by label, of neighbouring labels, and of first labels."""
 
     def __init__(self, emission: np.ndarray, transition: np.ndarray, first: np.ndarray):
         self.emission, self.transition, self.first = emission, transition, first
 
-    def decode(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Best labels for segments that begin at ``starts`` in the rows of ``x``: Viterbi over all segments at once."""
+    def margins(self) -> np.ndarray:
+        """By label: the most that a path gains in its transitions by having it rather than outside, whatever its neighbours."""
+        t = self.transition
+        gain = t.T[:, :, None] + t[:, None, :] - t[:, 0][None, :, None] - t[0][None, None, :]  # label, before, after
+        ends = [t - t[0], (t - t[:, :1]).T, self.first[:, None] + t - self.first[0] - t[0], self.first[:, None] - self.first[0]]
+        return np.maximum(gain.max(axis=(1, 2)), np.max([e.max(axis=1) for e in ends], axis=0))
+
+    def decode(self, x: np.ndarray, starts: np.ndarray, cut: bool = True) -> np.ndarray:
+        """Best labels for chains that begin at ``starts`` in the rows of ``x``: Viterbi over many segments at once.
+
+        A word that outside suits better than any other label by more than transitions can make up for is outside in
+        every best path. A chain is cut there, which changes no label: most words of a text are such.
+        """
         score = context(x, starts).astype(np.float32) @ self.emission.astype(np.float32)
-        sizes = np.diff(np.r_[starts, len(x)])
-        order = np.argsort(-sizes, kind="stable")
-        begin, size = starts[order], sizes[order]
-        out = np.zeros(len(x), np.int8)
-        for lo in range(0, len(order), 4096):
-            b, n = begin[lo : lo + 4096], size[lo : lo + 4096]
-            best = score[b] + self.first
+        n = len(x)
+        opens = np.zeros(n, bool)
+        opens[starts] = True
+        closes = np.r_[opens[1:], True] if n else opens
+        sure = (score[:, :1] - score > self.margins() + 1e-3)[:, 1:].all(axis=1) if cut else np.zeros(n, bool)
+        out = np.zeros(n, np.int8)
+        left, right = ~sure & (opens | np.r_[True, sure[:-1]][:n]), ~sure & (closes | np.r_[sure[1:], True][:n])
+        begin, size = np.flatnonzero(left), np.flatnonzero(right) - np.flatnonzero(left) + 1
+        order = np.argsort(-size, kind="stable")
+        begin, size = begin[order], size[order]
+        # what comes before a segment is a chain's start or a word outside; so it is after it
+        into = np.where(opens[begin][:, None], self.first, self.transition[0]).astype(np.float32)
+        onward = np.where(closes[begin + size - 1][:, None], 0, self.transition[:, 0]).astype(np.float32)
+        step = self.transition.astype(np.float32)
+        lo = 0
+        while lo < len(order):  # segments of like length together; longest times number is bounded, so a long one is alone
+            hi = lo + max(1, BACK_CELLS // int(size[lo]))
+            b, n = begin[lo:hi], size[lo:hi]
+            best = score[b] + into[lo:hi]
             back = np.zeros((int(n[0]), len(b), len(LABELS)), np.int8)
             last = best.copy()
             for t in range(1, int(n[0])):
                 live = int(np.searchsorted(-n, -t, "left"))  # segments longer than t come first
-                reach = best[:live, :, None] + self.transition
+                reach = best[:live, :, None] + step
                 back[t, :live] = reach.argmax(axis=1)
                 best = reach.max(axis=1) + score[b[:live] + t]
                 last[:live] = best
-            label = last.argmax(axis=1)
+            label = (last + onward[lo:hi]).argmax(axis=1)
             for t in range(int(n[0]) - 1, -1, -1):
                 live = int(np.searchsorted(-n, -t, "left"))
                 out[b[:live] + t] = label[:live]
                 if t:
                     label[:live] = back[t, np.arange(live), label[:live]]
+            lo = hi
         return out
 
 
@@ -289,16 +315,9 @@ def added_spans(texts: pa.Array, field: Field) -> dict[int, list[tuple[int, int,
         n = len(words.starts)
         if not n:
             continue
-        # a word of letters may carry sentence marks; all else starts a segment
-        odd_byte = np.zeros(len(words.data) + 1, np.int32)
-        np.cumsum((_CLASS[words.data] == 0) | (words.data == 64) | (words.data == 61), out=odd_byte[1:])
-        odd = np.flatnonzero(odd_byte[words.ends] > odd_byte[words.starts])
-        if not len(odd):
-            continue
         row = words.row_of()
-        near = np.unique((odd[:, None] + np.arange(-REACH, REACH + 1)).clip(0, n - 1))
-        new = np.r_[True, (np.diff(near) != 1) | (row[near[1:]] != row[near[:-1]])]
-        labels = field.decode(shapes(words, near), np.flatnonzero(new))
+        new = np.r_[True, row[1:] != row[:-1]]  # a text is one chain, all of its words
+        labels = field.decode(shapes(words), np.flatnonzero(new))
         begin = np.flatnonzero((labels > 0) & ((labels % 2 == 1) | new | np.r_[True, labels[:-1] == 0]))
         if not len(begin):
             continue
@@ -307,14 +326,14 @@ def added_spans(texts: pa.Array, field: Field) -> dict[int, list[tuple[int, int,
         for b in begin.tolist():
             kind = (int(labels[b]) - 1) // 2
             e = b
-            while e + 1 < len(near) and not new[e + 1] and labels[e + 1] == 2 * kind + 2:
+            while e + 1 < n and not new[e + 1] and labels[e + 1] == 2 * kind + 2:
                 e += 1
-            start, end = int(words.starts[near[b]]), int(words.ends[near[e]])
+            start, end = int(words.starts[b]), int(words.ends[e])
             said = words.data[start:end].tobytes().decode()
             left = len(said) - len(said.lstrip(_EDGE.replace("(", "") if kind == 3 else _EDGE))
             said = said.strip(_EDGE)
             if said:
-                i = int(row[near[b]])
+                i = int(row[b])
                 s = int(points[start] - points[words.offsets[i]]) + left
                 out.setdefault(lo + i, []).append((s, s + len(said), kind, said))
     return {i: [(s, e, k) for s, e, k, said in spans if _plausible(k, said)] for i, spans in out.items()}
@@ -390,9 +409,6 @@ def redacted(docs: DataFrame) -> DataFrame:
 
 
 def op4_pii_spans(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``documents``: counts and digest of the fixed patterns' spans, and all spans; null and empty texts have none."""
     out = find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
-
-
-def digest(spans: list[tuple[int, int, int]]) -> str:
-    return hashlib.sha256(joined(spans).encode()).hexdigest()
