@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from tidemark.llm import toxicity
+from tidemark.llm.storage import written
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +31,30 @@ def test_run_is_registered(spark):
     import __spark_entry__ as driver
 
     assert "pipeline" in driver.queries() and len([n for n in driver.queries() if n.startswith("op")]) == 10
+
+
+def test_edges_of_stages(spark):
+    """Nulls, empties, repeats, clashing names and an empty table pass every stage; columns keep their values."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long, copy int, score double, mix_size int, mix_source string, mix_copies long, spans string"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "text", "lang", "source", "n_chars", "7 copy", "0.77D score", "8 mix_size", "'m' mix_source", "9L mix_copies", "'s' spans")
+    odd = [(None, None, None, None, None), (900001, "", "en", None, 0), (900002, None, "en", "zero", 0), (900003, "one word", "en", "src1", 8), (900003, "one word", "en", "src1", 8), (900004, "long words " * 30_000, "en", "src1", 330_000)]
+    extra = spark.createDataFrame([(*r, 7, 0.77, 8, "m", 9, "s") for r in odd], columns)
+    for held in (docs.unionByName(extra), docs.limit(0)):
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            before = held
+            held = written(stage(spark, held, SF), f"edge-{i}")
+            assert held.columns[: len(before.columns)] == before.columns, name
+            kept = held.select("copy", "score", "mix_size", "mix_source", "mix_copies", "spans").distinct().collect()
+            assert [tuple(r) for r in kept] in ([(7, 0.77, 8, "m", 9, "s")], []), name
+        assert held.columns == [*docs.columns, "copy_1"]
+
+
+def test_run_over_whole_tables(spark, tmp_path):
+    """What is planted goes, clean documents stay, and text without personal data is left as it is."""
+    clean = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert clean < {r["doc_id"] for r in docs}
+    by_text = {}
+    for r in docs:
+        by_text.setdefault(r["text"], []).append(r["doc_id"])
+    assert all(len(clean & set(ids)) <= 1 for ids in by_text.values())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import unused, written
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -52,31 +52,46 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_re
     return ranked.withColumn("target", target).select("source", "source_size", "target")
 
 
+MIXED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def _taken(docs: DataFrame, names: tuple[str, ...], weights: tuple[int, ...], most_repeats: int, seed: int) -> DataFrame:
+    """``docs`` with size, source size, target and copies under ``names``, which ``docs`` has not."""
+    size, source_size, target, copies = names
+    sized = docs.withColumn(size, word_count(F.col("text")))
+    plan = source_targets(sized.select("source", F.col(size).alias("size")), weights, most_repeats)
+    key = unused(sized, "mix_source")
+    plan = written(plan.select(F.col("source").alias(key), F.col("source_size").alias(source_size), F.col("target").alias(target)), "mix")
+    if plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        plan = F.broadcast(plan)
+    rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(F.lit(0.0))
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+    n = F.floor(rate) + F.when(draw < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
+    return sized.join(plan, F.col("source").eqNullSafe(F.col(key))).withColumn(copies, n.cast("long")).drop(key)
+
+
 def with_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, seed: int = 17) -> DataFrame:
-    """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``.
+    """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``, in place of columns with these names.
 
     Null texts have size 0. A null source is a source of its own. Rows that share a doc_id (or have none) share the
     draw. Sources without words get rate 0. Empty input gives no rows. Other columns pass through untouched.
     """
-    sized = docs.withColumn("mix_size", word_count(F.col("text")))
-    plan = source_targets(sized.select("source", F.col("mix_size").alias("size")), weights, most_repeats)
-    plan = written(plan.select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target")), "mix")
-    if plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        plan = F.broadcast(plan)
-    rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("mix_source"))).withColumn("mix_copies", copies.cast("long")).drop("mix_source")
+    return _taken(docs.drop(*MIXED), MIXED, weights, most_repeats, seed)
+
 
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, seed: int = 17) -> DataFrame:
+    """The mixture itself: each document as often as it is taken, with ``copy`` counting from 0.
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: each document as often as it is taken, with ``copy`` counting from 0."""
-    taken = with_copies(docs, **options).where(F.col("mix_copies") > 0)
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)).alias("copy")
-    return taken.select(*[docs[c] for c in docs.columns], copies)
+    All columns of ``docs`` stay as they are; where it has a ``copy``, the count is ``copy_1`` (or the next free one).
+    """
+    names = tuple(unused(docs, n) for n in MIXED)
+    count = unused(docs, "copy")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(names[3]) - 1)).alias(count)
+    return _taken(docs, names, weights, most_repeats, seed).where(F.col(names[3]) > 0).select(*docs.columns, copies)
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``documents``: its size, its source's size and target, and the words that the mixture takes of it; repeated rows share a draw."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return with_copies(docs).select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
