@@ -2,8 +2,11 @@
 
 import gzip
 import hashlib
+import itertools
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -236,3 +239,93 @@ def brute_scores(texts, held):
     c = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
     n, v = sum(c.values()), len(c)
     return scores, {i: (sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), len(ws), sum(c[w] > 0 for w in ws)) for i, ws in tokens.items()}
+
+
+def test_decontamination_against_brute_force(spark):
+    """Random texts, some with an edited item: each item within its budget of a text is found there, and no other."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    items = {i: " ".join(word() for _ in range(rng.randint(3, 14))) for i in range(30)}
+    items = {i: t for i, t in items.items() if len(t) >= decontaminate.Q}
+    texts = {}
+    for d in range(60):
+        t = [word() for _ in range(rng.randint(0, 30))]
+        if d % 2:
+            chosen = list(rng.choice(list(items.values())))
+            for _ in range(rng.randint(0, max(1, len(chosen) // 10))):
+                chosen[rng.randrange(len(chosen))] = rng.choice("xyz")
+            t.insert(rng.randint(0, len(t)), "".join(chosen))
+        texts[d] = " ".join(t)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminations(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    budget = lambda t: min(int(len(t) * decontaminate.EDITS), (len(t) - decontaminate.Q) // decontaminate.Q)
+    want = {(d, i) for d, t in texts.items() for i, item in items.items() if brute_best(item, t) <= budget(item)}
+    assert got == want and len(want) > 15
+
+
+def test_memory_of_common_phrases():
+    """Items and texts that share a phrase cost their distinct q-grams, not all pairs of occurrences."""
+    rng = random.Random(1)
+    words = [f"w{i}x" for i in range(4000)]
+    items = [(i, ("the common opening phrase of it " + " ".join(rng.choice(words) for _ in range(20))).encode()) for i in range(2000)]
+    known = decontaminate.Index(items)
+    texts = [" ".join(rng.choice(words) for _ in range(7)) for _ in range(5000)] + ["the common opening phrase of it " * 1000, f"a {items[7][1].decode()} b"]
+    tracemalloc.start()
+    hits = list(decontaminate.hits_of(pa.array(texts), known))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r, i) for r, i, *_ in hits] == [(len(texts) - 1, 7)] and peak < 300 << 20
+
+
+def test_memory_of_long_number_tables():
+    """A long run of numbers beside many short ones: decoding holds segments of like length only."""
+    field = pii.train()
+    text = " ".join(str(i) for i in range(60_000)) + " " + " ".join("word word word word word word 12" for _ in range(4000))
+    tracemalloc.start()
+    pii.added_spans(pa.array([text]), field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+
+
+def test_decoding_of_segments_is_exact():
+    """Viterbi over segments of many lengths at once equals each one's best labelling by exhaustion."""
+    field = pii.train()
+    x, starts, _ = pii._packed([(["a1", "b@c.de"], ["O", "O"]), (["+1", "x", "9"], ["O"] * 3), (["=", '"ab12"', "7.7.7.7", "q"], ["O"] * 4), (["12"], ["O"])])
+    got = field.decode(x, starts)
+    score = pii.context(x, starts) @ field.emission
+    for lo, hi in zip(starts, [*starts[1:], len(x)], strict=True):
+        value = lambda y: field.first[y[0]] + sum(score[lo + k, y[k]] for k in range(len(y))) + sum(field.transition[a, b] for a, b in itertools.pairwise(y))  # noqa: B023, E731
+        best = max(itertools.product(range(len(pii.LABELS)), repeat=int(hi - lo)), key=value)
+        assert math.isclose(value(best), value(tuple(got[lo:hi].tolist())), rel_tol=1e-5)
+
+
+def test_archives_are_dealt_to_tasks(spark):
+    raw, clean = new_path(spark, "raw"), new_path(spark, "clean")
+    warc.write_monolithic(warc.page_records(spark.range(64).selectExpr("id page_id", "concat('http://', id) url", "repeat('x', 50) html")).repartition(16), raw)
+    done = warc.normalise(spark, raw, clean).withColumn("task", F.spark_partition_id())
+    archives, tasks = done.agg(F.countDistinct("archive"), F.countDistinct("task")).first()
+    assert archives == 16 and tasks >= 8
+    head = next(warc.records_of(iter([gzip.decompress(open(done.first()["archive"], "rb").read())])))[0]
+    assert head["warc-date"].endswith("Z") and head["content-type"].startswith("text/html")
+    with pytest.raises(ValueError, match="archives can't be read"):
+        warc._opened("nowhere://x/y")
+
+
+def test_toxicity_of_unseen_documents(spark):
+    """Held-out rows of a table with labels in four languages."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/check_s/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.scored(docs.join(F.broadcast(labels.where(toxicity.held_out(F.col("doc_id")))), "doc_id"), model)
+    got = {r["toxic"]: r["share"] for r in rows.groupBy("toxic").agg(F.avg((F.col("score") >= toxicity.THRESHOLD).cast("int")).alias("share")).collect()}
+    assert got[1] >= 0.8 and got[0] <= 0.1
+
+
+def test_cut_chains_are_exact(spark):
+    """Words that are outside in every best path may cut a chain: the labels of whole texts are the same without cuts."""
+    field = pii.train()
+    texts = pa.array([r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()] + TRICKY)
+    for _, _, words in pii.word_chunks(texts):
+        x, row = pii.shapes(words), words.row_of()
+        starts = [i for i in range(len(row)) if i == 0 or row[i] != row[i - 1]]
+        assert (field.decode(x, pa.array(starts).to_numpy()) == field.decode(x, pa.array(starts).to_numpy(), cut=False)).all()

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import LOWER, buffers
@@ -23,9 +23,9 @@ from .bytewords import LOWER, buffers
 Q = 8
 #: Edits allowed, as a share of the item's length: q-gram bound above 0 needs less than 1 / Q.
 EDITS = 0.08
-#: Items shorter than this many characters (once normalised) are matched exactly.
-SHORT = 40
 BLOCK_CHARS = 2_000_000
+#: Postings of the index that are held at once while texts are looked up.
+POSTINGS = 1 << 20
 #: ASCII characters other than letters and digits separate words and count as one space.
 _SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _MULTIPLIER = np.uint64(0xA0761D6478BD642F)
@@ -73,44 +73,83 @@ class Index:
         self.first = np.r_[first, len(keys)]
         self.known = np.zeros(1 << self.BITMAP, bool)
         self.known[(self.keys >> np.uint64(64 - self.BITMAP)).astype(np.int64)] = True
-        self.budget = np.array([0 if len(t) < SHORT else int(len(t) * EDITS) for t in self.texts], np.int64)
+        # postings by q-gram, then item: those of some items only are a range in each
+        self.composite = np.repeat(np.arange(len(self.keys)), np.diff(self.first)) * max(1, len(items)) + self.item
+        # short items get the edits that leave the bound at 1 or more
+        self.budget = np.array([min(int(len(t) * EDITS), max(0, (len(t) - Q) // Q)) for t in self.texts], np.int64)
         self.bound = np.array([len(t) - Q + 1 - k * Q for t, k in zip(self.texts, self.budget, strict=True)], np.int64)
 
     def regions(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """Row, item, and the least and greatest diagonal of each band that meets the bound."""
-        grams = gram_hashes(data)
+        grams, n = gram_hashes(data), len(self.ids)
         at = np.flatnonzero(self.known[(grams >> np.uint64(64 - self.BITMAP)).astype(np.int64)])
         number = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
         some = self.keys[number] == grams[at] if len(self.keys) else np.zeros(len(at), bool)
         at, number = at[some], number[some]
-        lo, hi = self.first[number], self.first[number + 1]
         row = np.searchsorted(offsets, at, "right") - 1
         inside = at + Q <= offsets[row + 1]
-        at, lo, hi, row = at[inside], lo[inside], hi[inside], row[inside]
-        each = hi - lo
-        pick = np.repeat(lo - np.r_[0, np.cumsum(each)[:-1]], each) + np.arange(each.sum())
-        item, row, at = self.item[pick], np.repeat(row, each), np.repeat(at, each)
-        # a band can't hold more than its row and item share anywhere: most pairs end here
-        pair = row * len(self.ids) + item
-        enough = (np.bincount(pair) >= np.tile(np.maximum(1, self.bound), len(offsets) - 1)[: pair.max() + 1])[pair] if len(pair) else np.zeros(0, bool)
-        item, row, at, pick = item[enough], row[enough], at[enough], pick[enough]
-        diagonal = at - offsets[row] - self.place[pick]
-        # bands of width 2(k + 1) that overlap by half: any k + 1 neighbouring diagonals lie in one of them
-        half = self.budget[item] + 1
-        band = np.floor_divide(diagonal, half)
-        rows, items, bands = np.r_[row, row], np.r_[item, item], np.r_[band, band - 1]
-        place = np.r_[self.place[pick], self.place[pick]]
-        if not len(rows):
+        at, number, row = at[inside], number[inside], row[inside]
+        begin = np.searchsorted(row, np.arange(len(offsets)))
+        for r, items in self._pairs(row, number, len(offsets) - 1):
+            here = slice(begin[r], begin[r + 1])
+            step = max(1, POSTINGS // max(1, begin[r + 1] - begin[r]))
+            for i in range(0, len(items), step):
+                yield from self._bands(r, at[here] - offsets[r], number[here], items[i : i + step], n)
+
+    def _pairs(self, row: np.ndarray, number: np.ndarray, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows with the items that may meet the bound in them: a band can't count more than the item's places whose q-grams the row has at all."""
+        n, grams = len(self.ids), max(1, len(self.keys))
+        each_row, number = np.divmod(np.unique(row * grams + number), grams)
+        sizes = self.first[number + 1] - self.first[number]
+        total = np.r_[0, np.cumsum(sizes)]
+        begin = np.searchsorted(each_row, np.arange(rows + 1))
+        least = np.maximum(1, self.bound)
+
+        def postings(lo: int, hi: int) -> np.ndarray:
+            first, each = self.first[number[lo:hi]], sizes[lo:hi]
+            return self.item[np.repeat(first - (total[lo:hi] - total[lo]), each) + np.arange(total[hi] - total[lo])]
+
+        r = 0
+        while r < rows:  # a few rows at a time, or one row with a few q-grams at a time
+            stop = max(r + 1, int(np.searchsorted(total[begin], total[begin[r]] + POSTINGS, "right")) - 1)
+            lo, hi = int(begin[r]), int(begin[stop])
+            if total[hi] - total[lo] <= POSTINGS:
+                pair, shared = np.unique(np.repeat(each_row[lo:hi], sizes[lo:hi]) * n + postings(lo, hi), return_counts=True)
+                pair = pair[shared >= least[pair % n]]
+                for own in np.split(pair, np.flatnonzero(np.diff(pair // n)) + 1) if len(pair) else ():
+                    yield int(own[0] // n), own % n
+            else:
+                shared = np.zeros(n, np.int64)
+                while lo < hi:
+                    to = max(lo + 1, int(np.searchsorted(total, total[lo] + POSTINGS, "right")) - 1)
+                    to = min(to, hi)
+                    shared += np.bincount(postings(lo, to), minlength=n)
+                    lo = to
+                if (shared >= least).any():
+                    yield r, np.flatnonzero(shared >= least)
+            r = stop
+
+    def _bands(self, r: int, at: np.ndarray, number: np.ndarray, items: np.ndarray, n: int) -> Iterator[tuple[int, int, int, int]]:
+        """Bands of one row (places and numbers of its q-grams) with some items."""
+        wanted = (number[:, None] * n + items).ravel()
+        low, high = np.searchsorted(self.composite, wanted), np.searchsorted(self.composite, wanted, "right")
+        each = high - low
+        pick = np.repeat(low - np.r_[0, np.cumsum(each)[:-1]], each) + np.arange(each.sum())
+        if not len(pick):
             return
+        item, place = self.item[pick], self.place[pick]
+        # bands of width 2(k + 1) that overlap by half: any k + 1 neighbouring diagonals lie in one of them
+        band = np.floor_divide(np.repeat(np.repeat(at, len(items)), each) - place, self.budget[item] + 1)
+        item, band, place = np.r_[item, item], np.r_[band, band - 1], np.r_[place, place]
         # each q-gram of the item counts once a band, or a repeated one would stand for others
-        order = np.lexsort((place, bands, items, rows))
-        r, i, b, p = rows[order], items[order], bands[order], place[order]
-        new = np.r_[True, (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])]
+        order = np.lexsort((place, band, item))
+        i, b, p = item[order], band[order], place[order]
+        new = np.r_[True, (i[1:] != i[:-1]) | (b[1:] != b[:-1])]
         fresh = new | np.r_[True, p[1:] != p[:-1]]
         starts = np.flatnonzero(new)
         counts = np.add.reduceat(fresh.astype(np.int64), starts)
         for s in starts[counts >= np.maximum(1, self.bound[i[starts]])]:
-            yield int(r[s]), int(i[s]), int(b[s] * (self.budget[i[s]] + 1)), int((b[s] + 2) * (self.budget[i[s]] + 1) - 1)
+            yield r, int(i[s]), int(b[s] * (self.budget[i[s]] + 1)), int((b[s] + 2) * (self.budget[i[s]] + 1) - 1)
 
 
 def banded_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
@@ -147,16 +186,20 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, bu
 
 
 def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int | None, bytes]]]:
-    """Items (normalised) in blocks of ``BLOCK_CHARS`` characters at most, or of one longer item; empty ones have no match."""
+    """Items (normalised) in blocks of some ``BLOCK_CHARS`` characters, or of one longer item; empty ones have no match.
+
+    Blocks are by hash of the item, so no task sees more of the benchmark than its part.
+    """
     sized = benchmark.where("length(trim(text)) > 0").select("item_id", "text")
-    total = F.sum(F.length("text")).over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = sized.withColumn("block", F.floor(total / F.lit(BLOCK_CHARS)))
-    for (block,) in sorted(numbered.select("block").distinct().collect()):
-        table = numbered.where(F.col("block") == block).select("item_id", "text").toArrow()
+    size = sized.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = -(-size // BLOCK_CHARS)
+    for block in range(blocks):
+        table = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
         data, offsets, _ = normalised(*buffers(table["text"]))
         ids = table["item_id"].to_pylist()
         items = [(i, bytes(data[a:b]).strip(b" ")) for i, a, b in zip(ids, offsets[:-1], offsets[1:], strict=True)]
-        yield [(i, t) for i, t in items if t]
+        if items := [(i, t) for i, t in items if t]:
+            yield items
 
 
 def hits_of(texts: pa.Array, known: Index) -> Iterator[tuple[int, int, int, int, int]]:
@@ -232,4 +275,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
+    """A row for each passage of ``benchmark`` found in ``documents``: doc_id, item_id, place in bytes, edits."""
     return contaminations(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
