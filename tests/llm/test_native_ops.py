@@ -77,3 +77,13 @@ def test_digest_of_conversation(spark):
     says = "<|im_end|><|im_start|>assistant ok"
     assert row["turns_sha256"] == hashlib.sha256(f"user\n{says}\nassistant\n{says}\n".encode()).hexdigest()
     assert row["loss_sha256"] == hashlib.sha256(says.encode()).hexdigest() and row["loss_chars"] == len(says)
+
+
+def test_edited_logs_fold_to_their_rows(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", ""), (1, 2, "assistant", None), (2, 0, None, "zwölf Zeichen"), (2, 1, "user", "x" * 1000), (3, None, "user", "ab"), (3, None, "user", "ab")]
+    df = spark.createDataFrame(rows, CONV)
+    events = chat.as_edited_events(df)
+    assert {r["kind"] for r in events.select("kind").distinct().collect()} == {"open", "delta", "edit", "regenerate"}
+    plain, edited = (sorted(map(str, chat.fold_events(log).select("conv_id", "message_id", "role", "text").collect())) for log in (chat.as_events(df), events))
+    assert plain == edited
+    assert chat.as_edited_events(df.limit(0)).count() == 0

@@ -77,18 +77,43 @@ def read_back(formatted: Column) -> Column:
     return F.transform(rows, lambda s: F.struct(F.url_decode(F.substring_index(s, "\n", 1)).alias("role"), unescaped(F.substr(s, F.instr(s, "\n") + 1)).alias("text")))
 
 
+def _messages(conversations: DataFrame) -> DataFrame:
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("message_id", F.row_number().over(order).cast("long"))
+    return rows.withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def _events(steps: list[tuple[str, Column]]) -> Column:
+    """An array of events from kinds and texts, in order; the first opens the message."""
+    none = F.lit(None).cast("string")
+    return F.array(*[
+        F.struct((F.col("message_id") * 8 + k).alias("seq"), F.lit(kind).alias("kind"), (F.col("role") if k == 0 else none).alias("role"), text.alias("text")) for k, (kind, text) in enumerate(steps)
+    ])
+
+
 def as_events(conversations: DataFrame) -> DataFrame:
     """A log from finished rows (``conv_id``, ``turn``, ``role``, ``text``): each opens a message and streams one delta.
 
     Rows with the same turn come in the order of role and text; rows that are wholly equal each stay a turn. A null
     turn comes first.
     """
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
-    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("message_id", F.row_number().over(order).cast("long"))
-    seq = F.col("message_id") * 2
-    opened = F.struct(seq.alias("seq"), F.lit(OPEN).alias("kind"), F.col("role").alias("role"), F.lit("").alias("text"))
-    delta = F.struct((seq + 1).alias("seq"), F.lit(DELTA).alias("kind"), F.lit(None).cast("string").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.select("conv_id", "message_id", F.explode(F.array(opened, delta)).alias("e")).select("conv_id", "message_id", "e.*")
+    log = _events([(OPEN, F.lit("")), (DELTA, F.col("text"))])
+    return _messages(conversations).select("conv_id", "message_id", F.explode(log).alias("e")).select("conv_id", "message_id", "e.*")
+
+
+def as_edited_events(conversations: DataFrame) -> DataFrame:
+    """A log that ends at the same rows by a longer way: each text is streamed in three deltas after a false start.
+
+    The false start is the text's last third. Every other message is regenerated, so the draft is thrown away; in the
+    others an edit replaces it by the first third, and two deltas follow.
+    """
+    n = F.length("text")
+    a, b = F.floor(n / 3).cast("int"), F.floor(n * 2 / 3).cast("int")
+    first, second, third = F.substring("text", F.lit(1), a), F.substring("text", a + 1, b - a), F.substring("text", b + 1, n)
+    anew = _events([(OPEN, F.lit("")), (DELTA, third), (REGENERATE, F.lit(None).cast("string")), (DELTA, first), (DELTA, second), (DELTA, third)])
+    mended = _events([(OPEN, F.lit("")), (DELTA, third), (EDIT, first), (DELTA, second), (DELTA, third)])
+    log = F.when(F.col("message_id") % 2 == 0, anew).otherwise(mended)
+    return _messages(conversations).select("conv_id", "message_id", F.explode(log).alias("e")).select("conv_id", "message_id", "e.*")
 
 
 def format_chats(conversations: DataFrame, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -96,13 +121,18 @@ def format_chats(conversations: DataFrame, learned: tuple[str, ...] = ("assistan
 
 
 def op3_chat_format(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``conversations`` and for conversation -1: digests of what is read back from its formatted text.
+
+    The table holds finished rows; they become a log of false starts, regenerations, edits and deltas, and the fold
+    has to restore each of them from it.
+    """
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     says = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(says).alias("text"),
     )
-    chats = format_chats(rows.unionByName(extra))
+    chats = render(fold_events(as_edited_events(rows.unionByName(extra))))
     turns = read_back(F.col("formatted"))
     said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join(F.transform("loss_spans", lambda s: unescaped(F.substr("formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
