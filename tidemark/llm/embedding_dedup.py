@@ -139,14 +139,19 @@ def _units(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _linked(dim: int, tables: int):
+def _code_type(width: int) -> np.dtype:
+    """The smallest type that holds a substring: postings carry the whole code."""
+    return np.dtype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(t).itemsize * 8 >= width))
+
+
+def _linked(dim: int, tables: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, group in grouped_batches(batches, ["table", "value", "cell"]):
             table = table.combine_chunks()
             ids, copies, own = table["rep"].to_numpy(), table["copies"].to_numpy(), table["table"].to_numpy()
             x = _units(table["embedding"].combine_chunks(), dim)
             # the whole codes: substrings of all tables, for the first table of a pair
-            parts = np.frombuffer(b"".join(table["code"].to_pylist()), np.uint64).reshape(-1, tables)
+            parts = np.frombuffer(b"".join(table["code"].to_pylist()), _code_type(width)).reshape(-1, tables)
             cell, blocks, me = table["cell"].to_numpy(), table["blocks"].to_numpy(), table["own"].to_numpy()
             forest, links = Forest(len(ids)), np.zeros(len(ids), np.int64)
             for i, j in near_pairs(group, max(1 << 10, min(1 << 16, (1 << 23) // (tables + dim)))):
@@ -204,18 +209,18 @@ def _of_dimension(vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
         for batch, parts in coded(b.slice(lo, step) for b in batches for lo in range(0, b.num_rows, step)):
             row = pa.array(np.repeat(np.arange(len(parts)), many))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(many), len(parts))), pa.array(parts.ravel().view(np.int64)), pa.array([p.tobytes() for p in parts]).take(row), *[batch[c].take(row) for c in ("rep", "copies", "embedding")]],
+                [pa.array(np.tile(np.arange(many), len(parts))), pa.array(parts.ravel().view(np.int64)), pa.array([p.tobytes() for p in parts.astype(_code_type(width))], pa.binary()).take(row), *[batch[c].take(row) for c in ("rep", "copies", "embedding")]],
                 ["table", "value", "code", "rep", "copies", "embedding"],
             )
 
-    postings = vectors.select("rep", "copies", "embedding").mapInArrow(post, "table long, value long, code binary, rep long, copies long, embedding array<double>")
+    postings = vectors.select("rep", "copies", "embedding").mapInArrow(post, f"table long, value long, code binary, rep long, copies long, embedding {vectors.schema['embedding'].dataType.simpleString()}")
     lists = vectors.select("embedding").mapInArrow(keys, "table long, value long").groupBy("table", "value").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
     shared = postings.join(lists, ["table", "value"])
     shared = shared.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), blocks))
     shared = with_cells(shared, F.col("n"), BLOCK, F.col("rep")).drop("n")
     shared = shared.repartition("table", "value", "cell").sortWithinPartitions("table", "value", "cell")
-    return shared.mapInArrow(_linked(dim, many), "u long, v long, links long")
+    return shared.mapInArrow(_linked(dim, many, width), "u long, v long, links long")
 
 
 def near_duplicate_vectors(vectors: DataFrame) -> DataFrame:
@@ -225,9 +230,11 @@ def near_duplicate_vectors(vectors: DataFrame) -> DataFrame:
     different length. Copies count one by one in ``n_links``. Rows that share a vec_id are judged by their own
     vectors; a row without a vec_id links with nothing (component_id null, kept). Other columns are ignored.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    # float32 components are posted as such: every one of them is the same number in double precision
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     usable = _valid("embedding") & F.col("vec_id").isNotNull()
-    good = rows.where(usable).select("vec_id", F.transform("embedding", lambda v: v + 0.0).alias("embedding"))
+    good = rows.where(usable).select("vec_id", F.transform("embedding", lambda v: v + F.lit(0.0).cast(kind)).alias("embedding"))
     groups = good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     groups = written(groups, "vectors")
     members = good.join(groups, "embedding").select("vec_id", "rep", "copies")
@@ -247,4 +254,5 @@ def near_duplicate_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def op2_embedding_dedup(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``embeddings``: its links, the least vec_id that links reach, and whether it is that one."""
     return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
