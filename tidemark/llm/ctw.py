@@ -203,14 +203,12 @@ class Lookup:
 
 def _head(table: DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
     """Keys and values of the most frequent rows, ``HEAD`` at most, and whether rows are left. Equal counts go together."""
-    sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).limit(HEAD).collect()), reverse=True)
-    total, least = 0, None
-    for n, rows in sizes:
-        if total + rows > HEAD:
-            break
-        total, least = total + rows, n
-    part = table.where(F.col("n") >= least).select("key", "value").toArrow() if least is not None else table.limit(0).select("key", "value").toArrow()
-    return part["key"].to_numpy().view(np.uint64), part["value"].to_numpy(), least is None or total < sum(r for _, r in sizes) or len(sizes) == HEAD
+    sizes = table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).limit(HEAD).toArrow()  # as arrays, not as rows
+    counts, rows = sizes["n"].to_numpy(), sizes["rows"].to_numpy()
+    whole = int(np.searchsorted(np.cumsum(rows), HEAD, "right"))
+    part = table.where(F.col("n") >= int(counts[whole - 1])) if whole else table.limit(0)
+    part = part.select("key", "value").toArrow()
+    return part["key"].to_numpy().view(np.uint64), part["value"].to_numpy(), whole < len(rows) or len(rows) == HEAD
 
 
 def _scored(shared):
@@ -291,4 +289,5 @@ def model_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
 
 
 def op8_ctw_score(spark, sf_dir: str) -> DataFrame:
+    """A row for each of ``documents``: base and context-tree code lengths, null texts as empty, held-out ones by crc32 of the id."""
     return model_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
