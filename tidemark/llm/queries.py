@@ -10,6 +10,7 @@ from .decontaminate import op6_decontaminate
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
+from .nearest import op13_nearest
 from .pii import op4_pii_spans
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op7_toxicity
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable]:
         "op8_ctw_score": op8_ctw_score,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
+        "op13_nearest": op13_nearest,
     }
 
 
