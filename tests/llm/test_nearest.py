@@ -75,7 +75,7 @@ def test_edges(spark):
     want = brute([r for r in rows if r[0] != 200], lambda i: i % 20 == 0, 20)
     # 200 is nearest to or farthest from all others of its length
     assert set(rows_of) == {0, 20, 160, 200} and len(rows_of[160]) == 1 and rows_of[160][0]["vec_id"] == 161
-    assert len(rows_of[0]) == 20 and len(rows_of[20]) == 40 and len(rows_of[200]) == 20
+    assert len(rows_of[0]) == 20 and len(rows_of[20]) >= 38 and len(rows_of[200]) == 20
     got = [r["vec_id"] for r in sorted(rows_of[0], key=lambda r: r["rank"]) if r["vec_id"] != 200]
     assert len(set(got) & {i for i, _ in want[0][0]}) >= 18
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0

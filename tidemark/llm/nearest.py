@@ -140,13 +140,13 @@ def reached(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: in
 
 
 def _distinct(rows: DataFrame, k: int) -> DataFrame:
-    """``rep``, ``embedding``, ``ids``: each distinct vector with its ``k + 1`` least ids, sorted.
+    """``rep``, ``variant``, ``embedding``, ``ids``: each distinct vector with its ``k + 1`` least ids, sorted.
 
-    Ranks are cut per input partition before rows are exchanged, so a vector of any frequency sends few rows.
+    ``rep`` is the least of them, and ``variant`` tells apart vectors that share it (0 where ids are unique). Ranks are cut per input partition before rows are exchanged, so a vector of any frequency sends few rows.
     """
     least = Window.partitionBy("embedding").orderBy("vec_id")
     few = rows.withColumn("n", F.dense_rank().over(least)).where(F.col("n") <= k + 1)
-    return few.groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).select(F.col("ids")[0].alias("rep"), "embedding", "ids")
+    return few.groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).select(F.col("ids")[0].alias("rep"), "embedding", "ids").withColumn("variant", F.row_number().over(Window.partitionBy("rep").orderBy("embedding")).cast("long") - 1)
 
 
 def _measured(groups: DataFrame, index: MultiIndex, probes: np.ndarray, sizes: np.ndarray, k: int) -> int:
@@ -207,7 +207,7 @@ def _ranked(dim: int, width: int, k: int):
     """Ranks the queries of each (shelf, part) against its rows; rows come first (``query`` false), sorted by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, x, first, second, reps = None, [], None, None, None, None
+        key, rows = None, ()
         for table, group in grouped_batches(batches, ["shelf", "part", "query"], 1):
             shelf, part, query = (table[c].to_numpy() for c in ("shelf", "part", "query"))
             for lo in np.unique(group, return_index=True)[1].tolist():
@@ -215,21 +215,20 @@ def _ranked(dim: int, width: int, k: int):
                 here = (int(shelf[lo]), int(part[lo]))
                 piece = table.slice(lo, hi - lo)
                 if not query[lo]:
-                    key, x = here, _matrix(piece["embedding"], dim)
-                    first, second, reps = (piece[c].to_numpy() for c in ("first", "second", "rep"))
+                    key, rows = here, (_matrix(piece["embedding"], dim), *(piece[c].to_numpy() for c in ("first", "second", "rep", "variant")))
                 elif key == here:
-                    yield from _compared(piece, x, first, second, reps, dim, width, k)
+                    yield from _compared(piece, *rows, dim, width, k)
 
     return run
 
 
-def _compared(queries: pa.Table, x: np.ndarray, first: np.ndarray, second: np.ndarray, reps: np.ndarray, dim: int, width: int, k: int) -> Iterator[pa.RecordBatch]:
+def _compared(queries: pa.Table, x: np.ndarray, first: np.ndarray, second: np.ndarray, reps: np.ndarray, variants: np.ndarray, dim: int, width: int, k: int) -> Iterator[pa.RecordBatch]:
     edges = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]), True])
     longest = np.sqrt(np.einsum("nd,nd->n", np.clip(x, -1e150, 1e150), np.clip(x, -1e150, 1e150)).max(initial=0.0))
     step = max(1, SCORES // len(x))
     for at in range(0, queries.num_rows, step):
         piece = queries.slice(at, step).combine_chunks()
-        q, who = _matrix(piece["embedding"], dim), piece["rep"].to_numpy()
+        q, who, which = _matrix(piece["embedding"], dim), piece["rep"].to_numpy(), piece["variant"].to_numpy()
         lowest = piece["lowest"][0].as_py()
         taken = np.frombuffer(b"".join(piece["taken"].to_pylist()), np.uint8).reshape(len(q), -1, width)
         scores = np.full((len(q), len(x)), -np.inf)
@@ -247,15 +246,15 @@ def _compared(queries: pa.Table, x: np.ndarray, first: np.ndarray, second: np.nd
         least = np.partition(scores, max(0, len(x) - k - 1), axis=1)[:, max(0, len(x) - k - 1)] if len(x) > k + 1 else np.full(len(q), -np.inf)
         i, j = np.nonzero(seen & ((scores >= (least - np.nan_to_num(room, nan=np.inf))[:, None]) | (scores == np.inf)))
         exact = np.concatenate([_products(q[i[lo : lo + SCORES // dim]], x[j[lo : lo + SCORES // dim]]) for lo in range(0, len(i), SCORES // dim)]) if len(i) else np.zeros(0)
-        order = np.lexsort((reps[j], -exact, i))
+        order = np.lexsort((variants[j], reps[j], -exact, i))
         i, j, exact = i[order], j[order], exact[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
-        keep = rank < k + 1
-        yield pa.RecordBatch.from_arrays([pa.array(who[i[keep]]), pa.array(reps[j[keep]]), pa.array(exact[keep])], ["query", "rep", "score"])
+        i, j, exact = (a[rank < k + 1] for a in (i, j, exact))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (who[i], which[i], reps[j], variants[j], exact)], ["query", "query_variant", "rep", "variant", "score"])
 
 
 def _of_dimension(groups: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
-    """``query``, ``rep``, ``score``: for each distinct query vector at least its ``k + 1`` best distinct rows found."""
+    """``query``, ``query_variant``, ``rep``, ``variant``, ``score``: for each distinct query vector at least its ``k + 1`` best distinct rows found."""
     spark = groups.sparkSession
     n = groups.count()
     fit = groups.select("embedding").orderBy(F.xxhash64("embedding")).limit(FIT_ROWS).toArrow()
@@ -268,9 +267,9 @@ def _of_dimension(groups: DataFrame, queries: DataFrame, dim: int, k: int) -> Da
     def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, second = shared.value.cells(_matrix(batch["embedding"], dim)) if batch.num_rows else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([batch["rep"], batch["embedding"], pa.array(first), pa.array(second)], ["rep", "embedding", "first", "second"])
+            yield pa.RecordBatch.from_arrays([batch["rep"], batch["variant"], batch["embedding"], pa.array(first), pa.array(second)], ["rep", "variant", "embedding", "first", "second"])
 
-    rows = groups.select("rep", "embedding").mapInArrow(celled, f"rep long, embedding {kind}, first long, second long")
+    rows = groups.select("rep", "variant", "embedding").mapInArrow(celled, f"rep long, variant long, embedding {kind}, first long, second long")
     # at most MOST_CENTROIDS ** 2 rows, whatever the input
     counted = rows.groupBy("first", "second").agg(F.count("*").alias("n")).toArrow()
     sizes = np.zeros((centroids, centroids), np.int64)
@@ -299,11 +298,11 @@ def _of_dimension(groups: DataFrame, queries: DataFrame, dim: int, k: int) -> Da
                             bits.append(packed[lo:hi].tobytes())
             row = pa.array(who, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int64()), pa.array(lowest, pa.int64()), batch["rep"].take(row), batch["embedding"].take(row), pa.array(bits, pa.binary())],
-                ["shelf", "lowest", "rep", "embedding", "taken"],
+                [pa.array(where, pa.int64()), pa.array(lowest, pa.int64()), *(batch[c].take(row) for c in ("rep", "variant", "embedding")), pa.array(bits, pa.binary())],
+                ["shelf", "lowest", "rep", "variant", "embedding", "taken"],
             )
 
-    posts = written(queries.mapInArrow(posted, f"shelf long, lowest long, rep long, embedding {kind}, taken binary"), "nearest-posts")
+    posts = written(queries.mapInArrow(posted, f"shelf long, lowest long, rep long, variant long, embedding {kind}, taken binary"), "nearest-posts")
     # one row a shelf: shelves are at most centroids and what full shelves need
     parts = posts.groupBy("shelf").agg(F.ceil(F.count("*") / F.lit(TASK_QUERIES)).cast("long").alias("parts"))
     none = F.lit(None)
@@ -311,17 +310,17 @@ def _of_dimension(groups: DataFrame, queries: DataFrame, dim: int, k: int) -> Da
     wide = F.array(*[F.lit(int(s)) for s in spread])[F.col("first").cast("int")]
     shelf = (begin + F.pmod(F.xxhash64("rep"), wide)).cast("long")
     stocked = rows.withColumn("shelf", shelf).join(parts, "shelf").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    stocked = stocked.select("shelf", "part", F.lit(False).alias("query"), "first", "second", "rep", "embedding", none.cast("long").alias("lowest"), none.cast("binary").alias("taken"))
+    stocked = stocked.select("shelf", "part", F.lit(False).alias("query"), "first", "second", "rep", "variant", "embedding", none.cast("long").alias("lowest"), none.cast("binary").alias("taken"))
     asked = posts.join(parts, "shelf").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    asked = asked.select("shelf", "part", F.lit(True).alias("query"), none.cast("long").alias("first"), none.cast("long").alias("second"), "rep", "embedding", "lowest", "taken")
+    asked = asked.select("shelf", "part", F.lit(True).alias("query"), none.cast("long").alias("first"), none.cast("long").alias("second"), "rep", "variant", "embedding", "lowest", "taken")
     both = stocked.unionByName(asked).repartition("shelf", "part").sortWithinPartitions("shelf", "part", "query", "first", "second", "rep")
-    return both.mapInArrow(_ranked(dim, -(-centroids // 8), k), "query long, rep long, score double")
+    return both.mapInArrow(_ranked(dim, -(-centroids // 8), k), "query long, query_variant long, rep long, variant long, score double")
 
 
 def _query_rows(rows: DataFrame, groups: DataFrame, is_query: Column) -> DataFrame:
-    """``query_id`` and ``rep`` of each distinct (id, vector) asked for."""
+    """``query_id``, ``rep`` and ``variant`` of each distinct (id, vector) asked for."""
     asked = rows.where(is_query).distinct().withColumnRenamed("vec_id", "query_id")
-    return asked.join(groups.select("rep", "embedding"), "embedding").select("query_id", "rep")
+    return asked.join(groups.select("rep", "variant", "embedding"), "embedding").select("query_id", "rep", "variant")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
@@ -331,7 +330,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame
     Scores are inner products in double precision of the original vectors; ties go to the smaller vec_id. Vectors that are
     null, empty, zero or hold null or non-finite components take no part, nor do rows without a vec_id; vectors of
     another length aren't compared. Rows that are equal in id and vector are one; a row is no candidate of a query with
-    its id. A product that overflows is infinite. Queries with fewer candidates than ``k`` found have fewer rows; where
+    its id, and where an id has several vectors, each has a ranking, shorter by as many. A product that overflows is infinite. Queries with fewer candidates than ``k`` found have fewer rows; where
     there are at most ``k``, all are found. No vectors give no rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -341,7 +340,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame
     rows = rows.select("vec_id", F.transform("embedding", lambda v: v + F.lit(0.0).cast(kind)).alias("embedding"))
     groups = written(_distinct(rows, k), "nearest-vectors")
     asked = written(_query_rows(rows, groups, is_query), "nearest-queries")
-    wanted = groups.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "embedding")
+    wanted = groups.join(asked.select("rep", "variant").distinct(), ["rep", "variant"], "left_semi").select("rep", "variant", "embedding")
     found = None
     for (dim,) in sorted(groups.select(F.size("embedding")).distinct().collect()):
         here = F.size("embedding") == dim
@@ -349,11 +348,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "rep")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select(F.col("query"), "rep", "score")
-    found = found.join(groups.select("rep", "ids"), "rep").select(F.col("query").alias("rep"), F.explode("ids").alias("vec_id"), "score")
-    pairs = asked.join(found, "rep").where("query_id <> vec_id")
-    order = Window.partitionBy("query_id", "rep").orderBy(F.col("score").desc(), "vec_id")
+    of = ["query", "query_variant"]
+    best = Window.partitionBy(*of).orderBy(F.col("score").desc(), "rep", "variant")
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+    found = found.join(groups.select("rep", "variant", "ids"), ["rep", "variant"]).select(F.col("query").alias("rep"), F.col("query_variant").alias("variant"), F.explode("ids").alias("vec_id"), "score")
+    pairs = asked.join(found, ["rep", "variant"]).where("query_id <> vec_id")
+    order = Window.partitionBy("query_id", "rep", "variant").orderBy(F.col("score").desc(), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
