@@ -7,6 +7,7 @@ from collections.abc import Callable
 from .chat import OP3_SQL, op3_chat_format
 from .ctw import op8_ctw_score
 from .decontaminate import op6_decontaminate
+from .divergence import OP12_SQL, op12_divergence
 from .embedding_dedup import op2_embedding_dedup
 from .minhash_dedup import op10_minhash_dedup
 from .mixing import OP5_SQL, op5_mix_sources
@@ -29,9 +30,10 @@ def queries() -> dict[str, Callable]:
         "op8_ctw_score": op8_ctw_score,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
+        "op12_divergence": op12_divergence,
         "op13_nearest": op13_nearest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_normalise": OP1_SQL, "op3_chat_format": OP3_SQL, "op5_mix_sources": OP5_SQL}
+    return {"op1_warc_normalise": OP1_SQL, "op3_chat_format": OP3_SQL, "op5_mix_sources": OP5_SQL, "op12_divergence": OP12_SQL}
