@@ -38,8 +38,7 @@ LEAST = 6
 PIECES = (6, 8)
 SIGNIFICANT = 25.0
 TOXIC_BYTES = 1000
-#: Sizes of the ordinary dictionary; the one that tells unseen texts apart best is used.
-ORDINARY_BYTES = (8192, 16384)
+ORDINARY_BYTES = 8192
 WINDOW = 48
 SAVINGS = (1, 2, 3, 4, 6)
 THRESHOLD = 0.3
@@ -144,10 +143,10 @@ def runs_of(flat: bytes, wanted: dict[int, np.ndarray]) -> list[bytes]:
     return [flat[a:b] for a, b in zip(np.flatnonzero(covered == 1).tolist(), np.flatnonzero(covered == -1).tolist(), strict=True)]
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
-    """A dictionary by zstandard's trainer; where samples are too few for it, the distinct samples themselves."""
+def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """A dictionary by zstandard's trainer, in segments of that size; where samples are too few for it, the distinct samples themselves."""
     try:
-        return zstandard.train_dictionary(size, samples, k=16 if size < 4096 else 32, d=6, f=16, level=1).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=segment, d=6, f=20, level=1).as_bytes()
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:]
 
@@ -158,15 +157,19 @@ def _content(dictionary: bytes) -> int:
 
 
 def train_toxic(flat: list[bytes], pieces: Pieces, used: np.ndarray) -> bytes:
-    """The toxic dictionary's content, from the telling runs of the used toxic texts."""
+    """The toxic dictionary's content, from the distinct telling runs of the used toxic texts.
+
+    A run counts once: a language that says few things often would else leave no room to one that inflects what it says.
+    """
     wanted = {n: pieces.significant(n, used) for n in PIECES}
-    toxic = _trained([r for i in np.flatnonzero(used & (pieces.toxic == 1)) for r in runs_of(flat[i], wanted)], TOXIC_BYTES)
+    runs = dict.fromkeys(r for i in np.flatnonzero(used & (pieces.toxic == 1)) for r in runs_of(flat[i], wanted))
+    toxic = _trained(list(runs), TOXIC_BYTES, 12)  # about as long as a run
     return toxic[_content(toxic) :]
 
 
 def train_ordinary(flat: list[bytes], toxic: np.ndarray, used: np.ndarray, size: int) -> bytes:
     """The ordinary dictionary, from all windows of the used ordinary texts."""
-    return _trained([w for i in np.flatnonzero(used & (toxic == 0)) for w in windows(flat[i])], size) or b" the and of to "
+    return _trained([w for i in np.flatnonzero(used & (toxic == 0)) for w in windows(flat[i])], size, 32) or b" the and of to "
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -196,8 +199,8 @@ class Model:
     def compressors(self) -> tuple:
         return _compressor(self.toxic), _compressor(self.ordinary)
 
-    def calibrate(self, x: np.ndarray, labels: np.ndarray) -> float:
-        """Fit the weights on features of unseen texts, put the cut at ``THRESHOLD``; the shares that are right at it, summed."""
+    def calibrate(self, x: np.ndarray, labels: np.ndarray) -> None:
+        """Fit the weights on features of unseen texts and put the cut at ``THRESHOLD``."""
         self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
         a = np.c_[np.ones(len(x)), (x - self.mean) / self.spread]
         w = np.zeros(a.shape[1])
@@ -213,7 +216,6 @@ class Model:
         right = np.where(clean >= CLEAN, caught + clean, clean - 1)
         w[0] += np.log(THRESHOLD / (1 - THRESHOLD)) - cuts[np.argmax(right)]
         self.weights = w
-        return float(right.max())
 
     def score(self, x: np.ndarray) -> np.ndarray:
         a = np.c_[np.ones(len(x)), (x - self.mean) / self.spread]
@@ -259,18 +261,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         fold[toxic == y] = np.arange((toxic == y).sum()) % FOLDS
     pieces = Pieces(flat, toxic)
     parts = [train_toxic(flat, pieces, fold != k) for k in range(FOLDS + 1)]  # the last from all texts
-    best: tuple[float, Model] | None = None
-    for size in ORDINARY_BYTES:
-        x: list = [None] * len(flat)
-        for k in range(FOLDS):
-            pair = Model(parts[k], train_ordinary(flat, toxic, fold != k, size)).compressors()
-            for i in np.flatnonzero(fold == k):
-                x[i] = features(flat[i], pair)
-        model = Model(parts[FOLDS], train_ordinary(flat, toxic, fold >= 0, size))
-        right = model.calibrate(np.array(x), toxic)
-        if best is None or right > best[0]:
-            best = right, model
-    return best[1]
+    x: list = [None] * len(flat)
+    for k in range(FOLDS):
+        pair = Model(parts[k], train_ordinary(flat, toxic, fold != k, ORDINARY_BYTES)).compressors()
+        for i in np.flatnonzero(fold == k):
+            x[i] = features(flat[i], pair)
+    model = Model(parts[FOLDS], train_ordinary(flat, toxic, fold >= 0, ORDINARY_BYTES))
+    model.calibrate(np.array(x), toxic)
+    return model
 
 
 def scored(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
