@@ -28,10 +28,14 @@ def bound(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
+    from . import bindings_state  # noqa: F401  (registers its own)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import bindings_state  # noqa: F401
+
     return dict(_SQL)
 
 
