@@ -223,6 +223,90 @@ def test_derived_build(spark, tmp_path):
     assert lake.read("dataset_partition_manifest").where("dataset = 'cn_stock_daily_bar' and source_signature is not null").count() == 2
 
 
+def spoil(tmp_path, name, partition):
+    """Bytes that no reader takes for Parquet, in place of a partition's files."""
+    for f in (tmp_path / name / partition).glob("*.parquet"):
+        f.write_bytes(b"nothing")
+    for f in (tmp_path / name / partition).glob(".*.crc"):
+        f.unlink()
+
+
+def test_unchanged_sources_are_not_opened(spark, tmp_path):
+    """The plan comes from the ledger: a build passes over partitions that can't be read, unless they have to be."""
+    from tidemark.plans import derived
+
+    lake = lake_with_sources(spark, f"file://{tmp_path}")
+    derived.build(lake)
+    spoil(tmp_path, "baostock_cn_stock_daily_bar_unadjusted", "code=sh.600000")
+    spoil(tmp_path, "baostock_cn_stock_valuation_percentile", "code=sh.600000")
+    assert derived.build(lake) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 0}
+    bars = "date string, code string, open double, high double, low double, close double, volume long, amount double, quality_status string"
+    lake.write("akshare_cn_stock_daily_bar_unadjusted", spark.createDataFrame([("2024-01-02", "000001", 6.0, 6.0, 6.0, 6.0, 10, 1.0, "daily_bar_confirmed")], bars))
+    assert derived.build(lake, ("cn_stock_daily_bar",)) == {"cn_stock_daily_bar": 1}
+    assert lake.read("cn_stock_daily_bar", "SZ.000001").first()["close"] == 6.0
+
+
+def test_written_since_and_missing_ledger_rows(spark, tmp_path):
+    """Sources of both vendors count as changed by the ledger's time; absent rows are entered, empty partitions an error."""
+    from tidemark.plans import derived
+    from tidemark.sources.tables import LEDGER, LedgerError
+
+    lake = lake_with_sources(spark, f"file://{tmp_path}")
+    derived.build(lake)
+    before = str(lake.read(LEDGER).agg(F.max("updated_at")).first()[0] + dt.timedelta(milliseconds=1))
+    assert derived.build(lake, changed_since=before) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 0}
+    percentile = lake.read("baostock_cn_stock_valuation_percentile")
+    lake.write("baostock_cn_stock_valuation_percentile", percentile, "upsert")  # the same rows, written again: vendor 1 has no time of its own
+    assert derived.build(lake) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 0}
+    assert derived.build(lake, changed_since=before) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 1}
+    # a ledger that forgot a vendor-2 partition finds the same again
+    lake.write(LEDGER, lake.read(LEDGER).where("not (dataset = 'akshare_cn_stock_daily_bar_unadjusted' and partition_value = '000001')"), "replace")
+    assert derived.build(lake) == {"cn_stock_daily_bar": 0, "cn_stock_valuation": 0}
+    assert lake.read(LEDGER).where("dataset = 'akshare_cn_stock_daily_bar_unadjusted' and partition_value = '000001'").count() == 1
+    # a partition whose rows are gone
+    name = "baostock_cn_stock_daily_bar_unadjusted"
+    lake.write(LEDGER, lake.read(LEDGER).where(F.col("dataset") != name), "replace")
+    empty = lake.read(name).limit(0).drop("code")
+    empty.write.mode("overwrite").parquet(f"{lake.path(name)}/code=sh.600000")
+    with pytest.raises(LedgerError, match="baostock_cn_stock_daily_bar_unadjusted/sh.600000"):
+        derived.build(lake, ("cn_stock_daily_bar",))
+
+
+def test_a_security_without_sources_is_deleted(spark, tmp_path):
+    from tidemark.plans import derived
+
+    lake = lake_with_sources(spark, f"file://{tmp_path}")
+    derived.build(lake)
+    lake.delete_partitions("akshare_cn_stock_daily_bar_unadjusted", ["000001"])
+    derived.build(lake, ("cn_stock_daily_bar",))
+    assert [r[0] for r in lake.partitions("cn_stock_daily_bar").collect()] == ["SH.600000"]
+    assert derived.build(lake, ("cn_stock_daily_bar",), securities=["SH.600000"]) == {"cn_stock_daily_bar": 1}
+
+
+def test_last_to_arrive_stands(spark, tmp_path):
+    """Rows of one key in files that landed one after the other, of two kinds, in any cut into tasks."""
+    from tidemark.sources.tables import landed
+
+    root = tmp_path / "in"
+    for n in range(3):
+        (root / f"batch={n}").mkdir(parents=True)
+        lines = "".join(f"{c:06d},2024-01-02,{n * 100 + i}\n" for i in range(50) for c in (1, 2))
+        (root / f"batch={n}" / "part.csv").write_text(lines + (f"000003,2024-01-02,{n}\n" if n < 2 else ""))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    try:
+        rows = landed(spark, f"file://{root}", "csv", "code string, trade_date string, last_price double")
+        assert rows.rdd.getNumPartitions() > 10
+        lake = Lake(spark, f"file://{tmp_path}/lake")
+        lake.write("akshare_cn_stock_spot_quote_sina", rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r["code"], r["last_price"]) for r in lake.read("akshare_cn_stock_spot_quote_sina").collect()} == {("000001", 249.0), ("000002", 249.0), ("000003", 1.0)}
+    more = spark.range(100).selectExpr("'000001' code", "'2024-01-02' trade_date", "double(1000 + id) last_price").repartition(1)
+    more.write.parquet(f"file://{tmp_path}/more")
+    lake.write("akshare_cn_stock_spot_quote_sina", landed(spark, f"file://{tmp_path}/more"), "upsert")
+    assert lake.read("akshare_cn_stock_spot_quote_sina").where("code = '000001'").first()["last_price"] == 1099.0
+
+
 def test_run_metadata(spark, tmp_path):
     a, b = Lake(spark, f"file://{tmp_path}/a"), Lake(spark, f"file://{tmp_path}/b")
     runs = registry.outcome_rows(spark.createDataFrame([("d", "c1", 3, None), ("d", "c2", 0, None), ("d", "c3", 0, "boom")], "dataset string, code string, rows long, error string"), "r1")

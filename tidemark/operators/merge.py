@@ -14,12 +14,17 @@ CONFIRMED, SPOT_CLOSE = "daily_bar_confirmed", "spot_quote_close"
 def keep_last(existing: DataFrame, incoming: DataFrame, keys: list[str], order: Column | str | None = None) -> DataFrame:
     """The union with one row a key: the incoming one before the existing one, within each the last by ``order``.
 
-    Without ``order`` rows of one side and key are told apart by their contents, so reruns agree.
+    ``order`` may be a column that only the incoming rows have, such as that of their arrival. Without it rows of one
+    side and key are told apart by their contents, so reruns agree.
     """
     columns = existing.columns
-    tie = [order if isinstance(order, Column) else F.col(order)] if order is not None else []
-    both = existing.withColumn("_side", F.lit(0)).unionByName(incoming.select(*columns).withColumn("_side", F.lit(1)))
-    latest = Window.partitionBy(*keys).orderBy(F.desc("_side"), *[t.desc_nulls_last() for t in tie], F.xxhash64(*columns).desc())
+
+    def side(df: DataFrame, n: int) -> DataFrame:
+        own = order if isinstance(order, Column) else F.col(order) if order in df.columns else F.lit(None)
+        return df.select(*columns, F.lit(n).alias("_side"), own.alias("_order"))
+
+    latest = Window.partitionBy(*keys).orderBy(F.desc("_side"), F.col("_order").desc_nulls_last(), F.xxhash64(*columns).desc())
+    both = side(existing, 0).union(side(incoming, 1))
     return both.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").select(*columns)
 
 

@@ -75,15 +75,15 @@ ALIASES = {
 REPORT_COLUMNS = {"报告日": "report_date", "数据源": "data_source", "是否审计": "is_audit", "公告日期": "publish_date", "币种": "currency", "类型": "report_kind", "更新日期": "source_update_time"}
 
 
-def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in order: aliases renamed where their target is missing, the rest null; others dropped."""
+def conformed(df: DataFrame, schema: T.StructType, more: list[Column] | None = None) -> DataFrame:
+    """The declared columns in order: aliases renamed where their target is missing, the rest null; others dropped, but for ``more``."""
     have = {f.name: f.dataType for f in df.schema}
     source = {f.name: f.name for f in schema if f.name in have}
     for alias, target in ALIASES.items():
         if alias in have and target in schema.names and target not in source:
             source[target] = alias
     lit = lambda f: F.lit(None).cast(f.dataType)
-    return df.select(*[(coerced(F.col(f"`{source[f.name]}`"), f.dataType, have[source[f.name]]) if f.name in source else lit(f)).alias(f.name) for f in schema])
+    return df.select(*[(coerced(F.col(f"`{source[f.name]}`"), f.dataType, have[source[f.name]]) if f.name in source else lit(f)).alias(f.name) for f in schema], *(more or []))
 
 
 def required(df: DataFrame, headers: dict[str, tuple[str, ...]], endpoint: str) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import codes
 from ..operators import lineage, master
 from ..operators.normalize import conformed
-from ..sources.tables import Lake
+from ..sources.tables import LEDGER, Lake
 from .specs import spec
 
 TARGETS = ("cn_security_master", "cn_stock_daily_bar", "cn_stock_valuation")
@@ -20,8 +19,11 @@ DESCRIBED = ("security_id", "code", "exchange", "name", "security_type", "board"
 ADJUSTMENTS = ("unadjusted", "qfq", "hfq")
 
 
-def _six_digit_id() -> Column:
-    return codes.canonical_id(codes.exchange_of(F.col("code")), F.col("code"))
+#: Per child target the source tables and the master's column that names their partition.
+SOURCES = {
+    TARGETS[1]: [(f"{vendor}_cn_stock_daily_bar_{a}", f"{vendor}_code") for a in ADJUSTMENTS for vendor in ("baostock", "akshare")],
+    TARGETS[2]: [("akshare_cn_stock_valuation_eastmoney", "akshare_code"), ("baostock_cn_stock_valuation_percentile", "baostock_code")],
+}
 
 
 def build_master(lake: Lake) -> DataFrame:
@@ -38,63 +40,70 @@ def build_master(lake: Lake) -> DataFrame:
     return conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), spec(TARGETS[0]).schema)
 
 
-def bar_sources(lake: Lake) -> DataFrame:
+def source_partitions(lake: Lake, target: str, known: DataFrame) -> DataFrame:
+    """``security_id``, ``dataset``, ``partition_value``: the source partitions in storage that a security's rows come from."""
+    out = None
+    for name, column in SOURCES[target]:
+        own = known.select("security_id", F.lit(name).alias("dataset"), F.col(column).alias("partition_value")).join(lake.partition_names(name), "partition_value")
+        out = own if out is None else out.unionByName(own)
+    return out.select("security_id", "dataset", "partition_value")
+
+
+def _rows_of(lake: Lake, name: str, pairs: DataFrame) -> DataFrame:
+    """Rows of the named partitions of a source, with the security that each belongs to."""
+    own = pairs.where(F.col("dataset") == name).select("security_id", "partition_value")
+    return lake.read_partitions(name, own).join(own.withColumnRenamed("partition_value", spec(name).partition), spec(name).partition)
+
+
+def bar_sources(lake: Lake, pairs: DataFrame) -> DataFrame:
     """Bars of both vendors under canonical ids, tagged with where they come from."""
     parts = []
     for a in ADJUSTMENTS:
-        for vendor, ident in (("baostock", codes.canonical_from_dotted(F.col("code"))), ("akshare", _six_digit_id())):
+        for vendor in ("baostock", "akshare"):
             name = f"{vendor}_cn_stock_daily_bar_{a}"
-            rows = lake.read(name).withColumns({"security_id": ident, "adjustment": F.lit(a), "source_dataset": F.lit(name)})
+            rows = _rows_of(lake, name, pairs).withColumns({"adjustment": F.lit(a), "source_dataset": F.lit(name)})
             parts.append(rows if vendor == "akshare" else rows.withColumn("quality_status", F.lit("daily_bar_confirmed")).withColumn("source_endpoint", F.lit("query_history_k_data_plus")))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more, allowMissingColumns=True)
-    return out.where("security_id is not null")
+    return out
 
 
-def build_bars(lake: Lake, known: DataFrame) -> DataFrame:
-    rows = master.canonical_bars([bar_sources(lake)], known, "baostock")
+def build_bars(lake: Lake, known: DataFrame, pairs: DataFrame) -> DataFrame:
+    rows = master.canonical_bars([bar_sources(lake, pairs)], known, "baostock")
     return conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), spec(TARGETS[1]).schema)
 
 
-def build_valuations(lake: Lake, known: DataFrame) -> DataFrame:
-    metrics = lake.read("akshare_cn_stock_valuation_eastmoney").withColumn("security_id", _six_digit_id()).drop("code", "pct_change", "peg").where("security_id is not null")
-    ranks = lake.read("baostock_cn_stock_valuation_percentile").withColumn("security_id", codes.canonical_from_dotted(F.col("code"))).drop("code").where("security_id is not null").withColumnsRenamed(PERCENTILES)
-    rows = master.merged_valuations(metrics, ranks, METRICS, names=("akshare_cn_stock_valuation_eastmoney", "baostock_cn_stock_valuation_percentile"))
+def build_valuations(lake: Lake, known: DataFrame, pairs: DataFrame) -> DataFrame:
+    names = ("akshare_cn_stock_valuation_eastmoney", "baostock_cn_stock_valuation_percentile")
+    metrics = _rows_of(lake, names[0], pairs).drop("code", "pct_change", "peg")
+    ranks = _rows_of(lake, names[1], pairs).drop("code").withColumnsRenamed(PERCENTILES)
+    rows = master.merged_valuations(metrics, ranks, METRICS, names=names)
     rows = rows.join(known.select("security_id", "code", "exchange", "name"), "security_id")
     return conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), spec(TARGETS[2]).schema)
 
 
-def expected_signatures(lake: Lake, target: str, known: DataFrame) -> DataFrame:
-    """What each security's rows of a target would be built from now."""
-    if target == TARGETS[1]:
-        rows = bar_sources(lake)
-        columns = sorted({f.name for f in spec(target).schema} & set(rows.columns) - {"security_id", "source_dataset", *lineage.OPERATIONAL})
-        parts = rows.groupBy("security_id", "source_dataset").agg(lineage.content_hash(columns).alias("content_hash")).withColumnRenamed("source_dataset", "dataset")
-    else:
-        a = lake.read("akshare_cn_stock_valuation_eastmoney").withColumn("security_id", _six_digit_id())
-        b = lake.read("baostock_cn_stock_valuation_percentile").withColumn("security_id", codes.canonical_from_dotted(F.col("code")))
-        signed = lambda df, name: df.where("security_id is not null").groupBy("security_id").agg(lineage.content_hash([c for c in df.columns if c != "security_id"]).alias("content_hash")).withColumn("dataset", F.lit(name))
-        parts = signed(a, "valuation").unionByName(signed(b, "percentile"))
-    return lineage.signatures(parts.withColumn("partition_value", F.col("security_id")), known, "security_id", list(DESCRIBED))
-
+def planned(lake: Lake, target: str, known: DataFrame, pairs: DataFrame, changed_since: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """From the ledger alone: what each security's rows would be built from now, and what has to be done for that.
 
-def updated_since(lake: Lake, target: str, since: str) -> DataFrame:
-    """Securities with a source row of the target that was fetched at that moment or later."""
-    moment = F.col("fetched_at") >= F.lit(since).cast("timestamp_ntz")
-    if target == TARGETS[1]:
-        return bar_sources(lake).where(moment).select("security_id").distinct()
-    rows = lake.read("akshare_cn_stock_valuation_eastmoney")
-    rows = rows.where(moment) if "fetched_at" in rows.columns else rows.limit(0)
-    return rows.select(_six_digit_id().alias("security_id")).where("security_id is not null").distinct()
+    Source partitions that the ledger lacks are read and entered first; others are not opened. With ``changed_since``,
+    securities with a source partition that was written at that moment or later are rebuilt whatever they say.
+    """
+    entries = pairs.join(lake.entered(pairs), ["dataset", "partition_value"])
+    parts = entries.select("security_id", "dataset", "partition_value", F.col("semantic_hash").alias("content_hash"))
+    want = lineage.signatures(parts, known, "security_id", list(DESCRIBED))
+    late = entries.where(F.col("updated_at") >= F.lit(changed_since).cast("timestamp_ntz")).select("security_id") if changed_since else None
+    held = lake.read(LEDGER).where(F.col("dataset") == target).select(F.col("partition_value").alias("security_id"), "source_signature", "master_row_hash")
+    return want, lineage.changed_keys(want, held, "security_id", late)
 
 
 def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str] | None = None, full: bool = False, changed_since: str | None = None) -> dict[str, int]:
     """Build targets in order; the master always in full. Returns how many securities each child rebuilt.
 
     A child is built in full where it or its ledger is missing, or on request; else for the named securities, or for
-    those whose sources or attributes changed, or were fetched at or after ``changed_since``. Partitions without a source are deleted. The ledger keeps the signature
-    that each partition was built from.
+    those whose sources or attributes changed by the ledger, or were written at or after ``changed_since``. Only the
+    source partitions of what is built are read. Partitions without a source are deleted. The ledger keeps the signature
+    that each partition was built from. Source partitions without rows are a :class:`LedgerError`.
     """
     lake.rebuild(TARGETS[0], build_master(lake))
     known = lake.read(TARGETS[0])
@@ -102,21 +111,23 @@ def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str]
     for target, make in ((TARGETS[1], build_bars), (TARGETS[2], build_valuations)):
         if target not in targets:
             continue
-        want = expected_signatures(lake, target, known)
-        held = lake.read("dataset_partition_manifest").where(F.col("dataset") == target)
-        whole = full or (securities is None and (not lake.exists(target) or not held.take(1)))
-        rows = make(lake, known)
+        pairs = source_partitions(lake, target, known)
+        want, plan = planned(lake, target, known, pairs, changed_since)
+        whole = full or (securities is None and (not lake.exists(target) or not lake.read(LEDGER).where(F.col("dataset") == target).take(1)))
         if whole:
-            lake.rebuild(target, rows)
-            chosen = want
+            chosen, gone = want, []
         else:
-            plan = lineage.changed_keys(want, held.select(F.col("partition_value").alias("security_id"), "source_signature", "master_row_hash"), "security_id", updated_since(lake, target, changed_since) if changed_since else None)
-            plan = plan if securities is None else want.where(F.col("security_id").isin(securities)).select("security_id", F.lit("rebuild").alias("action"))
-            lake.delete_partitions(target, [r[0] for r in plan.where("action = 'delete'").select("security_id").collect()])
+            if securities is not None:
+                plan = want.where(F.col("security_id").isin(securities)).select("security_id", F.lit("rebuild").alias("action"))
             chosen = want.join(plan.where("action <> 'delete'"), "security_id", "left_semi")
-            fresh = rows.join(chosen, "security_id", "left_semi")
-            if fresh.take(1):
-                lake.write(target, fresh, "replace")
-        built[target] = chosen.count()  # before the ledger that it was planned from is replaced
-        lake.update_ledger(target, chosen.withColumnRenamed("security_id", "partition_value"))
+            gone = [r[0] for r in plan.where("action = 'delete'").select("security_id").collect()]
+        # the plan is read from the ledger that the writes replace
+        with lake.held(chosen) as chosen:
+            signatures = chosen.withColumnRenamed("security_id", "partition_value")
+            built[target] = chosen.count()
+            if whole:
+                lake.rebuild(target, make(lake, known, pairs), signatures)
+            elif built[target]:
+                lake.write(target, make(lake, known, pairs.join(chosen, "security_id", "left_semi")), "replace", signatures=signatures)
+            lake.delete_partitions(target, gone)
     return built

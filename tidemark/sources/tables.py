@@ -7,22 +7,41 @@ staged beside the table first, and only the partitions that change are replaced
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.lineage import ledger
+from ..operators.lineage import ledger, missing_partitions
 from ..operators.merge import keep_last, latest_per_key, new_partitions_only
 from ..operators.normalize import conformed, with_fixed
 from ..operators.quality import QualityError, checked
 from ..plans.specs import SPECS, TableSpec, columns, spec
 
+LEDGER = "dataset_partition_manifest"
+#: Where a row stands in the order of arrival: the name of its file, then its place in it (:func:`landed`).
+ARRIVAL = "_arrival"
+
+
+class LedgerError(RuntimeError):
+    """Partitions that the ledger lacks and that storage has no rows for."""
+
+
+#: Partition values that are named one by one in a read (so that folders are chosen before anything is opened); more are joined.
+NAMED_PARTITIONS = 10_000
+
 
 class Lake:
-    """Tables below one root, by name."""
+    """Tables below one root, by name.
+
+    Writes of partitioned tables enter what they wrote into the ledger of partitions, so that a build can tell from the
+    ledger alone what changed; ``keeps_ledger`` turns that off for tables that nothing is built from.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keeps_ledger: bool = True):
+        self.spark, self.root, self.keeps_ledger = spark, root.rstrip("/"), keeps_ledger
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -65,6 +84,25 @@ class Lake:
         column = spec(name).partition
         return self.read(name).select(F.col(column).cast("string").alias("partition_value")).distinct().orderBy("partition_value")
 
+    def partition_names(self, name: str) -> DataFrame:
+        """``partition_value`` of each partition in storage, from the names of its files; no file is opened."""
+        if not self.exists(name):
+            return self.spark.createDataFrame([], "partition_value string")
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.path(name))
+        escaped = F.regexp_extract("path", f"/{spec(name).partition}=([^/]+)/", 1)
+        return files.select(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("partition_value")).where("partition_value <> ''").distinct()
+
+    def read_partitions(self, name: str, values: DataFrame) -> DataFrame:
+        """Rows of the partitions in ``values`` (``partition_value``); other partitions' files are not opened."""
+        column = spec(name).partition
+        some = [r[0] for r in values.select("partition_value").distinct().limit(NAMED_PARTITIONS + 1).collect()]
+        rows = self.read(name)
+        if len(some) <= NAMED_PARTITIONS:
+            kind = spec(name).schema[column].dataType
+            return rows.where(F.col(column).isin([F.lit(v).cast(kind) for v in some]) if some else F.lit(False))
+        wanted = values.select(F.col("partition_value").cast(spec(name).schema[column].dataType).alias(column)).distinct()
+        return rows.join(wanted, column, "left_semi")
+
     def create_views(self, legacy: tuple[str, ...] = ()) -> list[str]:
         """A temporary view for each declared table, empty ones included; views under ``legacy`` names are dropped."""
         for name in legacy:
@@ -86,7 +124,8 @@ class Lake:
     def prepared(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         """``df`` in the declared shape; rows without a partition value, or of another than ``partition``, are an error."""
         table = spec(name)
-        df = with_fixed(conformed(df, table.schema), table.fixed)
+        arrival = [F.col(ARRIVAL)] if ARRIVAL in df.columns else []
+        df = with_fixed(conformed(df, table.schema, arrival), table.fixed)
         if table.partition:
             blank = F.col(table.partition).isNull() | (F.trim(F.col(table.partition).cast("string")) == "")
             if df.where(blank).take(1):
@@ -102,6 +141,15 @@ class Lake:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
+    @contextmanager
+    def held(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` as it is now, in a staged table, for as long as the block lasts."""
+        rows, path = self._staged(df)
+        try:
+            yield rows
+        finally:
+            self._delete(path)
+
     def _put(self, table: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that ``df`` has rows of, or the whole table if it has no partition column."""
         if table.partition:
@@ -110,15 +158,21 @@ class Lake:
         else:
             df.sortWithinPartitions(*table.keys).write.mode("overwrite").parquet(self.path(table.name)) if table.keys else df.write.mode("overwrite").parquet(self.path(table.name))
 
-    def write(self, name: str, df: DataFrame, mode: str | None = None, skip_existing: bool = False) -> None:
+    def write(self, name: str, df: DataFrame, mode: str | None = None, skip_existing: bool = False, signatures: DataFrame | None = None) -> None:
         """``replace``, ``merge``, ``upsert`` or ``append``; the table's own mode if none is named.
 
         Hard rules are checked on what will be stored. ``skip_existing`` leaves partitions alone whose keys are all there.
+        Rows of one key arrive in the order of :data:`ARRIVAL`, where ``df`` has it (see :func:`landed`): the last stands.
+        ``signatures`` go into the ledger beside the partitions that were built from them.
         """
         table, mode = spec(name), mode or spec(name).mode
+        arrival = ARRIVAL if ARRIVAL in df.columns else None
         df = self.prepared(name, df)
         if mode == "append":
+            df = df.select(*table.schema.names)
             checked(df, table).write.mode("append").parquet(self.path(name))
+            if table.partition and self.keeps_ledger:
+                self.enter_partitions(name, df.select(F.col(table.partition).cast("string").alias("partition_value")))
             return
         stored = self.read(name) if mode in ("merge", "upsert") and self.exists(name) else None
         if stored is not None:
@@ -126,25 +180,36 @@ class Lake:
                 if skip_existing:
                     df = new_partitions_only(stored, df, list(table.keys), table.partition)
                 stored = stored.join(df.select(table.partition).distinct(), table.partition, "left_semi")
-            df = keep_last(stored, df, list(table.keys))
+            df = keep_last(stored, df, list(table.keys), arrival)
+        elif arrival is not None and table.keys:
+            df = keep_last(df.limit(0), df, list(table.keys), arrival)
         staged, path = self._staged(df.select(*table.schema.names))
         try:
             self._put(table, checked(staged, table))
+            if table.partition and self.keeps_ledger:
+                self._enter(name, staged, signatures)
         finally:
             self._delete(path)
             self.spark.catalog.refreshByPath(self.path(name))
 
     def delete_partitions(self, name: str, values: list[str]) -> None:
+        """Partitions and their rows of the ledger."""
         column = spec(name).partition
         for v in values:
             self._delete(f"{self.path(name)}/{column}={v}")
+        if values and self.keeps_ledger:
+            held = self.read(LEDGER)
+            self.write(LEDGER, held.where(~((F.col("dataset") == name) & F.col("partition_value").isin(values))), "replace")
+        self.spark.catalog.refreshByPath(self.path(name))
 
-    def rebuild(self, name: str, df: DataFrame) -> None:
+    def rebuild(self, name: str, df: DataFrame, signatures: DataFrame | None = None) -> None:
         """Write a whole new table aside, check it, and swap it in; the old one stays until the new one stands."""
         table = spec(name)
         fresh, old = f"{self.root}/_staging/{uuid.uuid4().hex}", f"{self.root}/_staging/{uuid.uuid4().hex}"
         rows = self.prepared(name, df).select(*table.schema.names)
-        writer = rows.sortWithinPartitions(*table.keys).write if table.keys else rows.write
+        # a partition is one task's to write, as in _put: tasks times partitions would be as many small files
+        rows = rows.repartition(F.col(table.partition)).sortWithinPartitions(table.partition, *table.keys) if table.partition else rows
+        writer = (rows if table.partition or not table.keys else rows.sortWithinPartitions(*table.keys)).write
         (writer.partitionBy(table.partition) if table.partition else writer).parquet(fresh)
         checked(self.spark.read.schema(table.schema).parquet(fresh).select(*table.schema.names), table)
         held = self.exists(name)
@@ -158,27 +223,59 @@ class Lake:
             raise
         self._delete(old)
         self.spark.catalog.refreshByPath(self.path(name))
+        if table.partition and self.keeps_ledger:
+            self._enter(name, self.read(name), signatures, whole=True)
 
     # --- ledger and run metadata
 
-    def update_ledger(self, name: str, signatures: DataFrame | None = None, only_missing: bool = False) -> None:
-        """Ledger rows of a table, all or those that the ledger lacks, with the signatures they were built from."""
-        manifest = spec("dataset_partition_manifest")
-        rows = ledger(self.read(name), spec(name)).withColumn("output_path", F.lit(self.path(name)))
-        held = self.read(manifest.name).where(F.col("dataset") == name)
+    def _enter(self, name: str, rows: DataFrame, signatures: DataFrame | None = None, whole: bool = False) -> None:
+        """Ledger rows for the partitions that ``rows`` are all of; with ``whole`` the table has no others."""
+        manifest = spec(LEDGER)
+        entries = ledger(rows, spec(name)).withColumn("output_path", F.lit(self.path(name)))
         if signatures is not None:
-            rows = rows.join(signatures, "partition_value")
-        elif only_missing:
-            rows = rows.join(held.select("partition_value"), "partition_value", "left_anti")
+            entries = entries.join(signatures.select("partition_value", "source_signature", "master_row_hash"), "partition_value", "left")
+        entries = conformed(entries.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), manifest.schema)
+        if not whole:
+            self.write(LEDGER, entries, "upsert")
         else:
-            rows = rows.join(held.select("partition_value", "source_signature", "master_row_hash"), "partition_value", "left")
-        rows = conformed(rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), manifest.schema)
-        present = self.read(name).select(F.col(spec(name).partition).cast("string").alias("partition_value")).distinct() if spec(name).partition else None
-        kept = self.read(manifest.name)
-        if present is not None:  # partitions that are gone leave the ledger, too
-            gone = held.join(present, "partition_value", "left_anti").select("dataset", "partition_value")
-            kept = kept.join(gone, ["dataset", "partition_value"], "left_anti")
-        self.write(manifest.name, keep_last(kept, rows, list(manifest.keys)), "replace")
+            self.write(LEDGER, self.read(LEDGER).where(F.col("dataset") != name).unionByName(entries), "replace")
+
+    def enter_partitions(self, name: str, values: DataFrame) -> None:
+        """Read the partitions in ``values`` and enter them into the ledger, without signatures."""
+        self._enter(name, self.read_partitions(name, values))
+
+    def entered(self, pairs: DataFrame) -> DataFrame:
+        """Ledger rows of the (``dataset``, ``partition_value``) pairs; those that it lacks are read and entered first.
+
+        A pair that storage has no rows of either is a :class:`LedgerError`.
+        """
+        asked = pairs.select("dataset", "partition_value").distinct()
+        missing = missing_partitions(asked, self.read(LEDGER))
+        for (name,) in sorted(missing.select("dataset").distinct().collect()):  # a row a declared table
+            self.enter_partitions(name, missing.where(F.col("dataset") == name))
+        still = missing_partitions(asked, self.read(LEDGER)).orderBy("dataset", "partition_value").take(5)
+        if still:
+            raise LedgerError("not in the ledger and without rows: " + ", ".join(f"{r['dataset']}/{r['partition_value']}" for r in still))
+        return self.read(LEDGER).join(asked, ["dataset", "partition_value"], "left_semi")
+
+    def update_ledger(self, name: str, only_missing: bool = False) -> None:
+        """Ledger rows of a table: all anew (what they were built from stays), or those that the ledger lacks.
+
+        Partitions that are gone leave the ledger; with ``only_missing`` no others than the missing ones are read.
+        """
+        table = spec(name)
+        held = self.read(LEDGER).where(F.col("dataset") == name)
+        if not table.partition:
+            self._enter(name, self.read(name), held.select("partition_value", "source_signature", "master_row_hash"), whole=True)
+            return
+        present = self.partition_names(name)
+        gone = held.join(present, "partition_value", "left_anti").select("dataset", "partition_value")
+        if gone.take(1):
+            self.write(LEDGER, self.read(LEDGER).join(gone, ["dataset", "partition_value"], "left_anti"), "replace")
+        if only_missing:
+            self.enter_partitions(name, present.join(held.select("partition_value"), "partition_value", "left_anti"))
+        else:
+            self._enter(name, self.read(name), held.select("partition_value", "source_signature", "master_row_hash"), whole=True)
 
     def rebuild_ledger(self, names: list[str] | None = None, force: bool = False) -> None:
         for name in names or [n for n, s in SPECS.items() if s.family not in ("metadata",) and self.exists(n)]:
@@ -209,6 +306,19 @@ class Lake:
                     fs.delete(status.getPath(), True)
 
 
+def landed(spark: SparkSession, path: str, kind: str = "parquet", schema: T.StructType | str | None = None, **options: str) -> DataFrame:
+    """Extracts as they landed, with :data:`ARRIVAL`: files in the order of their paths, rows in that of their file.
+
+    Files are named so that later ones sort later (a folder a day, or numbered). The order holds however files are cut
+    into tasks: Parquet tells a row's place in its file; of other kinds it is the block's and the order within it.
+    """
+    reader = spark.read.format(kind).options(**options)
+    rows = (reader.schema(schema) if schema is not None else reader).load(path)
+    place = F.col("_metadata.row_index") if kind == "parquet" else F.monotonically_increasing_id()
+    start = F.lit(0).cast("long") if kind == "parquet" else F.col("_metadata.file_block_start")
+    return rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), start.alias("block"), place.alias("row")).alias(ARRIVAL))
+
+
 def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], spec(name).schema)
 
