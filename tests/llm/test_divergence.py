@@ -4,7 +4,6 @@ import random
 
 import duckdb
 import pandas as pd
-from pyspark.sql import functions as F
 
 from tidemark.llm import divergence
 
@@ -48,11 +47,13 @@ def test_divergence_equals_sql(spark):
 
 def test_colliding_digests_are_split(spark, monkeypatch):
     """Sixteen digests for all terms, and joins without a broadcast."""
-    monkeypatch.setattr(divergence, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(divergence, "LOOKED_UP", 3)
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     given = pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source"])
-    assert found(df, digest=lambda t: F.pmod(F.xxhash64(t), F.lit(16))) == by_sql(given)
+    assert found(df, bits=4) == by_sql(given)
+    monkeypatch.setattr(divergence, "LOOKED_UP", 1000)
+    assert found(df, bits=4) == by_sql(given)
 
 
 def test_no_documents_and_no_terms(spark):

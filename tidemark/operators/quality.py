@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import CANONICAL, SIX_DIGITS
@@ -131,6 +132,30 @@ def unordered_groups(df: DataFrame, group: str, day: str, order: str) -> DataFra
     return df.withColumn("_before", before).groupBy(group).agg(F.count_if(F.col("_before") > F.col(day)).alias("falls")).where("falls > 0")
 
 
+def observed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation | None]:
+    """``df`` with its row rules counted by whatever job reads it to the end, a write among them; no pass of its own."""
+    rules = {r: RULES[r][1](spec) for r in spec.rules if r in RULES}
+    if not rules:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(c).alias(r) for r, c in rules.items()]), seen
+
+
+def judge(df: DataFrame, spec: TableSpec, seen: Observation | None) -> None:
+    """Raises if the schema, a hard rule counted in ``seen``, or a key rule is off; only then are bad rows looked for."""
+    wrong = schema_violations(df, spec)
+    if wrong:
+        raise QualityError(f"{spec.name}: {'; '.join(wrong)}")
+    counts = seen.get if seen is not None else {}
+    hard = [r for r, n in counts.items() if n and RULES[r][0] == HARD]
+    found = row_violations(df, {r: (HARD, RULES[r][1](spec)) for r in hard}, list(spec.keys), spec.name) if hard else None
+    by_key = report(df, replace(spec, rules=tuple(r for r in spec.rules if r in KEY_RULES)))
+    found = by_key if found is None else found if by_key is None else found.unionByName(by_key)
+    bad = found.where("severity = 'hard' and violations > 0").collect() if found is not None else []  # a row a rule at most
+    if bad:
+        raise QualityError(f"{spec.name}: " + "; ".join(f"{r['rule']} {r['violations']} ({r['sample']})" for r in bad))
+
+
 def checked(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``df``; raises if its schema or a hard rule is off. Soft rules are the caller's to read from :func:`report`."""
     wrong = schema_violations(df, spec)

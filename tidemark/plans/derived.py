@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import lineage, master
+from ..operators import blocks, lineage, master
 from ..operators.normalize import conformed
 from ..sources.tables import LEDGER, Lake
 from .specs import spec
@@ -131,3 +131,34 @@ def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str]
                 lake.write(target, make(lake, known, pairs.join(chosen, "security_id", "left_semi")), "replace", signatures=signatures)
             lake.delete_partitions(target, gone)
     return built
+
+
+#: Per adjustment the factor that it takes, and the flag of its bars.
+ADJUSTED = {"qfq": ("forward_adjust_factor", "2"), "hfq": ("backward_adjust_factor", "1")}
+FACTORS, UNADJUSTED = "baostock_cn_stock_adjustment_factor", "baostock_cn_stock_daily_bar_unadjusted"
+
+
+def refresh_adjusted(lake: Lake, fetched: DataFrame) -> dict[str, int]:
+    """Adjusted bars after new factors of some codes (``fetched`` has all of a code's); returns the bars put anew.
+
+    The days on which a stored and a fetched factor differ are worked out first; only these days' bars of these codes are
+    read, from their partitions, and replaced. A code without stored adjusted bars gets all of them. The factors are
+    stored last, so a run that breaks off finds the same difference again.
+    """
+    put = {}
+    with lake.held(conformed(fetched, spec(FACTORS).schema)) as fresh:
+        codes = fresh.select("code").distinct()
+        old = lake.read_partitions(FACTORS, codes.withColumnRenamed("code", "partition_value"))
+        for adjustment, (factor, flag) in ADJUSTED.items():
+            name = f"baostock_cn_stock_daily_bar_{adjustment}"
+            stored = lake.partition_names(name).withColumnRenamed("partition_value", "code")
+            spans = blocks.changed_spans(old, fresh, "code", "dividend_operate_date", factor).join(stored, "code", "left_semi")
+            whole = codes.join(stored, "code", "left_anti").select("code", F.lit("0001-01-01").cast("date").alias("start"), F.lit("9999-12-31").cast("date").alias("end"))
+            with lake.held(spans.unionByName(whole)) as spans:
+                bars = lake.read_partitions(UNADJUSTED, spans.select(F.col("code").alias("partition_value")))
+                with lake.held(blocks.readjusted(bars, fresh, spans, factor, flag)) as rows:
+                    put[adjustment] = rows.count()
+                    if put[adjustment]:
+                        lake.write(name, rows, "upsert")
+        lake.write(FACTORS, fresh, "replace")
+    return put

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from ..operators.lineage import ledger, missing_partitions
 from ..operators.merge import keep_last, latest_per_key, new_partitions_only
 from ..operators.normalize import conformed, with_fixed
-from ..operators.quality import QualityError, checked
+from ..operators.quality import QualityError, checked, judge, observed
 from ..plans.specs import SPECS, TableSpec, columns, spec
 
 LEDGER = "dataset_partition_manifest"
@@ -111,13 +112,68 @@ class Lake:
             self.read(table.name).createOrReplaceTempView(table.view)
         return [t.view for t in SPECS.values()]
 
-    def file_statistics(self, name: str) -> DataFrame:
-        """One row: files, bytes, rows, first and last date and latest change, from file metadata and one column."""
+    def partition_statistics(self, name: str) -> DataFrame:
+        """``partition_value``, ``row_count``, ``min_date``, ``max_date``, ``files``, ``file_size_bytes``, ``file_mtime`` of each partition.
+
+        Rows and dates come from the footers alone (the reader takes the aggregate over), files from their listing: no
+        row is read. A row a partition, one in all for a table without; they are worked out when this is called.
+        """
+        table = spec(name)
+        none = "partition_value string, row_count long, min_date date, max_date date, files long, file_size_bytes long, file_mtime timestamp"
+        if not self.exists(name):
+            return self.spark.createDataFrame([], none)
+        value = f"CAST({table.partition} AS STRING)" if table.partition else "CAST(NULL AS STRING)"
+        with self._footers():
+            told = self._pushed(name)
+            counted = told.select(F.expr(value).alias("partition_value"), "row_count", *[F.col(c) if table.date_column else F.lit(None).cast("date").alias(c) for c in ("min_date", "max_date")])
+            # a row a partition, as many as files that the driver has listed anyway
+            rows = counted.collect()
+        counted = self.spark.createDataFrame(rows, "partition_value string, row_count long, min_date date, max_date date")
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.path(name))
+        escaped = F.regexp_extract("path", f"/{table.partition}=([^/]+)/", 1) if table.partition else F.lit(None).cast("string")
+        listed = files.groupBy(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("of")).agg(F.count("*").alias("files"), F.sum("length").alias("file_size_bytes"), F.max("modificationTime").alias("file_mtime"))
+        return counted.join(listed, F.col("of").eqNullSafe(F.col("partition_value")), "left").drop("of")
+
+    def _pushed(self, name: str) -> DataFrame:
+        """Counts and date bounds by partition in the form that the Parquet reader answers from footers."""
         table = spec(name)
-        day = F.col(table.date_column) if table.date_column else F.lit(None).cast("date")
-        rows = self.spark.read.schema(table.schema).parquet(self.path(name)).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time", day.alias("_day"))
-        files = rows.groupBy("file_path").agg(F.count("*").alias("rows"), F.max("file_size").alias("size"), F.max("file_modification_time").alias("mtime"), F.min("_day").alias("first"), F.max("_day").alias("last"))
-        return files.agg(F.count("*").alias("files"), F.sum("rows").alias("row_count"), F.sum("size").alias("file_size_bytes"), F.max("mtime").alias("file_mtime"), F.min("first").alias("min_date"), F.max("last").alias("max_date"))
+        rows = self.spark.read.schema(table.schema).parquet(self.path(name))
+        bounds = [F.min(table.date_column).alias("min_date"), F.max(table.date_column).alias("max_date")] if table.date_column and table.date_column != table.partition else []
+        told = rows.groupBy(*([table.partition] if table.partition else [])).agg(F.count("*").alias("row_count"), *bounds)
+        if table.date_column and not bounds:
+            told = told.withColumns({c: F.col(table.partition) for c in ("min_date", "max_date")})
+        return told
+
+    @contextmanager
+    def _footers(self) -> Iterator[None]:
+        """Within the block Parquet is read by the reader that takes aggregates over."""
+        names = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+        held = {k: self.spark.conf.get(k) for k in names}
+        try:
+            for k, v in names.items():
+                self.spark.conf.set(k, v)
+            yield
+        finally:
+            for k, v in held.items():
+                self.spark.conf.set(k, v)
+
+    def file_statistics(self, name: str) -> DataFrame:
+        """One row: files, bytes, rows, first and last date and latest change, from footers and the listing of files."""
+        parts = self.partition_statistics(name)
+        return parts.agg(F.sum("files").alias("files"), F.sum("row_count").alias("row_count"), F.sum("file_size_bytes").alias("file_size_bytes"), F.max("file_mtime").alias("file_mtime"), F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
+
+    def inventory(self, names: list[str] | None = None) -> DataFrame:
+        """A row a table: ``dataset``, ``partitions``, ``latest_partition`` and its file statistics; absent tables have zeros."""
+        out = None
+        for name in names or list(SPECS):
+            parts = self.partition_statistics(name)
+            row = parts.agg(
+                F.count_distinct("partition_value").alias("partitions"), F.max("partition_value").alias("latest_partition"), F.coalesce(F.sum("row_count"), F.lit(0).cast("long")).alias("row_count"),
+                F.coalesce(F.sum("files"), F.lit(0).cast("long")).alias("files"), F.coalesce(F.sum("file_size_bytes"), F.lit(0).cast("long")).alias("file_size_bytes"), F.max("file_mtime").alias("file_mtime"),
+                F.min("min_date").cast("string").alias("min_date"), F.max("max_date").cast("string").alias("max_date"),
+            ).select(F.lit(name).alias("dataset"), "*")
+            out = row if out is None else out.unionByName(row)
+        return out
 
     # --- writing
 
@@ -174,18 +230,24 @@ class Lake:
             if table.partition and self.keeps_ledger:
                 self.enter_partitions(name, df.select(F.col(table.partition).cast("string").alias("partition_value")))
             return
-        stored = self.read(name) if mode in ("merge", "upsert") and self.exists(name) else None
-        if stored is not None:
-            if table.partition:
-                if skip_existing:
-                    df = new_partitions_only(stored, df, list(table.keys), table.partition)
-                stored = stored.join(df.select(table.partition).distinct(), table.partition, "left_semi")
-            df = keep_last(stored, df, list(table.keys), arrival)
-        elif arrival is not None and table.keys:
-            df = keep_last(df.limit(0), df, list(table.keys), arrival)
-        staged, path = self._staged(df.select(*table.schema.names))
+        with ExitStack() as stack:
+            if mode in ("merge", "upsert") and self.exists(name):
+                if table.partition:
+                    # what came is worked out once; of what is stored only its partitions are opened
+                    df = stack.enter_context(self.held(df))
+                    stored = self.read_partitions(name, df.select(F.col(table.partition).cast("string").alias("partition_value")))
+                    if skip_existing:
+                        df = new_partitions_only(stored, df, list(table.keys), table.partition)
+                else:
+                    stored = self.read(name)
+                df = keep_last(stored, df, list(table.keys), arrival)
+            elif arrival is not None and table.keys:
+                df = keep_last(df.limit(0), df, list(table.keys), arrival)
+            df, seen = observed(df.select(*table.schema.names), table)
+            staged, path = self._staged(df)
         try:
-            self._put(table, checked(staged, table))
+            judge(staged, table, seen)
+            self._put(table, staged)
             if table.partition and self.keeps_ledger:
                 self._enter(name, staged, signatures)
         finally:
@@ -323,9 +385,15 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], spec(name).schema)
 
 
-def append_event(spark: SparkSession, path: str, name: str, rows: DataFrame, event_id: int) -> None:
-    """A line in the event log for a write: id, table, rows, and the dates it spans."""
+def append_event(spark: SparkSession, path: str, name: str, rows: DataFrame, event_id: int | None = None) -> None:
+    """A line in the event log for a write: id (the next one, if none is given), table, rows, and the dates it spans."""
     table = spec(name)
+    if event_id is None:
+        try:
+            last = spark.read.schema(EVENT_SCHEMA).json(path).agg(F.max("event_id")).first()[0]
+        except AnalysisException:  # no log yet
+            last = None
+        event_id = (last or 0) + 1
     day = F.col(table.date_column).cast("string") if table.date_column else F.lit(None).cast("string")
     event = rows.agg(F.count("*").alias("row_count"), F.min(day).alias("min_date"), F.max(day).alias("max_date"))
     event.select(F.lit(event_id).cast("long").alias("event_id"), F.lit(name).alias("dataset"), "*").write.mode("append").json(path)
@@ -335,4 +403,4 @@ EVENT_SCHEMA = columns("long: event_id; string: dataset; long: row_count; string
 
 
 def read_events(spark: SparkSession, path: str, since: int = 0, limit: int = 1000) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).json(path).where(F.col("event_id") > since).orderBy("event_id").limit(limit)
+    return spark.read.schema(EVENT_SCHEMA).json(path).where(F.col("event_id") > since).select(*EVENT_SCHEMA.names).orderBy("event_id").limit(limit)

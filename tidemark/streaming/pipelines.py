@@ -14,7 +14,37 @@ from ..sources.tables import EVENT_SCHEMA, Lake
 
 def event_tail(spark: SparkSession, path: str, since: int = 0) -> DataFrame:
     """New lines of an event log as they arrive."""
-    return spark.readStream.schema(EVENT_SCHEMA).json(path).where(F.col("event_id") > since)
+    return spark.readStream.schema(EVENT_SCHEMA).json(path).where(F.col("event_id") > since).select(*EVENT_SCHEMA.names)
+
+
+#: Bits of an event id: the batch, the task within it, the place within the task's rows.
+_TASK_BITS, _ROW_BITS = 12, 28
+
+
+def numbered(batch: DataFrame, number: int) -> DataFrame:
+    """``batch`` with ``event_id``, greater than all of earlier batches: from the batch's number, the task and the place in it."""
+    own = F.monotonically_increasing_id()
+    task, row = F.shiftright(own, 33), own.bitwiseAND((1 << 33) - 1)
+    fits = (task < (1 << _TASK_BITS)) & (row + 1 < (1 << _ROW_BITS))
+    at = F.lit(number << (_TASK_BITS + _ROW_BITS)) + F.call_function("shiftleft", task, F.lit(_ROW_BITS)) + row + 1
+    return batch.withColumn("event_id", F.when(fits, at).otherwise(F.raise_error(F.lit("a batch of more rows than event ids hold"))))
+
+
+def logged(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Appends a stream of events to a log, each once: a batch that runs again replaces its own lines, under the same ids.
+
+    ``events`` have the columns of the log but for the id, which nobody has to invent.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        write_batch(batch, number, path)
+
+    return events.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def write_batch(batch: DataFrame, number: int, path: str) -> None:
+    rows = numbered(batch, number).select("event_id", *[c for c in EVENT_SCHEMA.names if c != "event_id"])
+    rows.write.mode("overwrite").json(f"{path}/batch={number:010d}")
 
 
 def upserts(rows: DataFrame, lake: Lake, table: str, checkpoint: str, skip_existing: bool = False, order: list[str] | None = None) -> StreamingQuery:
