@@ -137,3 +137,21 @@ def test_exact_percentiles_by_narrowing(spark, tmp_path):
     a, b = ({r["g"]: tuple(r)[1:] for r in x.collect()} for x in (got, want))
     assert a.keys() == b.keys() == {"hot", "b", None, "one"}
     assert all(math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-300) for g in a for x, y in zip(a[g], b[g], strict=True))
+
+
+def test_migration_is_verified(spark, tmp_path):
+    from tidemark.sources.tables import MigrationError
+
+    old = spark.createDataFrame([("000001", "2024-01-02", 1.5, "old_endpoint"), ("000002", "2024-01-03", 2.5, "kept")], "symbol string, day string, latest double, source_endpoint string")
+    old.write.partitionBy("day").parquet(f"file://{tmp_path}/old")
+    lake = Lake(spark, f"file://{tmp_path}/lake")
+    name, renamed = "akshare_cn_stock_spot_quote_sina", {"symbol": "code", "day": "trade_date", "latest": "last_price"}
+    assert lake.migrate(name, f"file://{tmp_path}/old", renamed, {"source_endpoint": {"old_endpoint": "stock_zh_a_spot"}}, {"fallback_reason": "migrated"}) == 2
+    rows = [(r["code"], r["trade_date"], r["last_price"], r["source_endpoint"], r["fallback_reason"]) for r in lake.read(name).orderBy("code").collect()]
+    assert rows == [("000001", D(2024, 1, 2), 1.5, "stock_zh_a_spot", "migrated"), ("000002", D(2024, 1, 3), 2.5, "kept", "migrated")]
+    assert lake.read("dataset_partition_manifest").count() == 2
+    changing = lake._fresh
+    lake._fresh = lambda table, df: changing(table, df.where("code <> '000002'"))  # a write that loses rows
+    with pytest.raises(MigrationError, match="1 rows were written of 2"):
+        lake.migrate(name, f"file://{tmp_path}/old", renamed)
+    assert lake.read(name).count() == 2

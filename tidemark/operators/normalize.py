@@ -132,7 +132,7 @@ def valuations(df: DataFrame, code: str) -> DataFrame:
 
 def capital_structure(df: DataFrame, code: str, fetched_at: str) -> DataFrame:
     rows = required(df, HEADERS["capital"], "capital structure")
-    return _shaped(rows, "akshare_cn_stock_capital_structure_em", code=F.lit(code), source_symbol=codes.suffix_symbol(F.lit(code)), change_reason=F.coalesce("change_reason", F.lit("")), source_endpoint=F.lit("stock_zh_a_gbjg_em"), fetched_at=F.lit(fetched_at)).orderBy("change_date")
+    return _shaped(rows, "akshare_cn_stock_capital_structure_em", code=F.lit(code), source_symbol=codes.suffix_symbol(F.lit(code)), change_reason=F.coalesce("change_reason", F.lit("")), source_endpoint=F.lit("stock_zh_a_gbjg_em"), fetched_at=F.lit(fetched_at))
 
 
 def disclosure_calendar(df: DataFrame, table: str, period: str, period_end: str, fetched_at: str, **constants: str) -> DataFrame:

@@ -141,6 +141,14 @@ def observed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation | N
     return df.observe(seen, *[F.count_if(c).alias(r) for r, c in rules.items()]), seen
 
 
+def observed_by_reading(df: DataFrame, spec: TableSpec) -> Observation | None:
+    """The counts of a table that is there already, by one pass over the columns that the rules name."""
+    rows, seen = observed(df, spec)
+    if seen is not None:
+        rows.write.format("noop").mode("overwrite").save()
+    return seen
+
+
 def judge(df: DataFrame, spec: TableSpec, seen: Observation | None) -> None:
     """Raises if the schema, a hard rule counted in ``seen``, or a key rule is off; only then are bad rows looked for."""
     wrong = schema_violations(df, spec)
@@ -158,11 +166,5 @@ def judge(df: DataFrame, spec: TableSpec, seen: Observation | None) -> None:
 
 def checked(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``df``; raises if its schema or a hard rule is off. Soft rules are the caller's to read from :func:`report`."""
-    wrong = schema_violations(df, spec)
-    if wrong:
-        raise QualityError(f"{spec.name}: {'; '.join(wrong)}")
-    found = report(df, spec)
-    bad = found.where("severity = 'hard' and violations > 0").collect() if found is not None else []  # a row a rule at most
-    if bad:
-        raise QualityError(f"{spec.name}: " + "; ".join(f"{r['rule']} {r['violations']} ({r['sample']})" for r in bad))
+    judge(df, spec, observed_by_reading(df, spec))
     return df

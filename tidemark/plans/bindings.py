@@ -28,13 +28,13 @@ def bound(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
-    from . import bindings_state  # noqa: F401  (registers its own)
+    from . import bindings_state, bindings_vendors  # noqa: F401  (they register their own)
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import bindings_state  # noqa: F401
+    from . import bindings_state, bindings_vendors  # noqa: F401
 
     return dict(_SQL)
 
@@ -238,10 +238,10 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.latest_per_key(table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value"), ["user_id"], ["ts", "event_id"])
 
 
-@bound("select o_custkey from orders where o_orderdate < timestamp '1996-01-01' except select o_custkey from orders where o_orderdate >= timestamp '1996-01-01'")
+@bound("select o_custkey from orders where o_orderdate < timestamp '2000-06-01' except select o_custkey from orders where o_orderdate >= timestamp '2000-06-01'")
 def stale_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-    cut = F.lit("1996-01-01").cast("timestamp_ntz")
+    cut = F.lit("2000-06-01").cast("timestamp_ntz")
     return merge.stale_values(rows.where(F.col("o_orderdate") < cut), rows.where(F.col("o_orderdate") >= cut), "o_custkey")
 
 
@@ -454,7 +454,7 @@ def market_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- disclosures ------------------------------------------------------------------------------------------------------
 
-_CALENDAR = """cal as (select o_custkey as code, year(o_orderdate)::varchar || '年报' as report_period, make_date(year(o_orderdate), 12, 31) as period_end_date, o_orderdate::date + 10 as first_scheduled_date,
+_DISCLOSED = """cal as (select o_custkey as code, year(o_orderdate)::varchar || '年报' as report_period, make_date(year(o_orderdate), 12, 31) as period_end_date, o_orderdate::date + 10 as first_scheduled_date,
     case when o_orderkey % 3 = 0 then o_orderdate::date + 12 end as first_changed_date, case when o_orderkey % 6 = 0 then o_orderdate::date + 14 end as second_changed_date, null::date as third_changed_date,
     case when o_orderkey % 5 = 0 then o_orderdate::date + 20 end as actual_disclosure_date from orders),
 due as (select code, report_period, period_end_date, coalesce(actual_disclosure_date, third_changed_date, second_changed_date, first_changed_date, first_scheduled_date) as trigger_date,
@@ -472,13 +472,13 @@ def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@bound(f"""with {_CALENDAR} select code, report_period, period_end_date, trigger_date, trigger_priority from (
+@bound(f"""with {_DISCLOSED} select code, report_period, period_end_date, trigger_date, trigger_priority from (
   select *, row_number() over (partition by code, report_period order by trigger_priority desc, trigger_date desc, period_end_date desc) as r from cand) where r = 1""")
 def disclosure_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure.reduced(disclosure.candidates(_calendar(spark, sf_dir), "1998-12-31", "1998-01-01"))
 
 
-@bound(f"""with {_CALENDAR}, waiting as (select * from due where trigger_date between date '1998-12-31' - 30 and date '1998-12-31'),
+@bound(f"""with {_DISCLOSED}, waiting as (select * from due where trigger_date between date '1998-12-31' - 30 and date '1998-12-31'),
 both_ as (select * from (select * from due where trigger_date between date '1998-12-20' and date '1998-12-31') union all select * from waiting),
 best as (select *, row_number() over (partition by code, report_period order by trigger_priority desc, trigger_date desc, period_end_date desc) as r from both_)
 select code, report_period, period_end_date, trigger_date, trigger_priority from best where r = 1 and not exists (
@@ -730,11 +730,11 @@ def overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.overlapping_runs(_runs(spark, sf_dir), "user_id", "started", "ended", "run").select("user_id", "run", "next_run")
 
 
-@bound("""select user_id, max(ts) as last_line, date_diff('second', date_trunc('second', max(ts)), timestamp '2024-02-01')::bigint as silent_seconds from events where user_id not in (select user_id from events where event_type = 'purchase')
-group by 1 having date_diff('second', date_trunc('second', max(ts)), timestamp '2024-02-01') >= 86400""")
+@bound("""select user_id, max(ts) as last_line, ((epoch_us(timestamp '2024-02-01') - epoch_us(max(ts))) // 1000000)::bigint as silent_seconds from events where user_id not in (select user_id from events where event_type = 'purchase' and value > 100)
+group by 1 having (epoch_us(timestamp '2024-02-01') - epoch_us(max(ts))) // 1000000 >= 86400""")
 def silent_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return logs.silent_runs(e, "user_id", "ts", e.where("event_type = 'purchase'"), "2024-02-01", 86400)
+    return logs.silent_runs(e, "user_id", "ts", e.where("event_type = 'purchase' and value > 100"), "2024-02-01", 86400)
 
 
 @bound("""select event_id, user_id, last_value(case when event_type = 'signup' then event_id end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as session from events""")

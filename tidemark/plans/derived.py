@@ -42,11 +42,13 @@ def build_master(lake: Lake) -> DataFrame:
 
 def source_partitions(lake: Lake, target: str, known: DataFrame) -> DataFrame:
     """``security_id``, ``dataset``, ``partition_value``: the source partitions in storage that a security's rows come from."""
-    out = None
+    out = lake.spark.createDataFrame([], "security_id string, dataset string, partition_value string")
     for name, column in SOURCES[target]:
+        if not lake.exists(name):
+            continue
         own = known.select("security_id", F.lit(name).alias("dataset"), F.col(column).alias("partition_value")).join(lake.partition_names(name), "partition_value")
-        out = own if out is None else out.unionByName(own)
-    return out.select("security_id", "dataset", "partition_value")
+        out = out.unionByName(own)
+    return out
 
 
 def _rows_of(lake: Lake, name: str, pairs: DataFrame) -> DataFrame:
@@ -111,7 +113,12 @@ def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str]
     for target, make in ((TARGETS[1], build_bars), (TARGETS[2], build_valuations)):
         if target not in targets:
             continue
-        pairs = source_partitions(lake, target, known)
+        built[target] = _build_child(lake, target, make, known, securities, full, changed_since)
+    return built
+
+
+def _build_child(lake: Lake, target: str, make, known: DataFrame, securities: list[str] | None, full: bool, changed_since: str | None) -> int:
+    with lake.held(source_partitions(lake, target, known)) as pairs:
         want, plan = planned(lake, target, known, pairs, changed_since)
         whole = full or (securities is None and (not lake.exists(target) or not lake.read(LEDGER).where(F.col("dataset") == target).take(1)))
         if whole:
@@ -124,13 +131,13 @@ def build(lake: Lake, targets: tuple[str, ...] = TARGETS, securities: list[str]
         # the plan is read from the ledger that the writes replace
         with lake.held(chosen) as chosen:
             signatures = chosen.withColumnRenamed("security_id", "partition_value")
-            built[target] = chosen.count()
+            number = chosen.count()
             if whole:
                 lake.rebuild(target, make(lake, known, pairs), signatures)
-            elif built[target]:
+            elif number:
                 lake.write(target, make(lake, known, pairs.join(chosen, "security_id", "left_semi")), "replace", signatures=signatures)
             lake.delete_partitions(target, gone)
-    return built
+    return number
 
 
 #: Per adjustment the factor that it takes, and the flag of its bars.

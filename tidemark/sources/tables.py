@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.lineage import ledger, missing_partitions
+from ..operators.lineage import content_hash, ledger, missing_partitions
 from ..operators.merge import keep_last, latest_per_key, new_partitions_only
-from ..operators.normalize import conformed, with_fixed
-from ..operators.quality import QualityError, checked, judge, observed
+from ..operators.normalize import conformed, migrated, with_fixed
+from ..operators.quality import QualityError, checked, judge, observed, observed_by_reading
 from ..plans.specs import SPECS, TableSpec, columns, spec
 
 LEDGER = "dataset_partition_manifest"
@@ -26,6 +26,10 @@ LEDGER = "dataset_partition_manifest"
 ARRIVAL = "_arrival"
 
 
+class MigrationError(RuntimeError):
+    """What a migration wrote is not what it read; nothing was swapped in."""
+
+
 class LedgerError(RuntimeError):
     """Partitions that the ledger lacks and that storage has no rows for."""
 
@@ -96,6 +100,8 @@ class Lake:
     def read_partitions(self, name: str, values: DataFrame) -> DataFrame:
         """Rows of the partitions in ``values`` (``partition_value``); other partitions' files are not opened."""
         column = spec(name).partition
+        if not self.exists(name):
+            return self.read(name)
         some = [r[0] for r in values.select("partition_value").distinct().limit(NAMED_PARTITIONS + 1).collect()]
         rows = self.read(name)
         if len(some) <= NAMED_PARTITIONS:
@@ -267,14 +273,46 @@ class Lake:
     def rebuild(self, name: str, df: DataFrame, signatures: DataFrame | None = None) -> None:
         """Write a whole new table aside, check it, and swap it in; the old one stays until the new one stands."""
         table = spec(name)
-        fresh, old = f"{self.root}/_staging/{uuid.uuid4().hex}", f"{self.root}/_staging/{uuid.uuid4().hex}"
-        rows = self.prepared(name, df).select(*table.schema.names)
-        # a partition is one task's to write, as in _put: tasks times partitions would be as many small files
-        rows = rows.repartition(F.col(table.partition)).sortWithinPartitions(table.partition, *table.keys) if table.partition else rows
-        writer = (rows if table.partition or not table.keys else rows.sortWithinPartitions(*table.keys)).write
-        (writer.partitionBy(table.partition) if table.partition else writer).parquet(fresh)
-        checked(self.spark.read.schema(table.schema).parquet(fresh).select(*table.schema.names), table)
-        held = self.exists(name)
+        df, seen = observed(self.prepared(name, df).select(*table.schema.names), table)
+        fresh = self._fresh(table, df)
+        judge(self.spark.read.schema(table.schema).parquet(fresh).select(*table.schema.names), table, seen)
+        self._swap(fresh, name)
+        if table.partition and self.keeps_ledger:
+            self._enter(name, self.read(name), signatures, whole=True)
+
+    def migrate(self, name: str, source: str, renamed: dict[str, str], values: dict[str, dict[str, str]] | None = None, constants: dict[str, str] | None = None) -> int:
+        """A tree of an earlier naming, below ``source``, as this table; returns its rows.
+
+        Columns are renamed, old values mapped and constants added, the whole is written aside, and what was written is
+        read back: only if it has as many rows as the source, and says what the migrated rows say by their hashes, is it
+        swapped in; otherwise :class:`MigrationError`, and nothing changes. The source is left alone.
+        """
+        table = spec(name)
+        old = self.spark.read.parquet(source)
+        rows = self.prepared(name, migrated(old, renamed, values, constants)).select(*table.schema.names)
+        fresh = self._fresh(table, rows)
+        stored = self.spark.read.schema(table.schema).parquet(fresh).select(*table.schema.names)
+        told = [df.agg(F.count("*").alias("rows"), content_hash(table.schema.names).alias("hash")).first() for df in (rows, stored)]
+        if told[0] != told[1] or told[0]["rows"] != old.count():
+            self._delete(fresh)
+            raise MigrationError(f"{name}: {told[1]['rows']} rows were written of {told[0]['rows']}, or they differ")
+        judge(stored, table, observed_by_reading(stored, table))
+        self._swap(fresh, name)
+        if table.partition and self.keeps_ledger:
+            self._enter(name, self.read(name), whole=True)
+        return told[1]["rows"]
+
+    def _fresh(self, table: TableSpec, rows: DataFrame) -> str:
+        """``rows`` written aside, laid out as the table is: a partition is one task's, or tasks times partitions would be as many small files."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        if table.partition:
+            rows.repartition(F.col(table.partition)).sortWithinPartitions(table.partition, *table.keys).write.partitionBy(table.partition).parquet(path)
+        else:
+            (rows.sortWithinPartitions(*table.keys) if table.keys else rows).write.parquet(path)
+        return path
+
+    def _swap(self, fresh: str, name: str) -> None:
+        old, held = f"{self.root}/_staging/{uuid.uuid4().hex}", self.exists(name)
         if held:
             self._rename(self.path(name), old)
         try:
@@ -285,8 +323,6 @@ class Lake:
             raise
         self._delete(old)
         self.spark.catalog.refreshByPath(self.path(name))
-        if table.partition and self.keeps_ledger:
-            self._enter(name, self.read(name), signatures, whole=True)
 
     # --- ledger and run metadata
 
@@ -313,9 +349,10 @@ class Lake:
         """
         asked = pairs.select("dataset", "partition_value").distinct()
         missing = missing_partitions(asked, self.read(LEDGER))
-        for (name,) in sorted(missing.select("dataset").distinct().collect()):  # a row a declared table
+        lacking = sorted(missing.select("dataset").distinct().collect())  # a row a declared table
+        for (name,) in lacking:
             self.enter_partitions(name, missing.where(F.col("dataset") == name))
-        still = missing_partitions(asked, self.read(LEDGER)).orderBy("dataset", "partition_value").take(5)
+        still = missing_partitions(asked, self.read(LEDGER)).orderBy("dataset", "partition_value").take(5) if lacking else []
         if still:
             raise LedgerError("not in the ledger and without rows: " + ", ".join(f"{r['dataset']}/{r['partition_value']}" for r in still))
         return self.read(LEDGER).join(asked, ["dataset", "partition_value"], "left_semi")
