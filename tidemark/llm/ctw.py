@@ -27,7 +27,7 @@ from .bytewords import LOWER, Words, buffers
 from .storage import written
 from .toxicity import held_out
 
-DEPTH = 4
+DEPTH = 5
 HEAD = 1 << 20
 #: Distinct entries that a task holds before it hands its counts on.
 FLUSH = 1 << 22
