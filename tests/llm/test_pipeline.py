@@ -30,7 +30,7 @@ def test_stages(spark):
 def test_run_is_registered(spark):
     import __spark_entry__ as driver
 
-    assert "pipeline" in driver.queries() and len([n for n in driver.queries() if n.startswith("op")]) == 10
+    assert "pipeline" in driver.queries() and len([n for n in driver.queries() if n.startswith("op")]) == 13
 
 
 def test_edges_of_stages(spark):
