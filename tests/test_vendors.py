@@ -35,7 +35,7 @@ def test_daily_bars(spark):
 def test_valuations_and_capital(spark):
     value = normalize.valuations(extract(spark, "valuation", {"date": "20240105", "pe_ttm": "7.5", "pb": "--"}), "600000").first()
     assert (value["code"], value["date"], value["pe_ttm"], value["pb"]) == ("600000", D(2024, 1, 5), 7.5, None)
-    rows = normalize.capital_structure(extract(spark, "capital", {"change_date": "2024-01-05", "total_shares": "5"}, {"change_date": "2023-01-05", "change_reason": "split"}), "600000", AT).collect()
+    rows = normalize.capital_structure(extract(spark, "capital", {"change_date": "2024-01-05", "total_shares": "5"}, {"change_date": "2023-01-05", "change_reason": "split"}), "600000", AT).orderBy("change_date").collect()
     assert [(r["change_date"].year, r["change_reason"], r["source_symbol"]) for r in rows] == [(2023, "split", "600000.SH"), (2024, "", "600000.SH")]
 
 
