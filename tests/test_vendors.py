@@ -103,3 +103,18 @@ def test_drains_and_late_duplicates(spark, tmp_path):
 def test_unknown_headers(spark):
     with pytest.raises(normalize.SchemaDriftError, match="lacks"):
         normalize.valuations(spark.createDataFrame([("x",)], "y string"), "600000")
+
+
+def test_rules_of_keys_beyond_a_million(spark, tmp_path):
+    """Six digits are not enough for the keys, so ids of one day came twice and counted as repeated."""
+    import duckdb
+
+    from tidemark.plans import bindings
+
+    keys = "unnest([1, 5, 7, 11, 13, 26, 150000, 1000001, 1000005, 1234567, 2000001, 10000015, 12345678])::bigint"
+    con = duckdb.connect()
+    for name, columns in {"customer": f"{keys.replace('10000015, 12345678', '2999999')} as c_custkey, 'n' as c_name", "supplier": f"{keys} as s_suppkey", "orders": f"{keys} as o_orderkey, timestamp '1996-01-02' as o_orderdate, 250000.0::double as o_totalprice", "nation": "unnest(range(5))::bigint as n_nationkey, 'n' as n_name"}.items():
+        con.execute(f"copy (select {columns}) to '{tmp_path}/{name}.parquet' (format parquet)")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet'")
+    got = bindings.queries()["rule_counts"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(bindings.oracle_sql()["rule_counts"]).fetchall())

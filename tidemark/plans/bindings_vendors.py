@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import normalize, quality
@@ -129,17 +129,25 @@ union all select 'cn_stock_valuation', unnest(['filled', 'canonical_id', 'percen
 union all select 'akshare_cn_stock_delist_sh', unnest(['six_digits', 'delist_unique']), unnest([count(*) filter (s_suppkey % 4 = 0) + count(*) filter (s_suppkey % 12 = 0), count(*) filter (s_suppkey % 3 = 0)])::bigint from supplier
 union all select 'akshare_cn_stock_financial_report_sina', unnest(['six_digits', 'item_named', 'unique']), unnest([0, count(*) filter (n_nationkey % 4 = 1), 0])::bigint from nation""")
 def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules of four tables on rows of which some are off."""
+    """The rules of four tables on rows of which some are off.
+
+    Six digits name a million keys, so a key's million is told beside its code: by the exchange for securities (three
+    millions; keys beyond get longer codes, which aren't canonical), by the market for the list, by the day for
+    valuations.
+    """
     key = F.col("c_custkey")
-    code = F.lpad(key.cast("string"), 6, "0")
+    million = F.least(_million(key), F.lit(2))
+    code = F.format_string("%06d", key - million * MILLION)
+    exchange = F.when(million == 0, "SZ").when(million == 1, "SH").otherwise("BJ")
     master = table(spark, sf_dir, "customer").select(
-        F.when(key % 13 == 0, F.lit(None)).when(key % 7 == 0, F.concat(F.lit("SZ:"), code)).otherwise(F.concat(F.lit("SZ."), code)).alias("security_id"), code.alias("code"), F.lit("SZ").alias("exchange"), F.col("c_name").alias("name"),
-        F.when(key % 11 == 0, F.concat(F.lit("sh."), code)).otherwise(F.concat(F.lit("sz."), code)).alias("baostock_code"), code.alias("akshare_code"), F.concat(F.lit("sz"), code).alias("qlib_symbol"),
+        F.when(key % 13 == 0, F.lit(None)).when(key % 7 == 0, F.concat_ws(":", exchange, code)).otherwise(F.concat_ws(".", exchange, code)).alias("security_id"), code.alias("code"), exchange.alias("exchange"), F.col("c_name").alias("name"),
+        F.concat_ws(".", F.when(key % 11 == 0, "off").otherwise(F.lower(exchange)), code).alias("baostock_code"), code.alias("akshare_code"), F.concat(F.lower(exchange), code).alias("qlib_symbol"),
         F.when(key % 5 == 0, "delisted").otherwise("active").alias("listing_status"), F.lit("true").alias("is_active"), F.lit(AT).alias("updated_at"),
     )
     parts = [("cn_security_master", master), ("cn_stock_valuation", _valued(spark, sf_dir))]
     supplier = table(spark, sf_dir, "supplier")
-    lists = supplier.select(F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lit("x"), F.col("s_suppkey").cast("string"))).otherwise(F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("code"), F.lit("sh").alias("exchange"), F.lit("m").alias("market"), F.lit("2024-01-02").alias("snapshot_date"), F.col("s_suppkey").alias("k"))
+    k = F.col("s_suppkey")
+    lists = supplier.select(F.when(k % 4 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.format_string("%06d", k % MILLION)).alias("code"), F.lit("sh").alias("exchange"), F.concat(F.lit("m"), _million(k).cast("string")).alias("market"), F.lit("2024-01-02").alias("snapshot_date"), k.alias("k"))
     parts.append(("akshare_cn_stock_delist_sh", lists.unionByName(lists.where("k % 3 = 0"))))
     items = table(spark, sf_dir, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("code"), F.lit("income").alias("report_type"), F.lit("2024-12-31").alias("report_date"), F.when(F.col("n_nationkey") % 4 == 1, " ").otherwise(F.col("n_name")).alias("item_name"))
     parts.append(("akshare_cn_stock_financial_report_sina", items))
@@ -150,9 +158,20 @@ def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+MILLION = 1_000_000
+
+
+def _million(key: Column) -> Column:
+    """Which million of keys a key is of, from 0."""
+    return F.floor((key - key % MILLION) / MILLION)
+
+
 def _valued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A valuation an order, on its own day; orders beyond the first million, whose codes come again, a later day a million."""
     rank = F.when(F.col("o_totalprice") > 200000, 100.5).otherwise(50.0)
+    million, code = _million(F.col("o_orderkey")), F.format_string("%06d", F.col("o_orderkey") % MILLION)
+    day = F.when(million == 0, F.col("o_orderdate").cast("date")).otherwise(F.date_add(F.lit("2100-01-01").cast("date"), million.cast("int")))
     return table(spark, sf_dir, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.concat(F.lit("SH."), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")).alias("security_id"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0").alias("code"),
+        F.date_format(day, "yyyy-MM-dd").alias("date"), F.concat(F.lit("SH."), code).alias("security_id"), code.alias("code"),
         F.lit("SH").alias("exchange"), rank.alias("pe_ttm_percentile_1y"), F.lit("a").alias("source_dataset"), F.lit(AT).alias("updated_at"),
     )
