@@ -91,3 +91,11 @@ def test_best_rows_leave_once(spark, tmp_path):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     # at most one improvement a key and batch, and none that is not better
     assert written.count() <= 8 * 3 and written.groupBy("code", "batch").count().where("count > 1").count() == 0
+
+
+def test_best_rows_need_no_call_a_key(spark):
+    """The best row is found by Spark's own aggregation, not by a Python processor that asks the store for each key."""
+    df = spark.createDataFrame([("c", 1.0, 1), ("c", 2.0, 2)], "code string, price double, seq long")
+    best = stateful.kept_best(df, ["code"], [-F.col("seq")])
+    assert "TransformWithState" not in best._jdf.queryExecution().logical().toString()
+    assert [tuple(r) for r in best.collect()] == [("c", 2.0, 2, -2)]

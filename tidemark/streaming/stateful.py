@@ -1,4 +1,4 @@
-"""Queues and best rows kept in the state of a stream, by ``transformWithState``: no table is read back in a batch.
+"""Queues (by ``transformWithState``) and best rows (by aggregation) kept in the state of a stream: no table is read back in a batch.
 
 Each operator gives a stream of changes in update mode, a row for what a batch changed. :func:`changes_to` writes them a
 batch a folder, so a batch that runs twice leaves its rows once, and :func:`current` reads the latest of each key.
@@ -176,41 +176,21 @@ def disclosures(events: DataFrame, delay: str = "0 seconds", days: int = RETENTI
     return changed.select("code", "report_period", as_date("ends").alias("period_end_date"), as_date("triggered").alias("trigger_date"), "trigger_priority", "status", "version")
 
 
-class _KeepBest(StatefulProcessor):
-    """The order of the best row so far; the row itself left the stream when it came."""
-
-    def __init__(self, columns: list[str], order: list[str], schema: str):
-        self.columns, self.order, self.schema = columns, order, schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = tuple(self.best.get()) if self.best.exists() else None
-        better = None
-        for row in rows:
-            mine = tuple(row[c] for c in self.order)
-            if held is None or mine < held:
-                held, better = mine, row
-        if better is not None:
-            self.best.update(held)
-            yield Row(**{c: better[c] for c in self.columns})
-
-    def close(self) -> None:
-        pass
-
-
 def kept_best(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Improvements of the best row a key: rows of the stream that come before all earlier ones of their key by ``order``.
 
     ``order`` are numbers, least first, of which none is null (a source rank, then the negative of a time to let later
     rows correct earlier ones); a row that is no better than the one held leaves nothing. They stay as ``_order_0``, ...,
-    by which :func:`current` finds the best of what was written.
+    by which :func:`current` finds the best of what was written. The state is that of a streaming aggregation: the best
+    row with the time of its batch, by which the output tells an improvement from a row held already.
     """
     names = [f"_order_{i}" for i in range(len(order))]
     rows = rows.withColumns({n: c.cast("long") for n, c in zip(names, order, strict=True)})
-    processor = _KeepBest(rows.columns, names, ", ".join(f"{n} long" for n in names))
-    return rows.groupBy(*keys).transformWithState(processor, rows.schema, "Update", "None")
+    # the same throughout a batch, and when a batch runs again
+    batch = F.current_timestamp()
+    first = F.min_by(F.struct(*rows.columns, F.col("_batch")), F.struct(*names, "_batch"))
+    best = rows.withColumn("_batch", batch).groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(first.alias("_best"))
+    return best.where(F.col("_best._batch") == batch).select(*[F.col("_best")[c].alias(c) for c in rows.columns])
 
 
 def changes_to(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
