@@ -99,3 +99,48 @@ def test_best_rows_need_no_call_a_key(spark):
     best = stateful.kept_best(df, ["code"], [-F.col("seq")])
     assert "TransformWithState" not in best._jdf.queryExecution().logical().toString()
     assert [tuple(r) for r in best.collect()] == [("c", 2.0, 2, -2)]
+
+
+def test_disclosures_call_the_store_once_a_group():
+    """However many codes and announcements come, a batch reads and writes a group's state once and sets one timer."""
+
+    class Store:
+        def __init__(self):
+            self.calls, self.value, self.timers = 0, None, set()
+
+        def getValueState(self, *_):
+            return self
+
+        def getMapState(self, *_):
+            raise AssertionError("an access for each entry")
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls, self.value = self.calls + 1, value
+
+        def registerTimer(self, at):
+            self.calls += 1
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.calls += 1
+            self.timers.discard(at)
+
+    class Now:
+        def __init__(self, day):
+            self.day = day
+
+        def getCurrentWatermarkInMs(self):
+            return self.day * 86_400_000
+
+    store, told = Store(), stateful._Disclosures(30)
+    told.init(store)
+    rows = [dict(code=f"c{n % 50}", kind="announced", period="2023", triggered=100 + n // 50, priority=1, ends=90) for n in range(1000)]
+    assert list(told.handleInputRows((0,), iter(rows), Now(10))) == [] and store.calls == 3 and store.timers == {100 * 86_400_000}
+    due = list(told.handleExpiredTimer((0,), Now(101), None))
+    assert store.calls == 6 and sorted((r["code"], r["triggered"], r["status"], r["version"]) for r in due) == sorted((f"c{n}", 101, "pending", 1) for n in range(50))
+    over = list(told.handleExpiredTimer((0,), Now(200), None))
+    assert {(r["triggered"], r["status"], r["version"]) for r in over} == {(119, "expired", 2)} and len(over) == 50

@@ -7,6 +7,7 @@ Times are kept in the state as UTC numbers (microseconds, days), whatever the se
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -18,6 +19,8 @@ from ..operators.disclosure import RETENTION_DAYS
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _DAY_MS = 86_400_000
+#: Groups of codes that share a state value: some hundreds of codes each for millions of them.
+GROUPS = 1 << 14
 ENQUEUE, SUCCESS, FAILURE = "enqueue", "success", "failure"
 
 
@@ -39,15 +42,14 @@ def from_micros(micros: str) -> Column:
 
 
 class _RefreshQueue(StatefulProcessor):
-    """The open row of a code, and how many it has had."""
+    """The open row of a code, and how many it has had; one value a code, so a batch reads and writes each once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "dataset string, reason string, triggered long, status string, attempted long, error string")
-        self.counts = handle.getValueState("counts", "nth long, version long")
+        self.held = handle.getValueState("held", "nth long, version long, open boolean, dataset string, reason string, triggered long, status string, attempted long, error string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        nth, version = self.counts.get() if self.counts.exists() else (0, 0)
-        row = tuple(self.open.get()) if self.open.exists() else None
+        nth, version, is_open, *last = self.held.get() or (0, 0, False)
+        row = tuple(last) if is_open else None
         shown: dict[int, tuple] = {}
         for e in sorted(rows, key=lambda e: (e["at"], e["seq"])):
             if e["kind"] == ENQUEUE:
@@ -65,11 +67,7 @@ class _RefreshQueue(StatefulProcessor):
         if not shown:
             return
         version += 1
-        self.counts.update((nth, version))
-        if row is None:
-            self.open.clear()
-        else:
-            self.open.update(row)
+        self.held.update((nth, version, row is not None, *(row or (None,) * 6)))
         for n, (dataset, reason, triggered, status, attempted, error) in shown.items():
             yield Row(code=key[0], nth=n, version=version, trigger_dataset=dataset, trigger_reason=reason, triggered=triggered, status=status, attempted=attempted, error_stack=error)
 
@@ -96,71 +94,99 @@ def refresh_queue(events: DataFrame) -> DataFrame:
 
 
 class _Disclosures(StatefulProcessor):
-    """What a code has announced and what is there, with a timer for each day on which that changes what is due."""
+    """What each code of a group has announced and what is there, with one timer for the next day on which that changes what is due.
+
+    A group's codes are one value, so a batch reads and writes it once whatever the number of codes and announcements;
+    only codes that have news or whose day has come are looked at. Announcements that are over stay so, as the watermark
+    only advances: of a period's the first in order is kept, the others are forgotten.
+    """
 
     def __init__(self, days: int):
         self.days = days
-        self.told: tuple[int, set] = (-1, set())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.announced = handle.getMapState("announced", "period string, triggered int, priority int, ends int", "known boolean")
-        self.covered = handle.getMapState("covered", "ends int", "known boolean")
-        self.shown = handle.getMapState("shown", "period string", "ends int, triggered int, priority int, status string, version long")
+        # JSON: the day of the timer, and by code: waiting [period, triggered, priority, ends], over {period: [priority,
+        # triggered, ends]}, covered [ends], shown {period: [ends, triggered, priority, status, version]}, next day
+        self.held = handle.getValueState("held", "told string")
+
+    def _load(self) -> tuple[int | None, dict[str, list]]:
+        got = self.held.get()
+        return (None, {}) if got is None else tuple(json.loads(got[0]))
 
-    def _changes(self, code: str, day: int) -> Iterator[Row]:
+    def _changes(self, code: str, day: int, own: list) -> Iterator[Row]:
+        """Changes of a code as of ``day``; ``own`` is brought up to that."""
+        waiting, over, covered, shown, _ = own
         best: dict[str, tuple] = {}
-        over: dict[str, tuple] = {}
-        announced = [tuple(k) for k in self.announced.keys()]
-        for period, triggered, priority, ends in announced:
-            if triggered > day:
-                continue
-            kept = best if triggered >= day - self.days else over
-            kept[period] = max(kept.get(period, (-1,)), (priority, triggered, ends))
+        left = []
+        for period, triggered, priority, ends in waiting:
+            gone = triggered < day - self.days
+            if not gone:
+                left.append((period, triggered, priority, ends))
+            if triggered <= day:
+                kept = over if gone else best
+                mine = (priority, triggered, ends)
+                kept[period] = max(tuple(kept.get(period, mine)), mine)
         for period in over.keys() | best.keys():
             priority, triggered, ends = best.get(period) or over[period]
-            status = "covered" if self.covered.containsKey((ends,)) else "pending" if period in best else "expired"
-            held = self.shown.getValue((period,)) if self.shown.containsKey((period,)) else None
+            status = "covered" if ends in covered else "pending" if period in best else "expired"
+            held = shown.get(period)
             # what was over before it was ever due is no news
             if tuple(held or ())[:4] == (ends, triggered, priority, status) or (held is None and status == "expired"):
                 continue
             version = (held[4] if held else 0) + 1
-            self.shown.updateValue((period,), (ends, triggered, priority, status, version))
+            shown[period] = (ends, triggered, priority, status, version)
             yield Row(code=code, report_period=period, ends=ends, triggered=triggered, trigger_priority=priority, status=status, version=version)
+        # due from its day on, over after the days that it is kept
+        ahead = min((w[1] if w[1] > day else w[1] + self.days + 1 for w in left), default=None)
+        own[0], own[4] = left, ahead
+
+    def _settle(self, now: int, timer: int | None, codes: dict[str, list], news: dict[str, tuple[set, set]]) -> Iterator[Row]:
+        day = now // _DAY_MS
+        for code, (announced, facts) in news.items():
+            own = codes.setdefault(code, [[], {}, [], {}, None])
+            own[0] = list(announced.union(map(tuple, own[0])))
+            own[2] = list(facts.union(own[2]))
+        for code, own in codes.items():
+            if code in news or (own[4] is not None and own[4] <= day):
+                yield from self._changes(code, day, own)
+        ahead = min((own[4] for own in codes.values() if own[4] is not None), default=None)
+        if ahead != timer:
+            if timer is not None and timer > day:
+                self.handle.deleteTimer(timer * _DAY_MS)
+            if ahead is not None:
+                self.handle.registerTimer(ahead * _DAY_MS)
+        self.held.update((json.dumps((ahead, codes), separators=(",", ":")),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs()
+        news: dict[str, tuple[set, set]] = {}
         for r in rows:
+            announced, facts = news.setdefault(r["code"], (set(), set()))
             if r["kind"] == "fact":
-                self.covered.updateValue((r["ends"],), (True,))
-                continue
-            self.announced.updateValue((r["period"], r["triggered"], r["priority"], r["ends"]), (True,))
-            # due from its day on, over after the days that it is kept
-            for day in (r["triggered"], r["triggered"] + self.days + 1):
-                if day * _DAY_MS > now:
-                    self.handle.registerTimer(day * _DAY_MS)
-        yield from self._changes(key[0], now // _DAY_MS)
+                facts.add(r["ends"])
+            else:
+                announced.add((r["period"], r["triggered"], r["priority"], r["ends"]))
+        yield from self._settle(timerValues.getCurrentWatermarkInMs(), *self._load(), news)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs()
-        if self.told[0] != now:
-            self.told = (now, set())
-        if key not in self.told[1]:  # all of a code's timers up to the watermark say the same
-            self.told[1].add(key)
-            yield from self._changes(key[0], now // _DAY_MS)
+        timer, codes = self._load()
+        if timer is not None and timer * _DAY_MS <= timerValues.getCurrentWatermarkInMs():  # else the batch's own rows have brought it up to date
+            yield from self._settle(timerValues.getCurrentWatermarkInMs(), timer, codes, {})
 
     def close(self) -> None:
         pass
 
 
-def disclosures(events: DataFrame, delay: str = "0 seconds", days: int = RETENTION_DAYS) -> DataFrame:
+def disclosures(events: DataFrame, delay: str = "0 seconds", days: int = RETENTION_DAYS, groups: int = GROUPS) -> DataFrame:
     """Changes of what waits to be fetched, from a stream of announcements and of what has shown up.
 
     ``events``: ``kind`` (``announced`` or ``fact``), ``code``, ``at`` (a time), and ``period_end_date``; announcements
     also have ``report_period``, ``trigger_date`` and ``trigger_priority``. The effective day is that of the watermark,
     ``delay`` behind the latest ``at``. An announcement is due from its trigger date on for ``days`` days; of those of a
     period that are due the highest priority, then the latest date counts; a fact covers every period that ends with it.
-    Days pass by timers, so a row falls due or expires without further events of its code. Gives ``code``,
+    Days pass by timers, so a row falls due or expires without further events of its code. The state is held by ``groups``
+    groups of codes (by hash, fixed for the life of a checkpoint): each access to it is a call from Python to the store,
+    so a state a code would cost some of them for each code and batch. Gives ``code``,
     ``report_period``, ``period_end_date``, ``trigger_date``, ``trigger_priority``, ``status`` (``pending``, ``covered``,
     ``expired``), ``version``. Rows without a code, or announcements without a date, period or end, are ignored.
     """
@@ -171,7 +197,7 @@ def disclosures(events: DataFrame, delay: str = "0 seconds", days: int = RETENTI
         F.coalesce(day("trigger_date"), F.lit(0)).alias("triggered"), F.coalesce(F.col("trigger_priority").cast("int"), F.lit(0)).alias("priority"), day("period_end_date").alias("ends"),
     )
     out = "code string, report_period string, ends int, triggered int, trigger_priority int, status string, version long"
-    changed = rows.withWatermark("at", delay).groupBy("code").transformWithState(_Disclosures(days), T.StructType.fromDDL(out), "Update", "EventTime")
+    changed = rows.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(groups))).withWatermark("at", delay).groupBy("part").transformWithState(_Disclosures(days), T.StructType.fromDDL(out), "Update", "EventTime")
     as_date = lambda c: F.date_add(F.lit("1970-01-01").cast("date"), F.col(c))
     return changed.select("code", "report_period", as_date("ends").alias("period_end_date"), as_date("triggered").alias("trigger_date"), "trigger_priority", "status", "version")
 
