@@ -332,3 +332,17 @@ def test_cut_chains_are_exact(spark):
         x, row = pii.shapes(words), words.row_of()
         starts = [i for i in range(len(row)) if i == 0 or row[i] != row[i - 1]]
         assert (field.decode(x, pa.array(starts).to_numpy()) == field.decode(x, pa.array(starts).to_numpy(), cut=False)).all()
+
+
+def test_tree_levels_leave_the_disk(spark):
+    """Levels of the context tree are read only until the code lengths are written; they filled the disk when they stayed."""
+    import glob
+
+    from tidemark.llm.storage import shared_dir
+
+    root = shared_dir(spark).removeprefix("file://")
+    level = f"{root}/ctw-[0-{ctw.DEPTH}]-*"
+    before = set(glob.glob(level))
+    docs = spark.createDataFrame([(n, "some words of a text " * (1 + n % 3)) for n in range(20)], "doc_id long, text string")
+    assert ctw.model_scores(docs).where("score < 0").count() == 20
+    assert set(glob.glob(level)) == before and glob.glob(f"{root}/ctw-lengths-*")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import LOWER, Words, buffers
-from .storage import written
+from .storage import dropped, written
 from .toxicity import held_out
 
 DEPTH = 5
@@ -135,7 +135,7 @@ def _block(n0: Column, n1: Column) -> Column:
 
 
 def code_lengths(grams: DataFrame) -> DataFrame:
-    """``key``, ``n``, ``value``: log10 probability of the byte after its context, from ``key``, ``n``."""
+    """``key``, ``n``, ``value``: log10 probability of the byte after its context, from ``key``, ``n``; a written table."""
     bit = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j")
     byte = F.col("key").bitwiseAND(255)
     prefix = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j")).bitwiseOR(F.call_function("shiftright", byte, 8 - F.col("j")))
@@ -153,6 +153,7 @@ def code_lengths(grams: DataFrame) -> DataFrame:
         whole = math.log(0.5) + top + F.log(F.exp(F.col("block") - top) + F.exp(F.col("below") - top))
         level = written(up.withColumn("whole", whole).select("node", "n0", "n1", "block", "whole"), f"ctw-{depth}")
         levels.append(level)
+    held = list(levels)
     said = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
     stop = F.exp(math.log(0.5) + F.col("block") - F.col("whole"))
     path = levels.pop().select("node", (stop * said).alias("mixed"), (1 - stop).alias("left"))
@@ -163,7 +164,10 @@ def code_lengths(grams: DataFrame) -> DataFrame:
         path = own.select("node", (F.col("mixed") + F.col("left") * share * said).alias("mixed"), (F.col("left") * (1 - share)).alias("left"))
     bits = bits.join(path, "node")
     chance = F.when(F.col("one") == 1, F.col("mixed")).otherwise(1 - F.col("mixed"))
-    return bits.groupBy("key").agg(F.first("n").alias("n"), F.sum(F.log10(chance)).alias("value"))
+    lengths = written(bits.groupBy("key").agg(F.first("n").alias("n"), F.sum(F.log10(chance)).alias("value")), "ctw-lengths")
+    for level in held:
+        dropped(level)
+    return lengths
 
 
 class Lookup:
@@ -257,7 +261,7 @@ def model_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     tokens, ends = totals.get(0, 0), totals.get(1, 0)
     words = counts.where("kind = 1").select("key", "n", F.log10(F.col("n") + 0.5).alias("value"))
     distinct = words.count() + (1 if ends else 0)
-    grams = written(code_lengths(counts.where("kind = 0").select("key", "n")), "ctw-lengths")
+    grams = code_lengths(counts.where("kind = 0").select("key", "n"))
     gram_keys, gram_values, more_grams = _head(grams)
     word_keys, word_values, _ = _head(words)
     shared = spark.sparkContext.broadcast(((gram_keys, gram_values), (word_keys, word_values)))
