@@ -46,6 +46,20 @@ def test_components(spark):
     assert graph.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_take_few_jobs(spark):
+    """A component of any size that is a star or a short chain of stars is settled in two rounds of a write and a look."""
+    rng = random.Random(2)
+    edges = [(rng.randrange(40), 1000 + i) for i in range(400)] + [(7, i) for i in range(5000, 5600)] + [(9000 + i, 9001 + i) for i in range(60)]
+    rng.shuffle(edges)
+    spark.sparkContext.setJobGroup("components", "components")
+    got = graph.connected_components(spark.createDataFrame(edges, "u long, v long").repartition(7))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("components")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(stages) <= 60, stages
+    assert {r["node"]: r["component"] for r in got.collect()} == components({x for e in edges for x in e}, edges)
+
+
 def near_corpus():
     rng = random.Random(7)
     texts = {}

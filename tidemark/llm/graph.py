@@ -1,46 +1,79 @@
-"""Connected components as joins and groupings, with lineage cut each round."""
+"""Connected components by contraction inside tasks, joins and exchanges, with lineage cut each round."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cells import Forest, grouped_batches
 from .storage import dropped, written
 
+#: Edges that a task contracts at a time.
+EDGES = 1 << 18
+_EDGE = "u long, v long, moved boolean"
+
+
+def _stars(u: np.ndarray, v: np.ndarray, moved: bool) -> pa.RecordBatch:
+    """Each node of the edges linked with the smallest one that these edges reach; ``moved`` also where a node gets an edge that had none as ``u``."""
+    nodes, at = np.unique(np.r_[u, v], return_inverse=True)
+    forest = Forest(len(nodes))
+    forest.link(at[: len(u)], at[len(u) :])
+    edges = forest.edges()
+    moved = moved or len(edges) > len(np.unique(u))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[edges]), pa.array(nodes[forest.label[edges]]), pa.array(np.full(len(edges), moved))], ["u", "v", "moved"])
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= EDGES:
+            yield _stars_of(pa.Table.from_batches(held))
+            held, n = [], 0
+    if n:
+        yield _stars_of(pa.Table.from_batches(held))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As :func:`_contracted`, for edges sorted by ``u``: all of a node's edges meet."""
+    for table, _ in grouped_batches(batches, ["u"], EDGES):
+        yield _stars_of(table)
+
+
+def _stars_of(table: pa.Table) -> pa.RecordBatch:
+    return _stars(table["u"].to_numpy(), table["v"].to_numpy(), bool(np.any(table["moved"].to_numpy())))
+
+
+def _small_stars(edges: DataFrame) -> DataFrame:
+    """A node's smaller neighbours linked with the least of them. Before the exchange a task leaves a row a node, so no node has more rows than there are tasks."""
+    return edges.mapInArrow(_contracted, _EDGE).repartition("u").sortWithinPartitions("u").mapInArrow(_met, _EDGE)
+
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``node``, ``component`` (smallest node reachable) for each node in ``edges`` (``u``, ``v``, both long).
 
     Alternates large stars and small stars: a node links its larger neighbours, then its smaller ones, to the least
-    it knows. Each round is two groupings (partial minima first) and two joins; only the edges of the round are kept,
-    as a table in the shared folder. Minima are written before they are joined with, so the join reads edges through an
-    exchange of its own: a hub that holds most rows is a skewed key there, which adaptive execution splits. Rounds grow
-    as the logarithm of a component's diameter squared. Edges with a null end and loops are ignored; no edges give an empty table.
+    it knows. A large star is a join with the least neighbours, a small star one exchange between two contractions
+    inside tasks; only the edges of the round are kept, as a table in the shared folder. A hub that holds most rows is a
+    skewed key of the join, which adaptive execution splits. Rounds grow as the logarithm of a component's diameter
+    squared; the last is one that moves nothing. Edges with a null end and loops are ignored; no edges give an empty table.
     """
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), F.lit(False).alias("moved"))
     edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
-    now = written(edges.distinct(), label)
-    seen = _state(now)
-    while seen[0]:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{label}-least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # a node's rows are now the distinct minima of its smaller neighbours: few, but in a first round that starts from
-        # a large node with many of them
-        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
-        small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        after = written(small.select("e.u", "e.v").where("u != v").distinct(), label)
-        state = _state(after)
-        dropped(least)
+    now = written(_small_stars(edges), label)
+    while True:
+        least = now.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        large = now.select("u", "v").join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("moved"))
+        after = written(_small_stars(large), label)
         dropped(now)
         now = after
-        if state == seen:
+        if not now.agg(F.max("moved")).first()[0]:
             break
-        seen = state
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-
-
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-    return tuple(row)

@@ -131,7 +131,7 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = with_cells(postings.join(lists, "key"), F.col("n"), BLOCK, F.col("node")).join(sets.select("node", "signature"), "node")
     shared = shared.select("key", "cell", "node", "signature").repartition("key", "cell").sortWithinPartitions("key", "cell")
-    return shared.mapInArrow(_collisions, "u long, v long").distinct()
+    return shared.mapInArrow(_collisions, "u long, v long")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
