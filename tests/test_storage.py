@@ -155,3 +155,32 @@ def test_migration_is_verified(spark, tmp_path):
     with pytest.raises(MigrationError, match="1 rows were written of 2"):
         lake.migrate(name, f"file://{tmp_path}/old", renamed)
     assert lake.read(name).count() == 2
+
+
+def test_partitions_that_share_files(spark, tmp_path):
+    """With ``groups`` many partitions take few files, and each is still replaced, read, deleted and entered by itself."""
+    from tidemark.plans.specs import SPECS, TableSpec, columns, register
+
+    if "shared_bars" not in SPECS:
+        register(TableSpec("shared_bars", columns("string: code; date: date; double: close"), ("code", "date"), "code", rules=("unique",), date_column="date"))
+    lake = Lake(spark, f"file://{tmp_path}/lake", groups=4)
+    rows = spark.range(300).selectExpr("concat('c', id % 100) as code", "date_add(date '2024-01-01', cast(id div 100 as int)) as date", "cast(id as double) as close")
+    lake.write("shared_bars", rows)
+    assert len(list((tmp_path / "lake" / "shared_bars").rglob("*.parquet"))) <= 4
+    assert lake.partition_names("shared_bars").count() == 100
+    lake.write("shared_bars", rows.where("code = 'c7'").withColumn("close", F.lit(-1.0)).limit(1))
+    lake.write("shared_bars", rows.where("code = 'c8'").limit(1).withColumn("close", F.lit(-2.0)), "upsert")
+    got = {(r["code"], str(r["date"])): r["close"] for r in lake.read("shared_bars").collect()}
+    assert len(got) == 298 and [v for (c, _), v in got.items() if c == "c7"] == [-1.0]
+    assert sorted(v for (c, _), v in got.items() if c == "c8")[0] == -2.0 and sum(c == "c8" for c, _ in got) == 3
+    lake.delete_partitions("shared_bars", ["c9"])
+    assert lake.read("shared_bars").count() == 295
+    assert lake.read_partitions("shared_bars", spark.createDataFrame([("c1",), ("c9",)], "partition_value string")).count() == 3
+    held = lake.read("dataset_partition_manifest").where("dataset = 'shared_bars'")
+    assert held.count() == 99 and held.where("partition_value = 'c7'").first()["row_count"] == 1
+    told = lake.inventory(["shared_bars"]).first()
+    assert (told["partitions"], told["row_count"]) == (99, 295) and told["files"] <= 4
+    lake.delete_partitions("shared_bars", [f"c{i}" for i in range(100) if i != 9])
+    assert lake.read("shared_bars").count() == 0
+    lake.write("shared_bars", rows.where("code = 'c7'"))
+    assert lake.read("shared_bars").count() == 3

@@ -216,7 +216,7 @@ select security_id, date, case when last = 1 then close + 1 else close end as cl
 union all select 'built', null, count(distinct case when last = 1 then code end), 'again' from ids""")
 def derived_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical bars of two vendors, built, then built again for what the ledger says has changed."""
-    lake = Lake(spark, f"{_scratch(spark)}/lake")
+    lake = Lake(spark, f"{_scratch(spark)}/lake", groups=64)  # a folder a security would be as many files as securities
     rows = bars(spark, sf_dir).withColumns({"last": F.substring("code", -1, 1).cast("int"), "amount": F.lit(1.0), "quality_status": F.lit(merge.CONFIRMED)})
     rows = rows.where(F.substring("code", 1, 1).isin("0", "2", "3"))
     dotted = F.concat(F.lit("sz."), F.col("code"))

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from contextlib import ExitStack, contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,9 @@ class LedgerError(RuntimeError):
     """Partitions that the ledger lacks and that storage has no rows for."""
 
 
+#: Folder column of tables whose partitions share files (``groups`` of :class:`Lake`).
+GROUP = "partition_group"
+
 #: Partition values that are named one by one in a read (so that folders are chosen before anything is opened); more are joined.
 NAMED_PARTITIONS = 10_000
 
@@ -43,10 +46,14 @@ class Lake:
 
     Writes of partitioned tables enter what they wrote into the ledger of partitions, so that a build can tell from the
     ledger alone what changed; ``keeps_ledger`` turns that off for tables that nothing is built from.
+
+    A partition is a folder of its own, or, with ``groups``, one of many in a folder: that many folders hold all
+    partitions of a table, by a hash of their value. Writes then replace whole folders and carry the other partitions of
+    these over. It suits tables of many small partitions; the number has to stay the same for a root.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keeps_ledger: bool = True):
-        self.spark, self.root, self.keeps_ledger = spark, root.rstrip("/"), keeps_ledger
+    def __init__(self, spark: SparkSession, root: str, keeps_ledger: bool = True, groups: int | None = None):
+        self.spark, self.root, self.keeps_ledger, self.groups = spark, root.rstrip("/"), keeps_ledger, groups
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -80,6 +87,18 @@ class Lake:
         rows = self.spark.read.schema(table.schema).parquet(self.path(name)).select(*table.schema.names)
         return rows if partition is None else rows.where(F.col(table.partition) == F.lit(partition).cast(table.schema[table.partition].dataType))
 
+    def _group(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(self.groups)).cast("int")
+
+    def _in_groups_of(self, name: str, values: DataFrame) -> DataFrame:
+        """Stored rows of the folders that hold the partitions in ``values`` (the partition column); others are not opened."""
+        table = spec(name)
+        touched = [r[0] for r in values.select(self._group(table.partition)).distinct().collect()]  # as many as folders at most
+        rows = self.spark.read.schema(table.schema).parquet(self.path(name))
+        if GROUP not in rows.columns:  # no folder is left
+            return rows
+        return rows.where(F.col(GROUP).isin(touched) if touched else F.lit(False)).select(*table.schema.names)
+
     def latest(self, name: str) -> DataFrame:
         """The partition with the greatest value; its value is found without reading rows of others."""
         rows, column = self.read(name), spec(name).partition
@@ -90,9 +109,11 @@ class Lake:
         return self.read(name).select(F.col(column).cast("string").alias("partition_value")).distinct().orderBy("partition_value")
 
     def partition_names(self, name: str) -> DataFrame:
-        """``partition_value`` of each partition in storage, from the names of its files; no file is opened."""
+        """``partition_value`` of each partition in storage, from the names of its files; no file is opened (with ``groups`` that one column is read)."""
         if not self.exists(name):
             return self.spark.createDataFrame([], "partition_value string")
+        if self.groups:
+            return self.read(name).select(F.col(spec(name).partition).cast("string").alias("partition_value")).where("partition_value <> ''").distinct()
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.path(name))
         escaped = F.regexp_extract("path", f"/{spec(name).partition}=([^/]+)/", 1)
         return files.select(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("partition_value")).where("partition_value <> ''").distinct()
@@ -102,6 +123,9 @@ class Lake:
         column = spec(name).partition
         if not self.exists(name):
             return self.read(name)
+        if self.groups:
+            wanted = values.select(F.col("partition_value").cast(spec(name).schema[column].dataType).alias(column)).distinct()
+            return self._in_groups_of(name, wanted).join(wanted, column, "left_semi").select(*spec(name).schema.names)
         some = [r[0] for r in values.select("partition_value").distinct().limit(NAMED_PARTITIONS + 1).collect()]
         rows = self.read(name)
         if len(some) <= NAMED_PARTITIONS:
@@ -133,13 +157,25 @@ class Lake:
             told = self._pushed(name)
             counted = told.select(F.expr(value).alias("partition_value"), "row_count", *[F.col(c) if table.date_column else F.lit(None).cast("date").alias(c) for c in ("min_date", "max_date")])
             # a row a partition, as many as files that the driver has listed anyway
-            rows = counted.collect()
+            rows = [] if table.partition and self.groups else counted.collect()
+        if table.partition and self.groups:
+            return self._shared_statistics(name, counted)
         counted = self.spark.createDataFrame(rows, "partition_value string, row_count long, min_date date, max_date date")
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.path(name))
         escaped = F.regexp_extract("path", f"/{table.partition}=([^/]+)/", 1) if table.partition else F.lit(None).cast("string")
         listed = files.groupBy(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))).alias("of")).agg(F.count("*").alias("files"), F.sum("length").alias("file_size_bytes"), F.max("modificationTime").alias("file_mtime"))
         return counted.join(listed, F.col("of").eqNullSafe(F.col("partition_value")), "left").drop("of")
 
+    def _shared_statistics(self, name: str, counted: DataFrame) -> DataFrame:
+        """Where partitions share files, a file counts for the least of its partitions, so that sums are right."""
+        table = spec(name)
+        rows = self.spark.read.schema(table.schema).parquet(self.path(name))
+        told = rows.select(F.col(table.partition).cast("string").alias("of"), "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        files = told.groupBy("file_path").agg(F.min("of").alias("of"), F.max("file_size").alias("length"), F.max("file_modification_time").alias("at"))
+        listed = files.groupBy("of").agg(F.count("*").alias("files"), F.sum("length").alias("file_size_bytes"), F.max("at").alias("file_mtime"))
+        out = counted.join(listed, F.col("of").eqNullSafe(F.col("partition_value")), "left").drop("of")
+        return out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("files", "file_size_bytes")})
+
     def _pushed(self, name: str) -> DataFrame:
         """Counts and date bounds by partition in the form that the Parquet reader answers from footers."""
         table = spec(name)
@@ -214,12 +250,24 @@ class Lake:
 
     def _put(self, table: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that ``df`` has rows of, or the whole table if it has no partition column."""
-        if table.partition:
+        if table.partition and self.groups:
+            with ExitStack() as stack:
+                if self.exists(table.name):
+                    fresh = df.select(table.partition).distinct()
+                    others = self._in_groups_of(table.name, fresh).join(fresh, table.partition, "left_anti").select(*df.columns)
+                    df = df.unionByName(stack.enter_context(self.held(others)))
+                self._grouped(table, df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table.name))
+        elif table.partition:
             rows = df.repartition(F.col(table.partition)).sortWithinPartitions(table.partition, *table.keys)
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(table.partition).parquet(self.path(table.name))
         else:
             df.sortWithinPartitions(*table.keys).write.mode("overwrite").parquet(self.path(table.name)) if table.keys else df.write.mode("overwrite").parquet(self.path(table.name))
 
+    def _grouped(self, table: TableSpec, df: DataFrame) -> DataFrameWriter:
+        """A folder is one task's, sorted by partition, so that a reader skips most of a file for a few of them."""
+        rows = df.withColumn(GROUP, self._group(table.partition)).repartition(F.col(GROUP)).sortWithinPartitions(GROUP, table.partition, *table.keys)
+        return rows.write.partitionBy(GROUP)
+
     def write(self, name: str, df: DataFrame, mode: str | None = None, skip_existing: bool = False, signatures: DataFrame | None = None) -> None:
         """``replace``, ``merge``, ``upsert`` or ``append``; the table's own mode if none is named.
 
@@ -232,7 +280,8 @@ class Lake:
         df = self.prepared(name, df)
         if mode == "append":
             df = df.select(*table.schema.names)
-            checked(df, table).write.mode("append").parquet(self.path(name))
+            rows = checked(df, table)
+            (self._grouped(table, rows) if table.partition and self.groups else rows.write).mode("append").parquet(self.path(name))
             if table.partition and self.keeps_ledger:
                 self.enter_partitions(name, df.select(F.col(table.partition).cast("string").alias("partition_value")))
             return
@@ -263,8 +312,17 @@ class Lake:
     def delete_partitions(self, name: str, values: list[str]) -> None:
         """Partitions and their rows of the ledger."""
         column = spec(name).partition
-        for v in values:
-            self._delete(f"{self.path(name)}/{column}={v}")
+        if self.groups and values and self.exists(name):
+            gone = self.spark.createDataFrame([(v,) for v in values], "value string").select(F.col("value").cast(spec(name).schema[column].dataType).alias(column))
+            with self.held(self._in_groups_of(name, gone).join(gone, column, "left_anti").select(*spec(name).schema.names)) as others:
+                left = {r[0] for r in others.select(self._group(column)).distinct().collect()}
+                self._grouped(spec(name), others).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+                for (g,) in gone.select(self._group(column)).distinct().collect():
+                    if g not in left:
+                        self._delete(f"{self.path(name)}/{GROUP}={g}")
+        elif not self.groups:
+            for v in values:
+                self._delete(f"{self.path(name)}/{column}={v}")
         if values and self.keeps_ledger:
             held = self.read(LEDGER)
             self.write(LEDGER, held.where(~((F.col("dataset") == name) & F.col("partition_value").isin(values))), "replace")
@@ -305,7 +363,9 @@ class Lake:
     def _fresh(self, table: TableSpec, rows: DataFrame) -> str:
         """``rows`` written aside, laid out as the table is: a partition is one task's, or tasks times partitions would be as many small files."""
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        if table.partition:
+        if table.partition and self.groups:
+            self._grouped(table, rows).parquet(path)
+        elif table.partition:
             rows.repartition(F.col(table.partition)).sortWithinPartitions(table.partition, *table.keys).write.partitionBy(table.partition).parquet(path)
         else:
             (rows.sortWithinPartitions(*table.keys) if table.keys else rows).write.parquet(path)
