@@ -1,7 +1,11 @@
 """The pipeline's stages on a small corpus: each decision takes effect and clean documents stay."""
 
+import tracemalloc
+
 import corpus_pipeline
-from tidemark.llm import toxicity
+import numpy as np
+import pyarrow as pa
+from tidemark.llm import graph, minhash_dedup, toxicity
 from tidemark.llm.storage import written
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +62,39 @@ def test_run_over_whole_tables(spark, tmp_path):
     for r in docs:
         by_text.setdefault(r["text"], []).append(r["doc_id"])
     assert all(len(clean & set(ids)) <= 1 for ids in by_text.values())
+
+
+def test_memory_of_python_workers(spark, monkeypatch):
+    """A stage has one Python step, so a task one worker; the sample comes without Python rows; a batch's texts are not all held again as strings."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sets = docs.mapInArrow(minhash_dedup._sets, "doc_id long, n_shingles long, digest binary, signature binary")
+    edges = minhash_dedup.candidate_edges(written(sets.selectExpr("doc_id node", "signature").where("signature is not null"), "worker-sets"))
+    plans = []
+    keep = lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), written(df, label))[1]
+    monkeypatch.setattr(graph, "written", keep)
+    graph.connected_components(edges, already=True)
+    below = plans[0].split("+- Exchange", 1)[1].split("Exchange", 1)[0]
+    assert below.count("MapInArrow") == 1, plans[0]
+
+    rows_of, made = type(spark).createDataFrame, []
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: (made.append(type(data)), rows_of(self, data, *a, **b))[1])
+    toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert made == [pa.Table]
+
+    class Fitted:
+        def compressors(self):
+            return ()
+
+        def score(self, x):
+            return x[:, 0]
+
+    monkeypatch.setattr(toxicity, "features", lambda text, pair: np.array([float(len(text))]))
+    texts = pa.array(["x" * 4000, None, "", "é" * 2000] * 2500)
+    tracemalloc.start()
+    try:
+        out = pa.concat_arrays(toxicity._scores(iter([texts, texts[:0]]), Fitted()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out.to_pylist() == [4000.0, 0.0, 0.0, 4000.0] * 2500
+    assert most < 6 << 20, most

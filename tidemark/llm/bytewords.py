@@ -7,10 +7,11 @@ the bytes, so every executor and every rerun agrees.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -97,6 +98,30 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def row_runs(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Rows ``lo:hi`` at a time, of about ``size`` bytes together; one longer text comes alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def tidy(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``f`` over a task's batches, after which Arrow and the C library give back what they hold unused: Spark keeps workers for later tasks, as part of the executor."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return run
+
+
 def word_chunks(texts: pa.Array, lower: bool = False, size: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
     """Rows ``lo:hi`` at a time, about ``size`` bytes together (one longer text comes alone), with their words."""
     data, offsets = buffers(texts)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, buffers
+from .bytewords import LOWER, buffers, tidy
 
 Q = 8
 #: Edits allowed, as a share of the item's length: q-gram bound above 0 needs less than 1 / Q.
@@ -250,7 +250,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 row = pa.array(columns[0], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["doc_id", "item_id", "start", "end", "edits"])
 
-        part = rows.mapInArrow(scan, "doc_id long, item_id long, start long, end long, edits long")
+        part = rows.mapInArrow(tidy(scan), "doc_id long, item_id long, start long, end long, edits long")
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], "doc_id long, item_id long, start long, end long, edits long") if found is None else found
 
@@ -263,8 +263,9 @@ def _is_clean(index):
             clean[[hit[0] for hit in hits_of(column, known)]] = False
             yield pa.array(clean)
 
-    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "boolean")
+    tidied = tidy(run)
+    tidied.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(tidied, "boolean")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import mixed, shingle_sets
+from .bytewords import mixed, shingle_sets, tidy
 from .cells import Forest, grouped_batches, near_pairs, with_cells
-from .graph import connected_components
+from .graph import connected_components, contracted
 from .storage import is_empty, written
 
 WIDTH = 5
@@ -91,7 +91,7 @@ def _sketch_sum(group: pa.Table) -> pa.Table:
 
 def value_frequencies(sets: DataFrame) -> np.ndarray:
     """Counts of (coordinate, value) pairs by slot: ``SLOTS`` numbers, however many documents there are."""
-    parts = sets.select("signature").mapInArrow(_sketch, "part long, counts binary").groupBy("part").applyInArrow(_sketch_sum, "part long, counts binary")
+    parts = sets.select("signature").mapInArrow(tidy(_sketch), "part long, counts binary").groupBy("part").applyInArrow(_sketch_sum, "part long, counts binary")
     out = np.zeros((SLOTS // 1024, 1024), np.int64)
     for row in parts.collect():  # at most SLOTS / 1024 rows
         out[row["part"]] = np.frombuffer(row["counts"], np.int64)
@@ -114,7 +114,7 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_edges(sets: DataFrame) -> DataFrame:
-    """``u``, ``v``: a spanning forest of the candidate pairs, from ``node`` and ``signature``."""
+    """``u``, ``v``: a spanning forest of the candidate pairs, from ``node`` and ``signature``, contracted in each task."""
     spark = sets.sparkSession
     frequencies = spark.sparkContext.broadcast(value_frequencies(sets))
     prefix = COORDINATES - MATCHES + 1
@@ -127,11 +127,11 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
                 first = np.take_along_axis(keys, order, 1).ravel().view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.repeat(batch["node"].to_numpy(), prefix))], ["key", "node"])
 
-    postings = sets.select("node", "signature").mapInArrow(post, "key long, node long")
+    postings = sets.select("node", "signature").mapInArrow(tidy(post), "key long, node long")
     lists = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = with_cells(postings.join(lists, "key"), F.col("n"), BLOCK, F.col("node")).join(sets.select("node", "signature"), "node")
     shared = shared.select("key", "cell", "node", "signature").repartition("key", "cell").sortWithinPartitions("key", "cell")
-    return shared.mapInArrow(_collisions, "u long, v long")
+    return shared.mapInArrow(tidy(contracted(_collisions)), "u long, v long")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +176,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 def _in_cells(members: DataFrame) -> DataFrame:
     cells = members.select("component", "cell", "node", "text").repartition("component", "cell").sortWithinPartitions("component", "cell")
-    return cells.mapInArrow(_confirmed, "u long, v long")
+    return cells.mapInArrow(tidy(contracted(_confirmed)), "u long, v long")
 
 
 def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -186,7 +186,7 @@ def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
     in a group of copies that ties nearly all of them together. After that only blocks that are not parts of one
     component meet, so a large group costs its stragglers times its size, not its square.
     """
-    classes = connected_components(candidate_edges(sets), "minhash-candidates")
+    classes = connected_components(candidate_edges(sets), "minhash-candidates", already=True)
     sizes = written(classes.groupBy("component").agg(F.count("*").alias("n")), "minhash-sizes")  # written: the join's own exchange can split a hot class
     # a merge join at every size: the members grow with the corpus and are not for broadcasting
     members = classes.join(sizes, "component").hint("merge").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
@@ -199,7 +199,7 @@ def confirmed_edges(sets: DataFrame, docs: DataFrame) -> DataFrame:
     large = members.where(F.col("n") > CLASS_BLOCK)
     if is_empty(large):
         return links
-    parts = large.join(connected_components(links, "minhash-pivots").withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    parts = large.join(connected_components(links, "minhash-pivots", already=True).withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     counts = parts.groupBy("component", "part").agg(F.count("*").alias("held")).where(F.col("held") > CLASS_BLOCK)
     parts = parts.join(counts, ["component", "part"], "left")
     # a block is a slice of one large part, or of all that is in no large part
@@ -224,12 +224,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id. Other columns are ignored. An empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    sets = written(docs.mapInArrow(_sets, "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-sets")
+    sets = written(docs.mapInArrow(tidy(_sets), "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-sets")
     distinct = sets.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     distinct = written(distinct.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "minhash-distinct")
     same_id = sets.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).join(distinct.select("digest", "node"), "digest")
     links = confirmed_edges(distinct, docs)
-    components = connected_components(links, "minhash-links")
+    components = connected_components(links, "minhash-links", already=True)
     nodes = same_id.select("doc_id", "digest", "node", "n_shingles").join(components, "node", "left")
     found = nodes.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     alone = sets.where(F.col("digest").isNull() | F.col("doc_id").isNull())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import Words, word_chunks
+from .bytewords import Words, row_runs, tidy, word_chunks
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -383,12 +383,12 @@ def find(docs: DataFrame) -> DataFrame:
     field = docs.sparkSession.sparkContext.broadcast(train())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [([sum(k == j for _, _, k in base) for j in range(4)], joined(base), joined(spans)) for base, spans in all_spans(batch["text"], field.value)]
+        for part in (batch.slice(lo, hi - lo) for batch in batches for lo, hi in row_runs(batch["text"])):
+            rows = [([sum(k == j for _, _, k in base) for j in range(4)], joined(base), joined(spans)) for base, spans in all_spans(part["text"], field.value)]
             counts = [pa.array([r[0][j] for r in rows], pa.int64()) for j in range(4)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *counts, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
+            yield pa.RecordBatch.from_arrays([part["doc_id"], *counts, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -396,12 +396,13 @@ def redacted(docs: DataFrame) -> DataFrame:
     field = docs.sparkSession.sparkContext.broadcast(train())
 
     def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
-            pairs = zip(column.to_pylist(), all_spans(column, field.value), strict=True)
+        for part in (column.slice(lo, hi - lo) for column in texts for lo, hi in row_runs(column)):
+            pairs = zip(part.to_pylist(), all_spans(part, field.value), strict=True)
             yield pa.array([None if t is None else redact(t, spans) if spans else t for t, (_, spans) in pairs], pa.string())
 
-    clean.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    out = docs.withColumn("text", F.arrow_udf(clean, "string")("text"))
+    run = tidy(clean)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    out = docs.withColumn("text", F.arrow_udf(run, "string")("text"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, mixed
+from .bytewords import LOWER, mixed, row_runs, tidy
 from .storage import is_empty, unused
 
 TOXIC_ROWS = 1500
@@ -247,7 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 picked.append((r["doc_id"], label, r["size"]))
         if n < LEAST:
             raise ValueError(f"labels exist, but only {n} texts of class {label} fit the sample; a model needs {LEAST}")
-    sample = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, size int")
+    # an Arrow table: rows would start Python workers of another kind in every executor
+    ids, classes, sizes = zip(*picked, strict=True)
+    sample = docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(ids, pa.int64()), "toxic": pa.array(classes, pa.int32()), "size": pa.array(sizes, pa.int32())}))
     rows = texts.join(F.broadcast(sample), ["doc_id", "size"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     table = rows.toArrow()
     order = np.argsort([zlib.crc32(f"fit{i}".encode()) for i in table["doc_id"].to_pylist()], kind="stable")
@@ -271,6 +273,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return model
 
 
+def _scores(texts: Iterator[pa.Array], model: Model) -> Iterator[pa.Array]:
+    """Scores of all texts, of about a megabyte of them at a time: a batch may hold many, and as Python strings they would be held twice."""
+    pair = model.compressors()
+    for column in texts:
+        for lo, hi in row_runs(column):
+            x = [features((t or "").encode(), pair) for t in column.slice(lo, hi - lo).to_pylist()]
+            yield pa.array(model.score(np.array(x)), pa.float64())
+
+
 def scored(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
     """``docs`` with a column ``name`` in 0..1, in place of one that has this name. Null and empty texts, like any text without savings, score half of ``THRESHOLD`` at most; without a model all score 0.
 
@@ -279,14 +290,8 @@ def scored(docs: DataFrame, model: Model | None, name: str = "score") -> DataFra
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pair = shared.value.compressors()
-        for column in texts:
-            x = [features((t or "").encode(), pair) for t in column.to_pylist()]
-            yield pa.array(shared.value.score(np.array(x)) if x else [], pa.float64())
-
-    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    run = tidy(lambda texts: _scores(texts, shared.value))
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(name, F.arrow_udf(run, "double")("text"))
 
 
