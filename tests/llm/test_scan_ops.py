@@ -10,6 +10,7 @@ import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -346,3 +347,70 @@ def test_tree_levels_leave_the_disk(spark):
     docs = spark.createDataFrame([(n, "some words of a text " * (1 + n % 3)) for n in range(20)], "doc_id long, text string")
     assert ctw.model_scores(docs).where("score < 0").count() == 20
     assert set(glob.glob(level)) == before and glob.glob(f"{root}/ctw-lengths-*")
+
+
+def test_context_tree_in_pieces(monkeypatch):
+    """Counts and sums of texts that are cut into pieces, handed on early and looked up in crowded tables are those of whole texts."""
+    monkeypatch.setattr(ctw, "PIECE", 7)
+    monkeypatch.setattr(ctw, "FLUSH", 16)
+    rng = np.random.default_rng(3)
+    texts = ["", None, "A b", "abcd", "", "word " * 9, "é", "x" * 30, "a  b\tc", *["".join(rng.choice(list("aB c"), n)) for n in rng.integers(0, 40, 40)], ""]
+    held = [i % 3 == 1 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(held)], ["doc_id", "text", "held_out"])
+    grams = []
+    for t in texts:
+        b = bytes(ctw.DEPTH) + (t or "").lower().encode()
+        grams.append([int.from_bytes(b[p - ctw.DEPTH : p + 1], "big") for p in range(ctw.DEPTH, len(b))])
+    want, got, batches = defaultdict(int), defaultdict(int), 0
+    for keys, out in zip(grams, held, strict=True):
+        for k in keys:
+            want[k] += not out
+    words = 0
+    for part in ctw._gather(iter([batch, batch.slice(0, 0)])):
+        batches += 1
+        assert 0 < part.num_rows <= 7
+        for kind, key, n in zip(*part.to_pydict().values(), strict=True):
+            if kind == 0:
+                got[key] += n
+            words += n * (kind == 1)
+    assert got == want and batches > 10
+    assert words == sum(len((t or "").split()) for t, out in zip(texts, held, strict=True) if not out)
+
+    known = {k: -1.0 - k % 7 for i, k in enumerate(sorted(want)) if i % 3}
+    arrays = np.array(list(known), np.uint64), np.array(list(known.values()))
+
+    class Shared:
+        value = (arrays, (np.zeros(0, np.uint64), np.zeros(0)))
+
+    rows = [r for part in ctw._scored(Shared)(iter([batch])) for r in part.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts))) and len({r["row"] for r in rows}) == len(rows)
+    for r, keys, t in zip(rows, grams, texts, strict=True):
+        assert math.isclose(r["gram_sum"], sum(known.get(k, 0.0) for k in keys)) and r["grams"] == [k for k in keys if k not in known]
+        assert r["known"] == 0 and r["n_words"] == len(r["words"]) == len((t or "").split())
+    full = np.arange(1, 5000, dtype=np.uint64) * np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))  # all at home in the first slot
+    values, hit = ctw.Lookup(full, np.arange(4999.0))(np.r_[full[::-1], np.array([0], np.uint64)])
+    assert hit[:-1].all() and not hit[-1] and (values[:-1] == np.arange(4999.0)[::-1]).all()
+
+
+@pytest.mark.parametrize("rows", [1000, 1])
+def test_context_tree_memory_of_a_task(rows):
+    """Counting and scoring hold the text, a bounded number of counts and a piece's numbers: short texts or a long one."""
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 123, (rows, (4 << 20) // rows), dtype=np.uint8)
+    data[:, ::9] = 32
+    texts = [r.tobytes().decode() for r in data]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array(texts), pa.array([False] * rows)], ["doc_id", "text", "held_out"])
+    keys = rng.integers(1, 1 << 48, 1 << 20, dtype=np.uint64)
+    seen = np.unique(ctw.LOWER[data].ravel())
+
+    class Shared:
+        value = ((np.unique(keys), np.zeros(len(np.unique(keys)))), (seen.astype(np.uint64), np.zeros(len(seen))))
+
+    for f, most in ((ctw._gather, 110), (ctw._scored(Shared), 120)):
+        tracemalloc.start()
+        try:
+            assert sum(part.num_rows for part in f(iter([batch]))) >= rows
+            peak = tracemalloc.get_traced_memory()[1] >> 20
+        finally:
+            tracemalloc.stop()
+        assert peak < most, peak

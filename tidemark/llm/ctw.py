@@ -23,37 +23,44 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, Words, buffers
+from .bytewords import LOWER, Words, buffers, tidy
 from .storage import dropped, written
 from .toxicity import held_out
 
 DEPTH = 5
 HEAD = 1 << 20
-#: Distinct entries that a task holds before it hands its counts on.
-FLUSH = 1 << 22
+#: Entries that a task holds before it merges them; if over three quarters are distinct, it hands its counts on.
+FLUSH = 1 << 20
+#: Bytes of text, and rows of counts, that are worked on at a time.
+PIECE = 1 << 18
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _chunks(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows ``lo:hi``, their lower-cased bytes and offsets."""
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows ``lo:hi``, about ``PIECE`` bytes together (one longer text comes alone), their lower-cased bytes and offsets."""
     data, offsets = buffers(batch["text"])
     lo = 0
     while lo < batch.num_rows:
-        hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1))
+        hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PIECE, "right")) - 1))
         yield lo, hi, LOWER[data[offsets[lo] : offsets[hi]]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
 
-def context_grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each byte: the ``DEPTH`` bytes before it (zeros before a text's start) and itself, packed, itself lowest."""
-    rows = np.diff(offsets)
-    place = np.arange(len(data)) + DEPTH * np.repeat(np.arange(1, len(rows) + 1), rows)
-    padded = np.zeros(len(data) + DEPTH * len(rows), np.uint64)
-    padded[place] = data
-    out = padded.copy()
-    for k in range(1, DEPTH + 1):
-        out[k:] |= padded[: len(padded) - k] << np.uint64(8 * k)
-    return out[place]
+def context_grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each byte: the ``DEPTH`` bytes before it (zeros before a text's start) and itself, packed, itself lowest; with their place, ``PIECE`` at a time."""
+    for lo in range(0, len(data), PIECE):
+        hi = min(len(data), lo + PIECE)
+        before = min(lo, DEPTH)
+        padded = np.zeros(DEPTH + hi - lo, np.uint64)
+        padded[DEPTH - before :] = data[lo - before : hi]
+        out = padded[DEPTH:].copy()
+        for k in range(1, DEPTH + 1):
+            out |= padded[DEPTH - k : len(padded) - k] << np.uint64(8 * k)
+        starts = offsets[np.searchsorted(offsets, lo - DEPTH) : np.searchsorted(offsets, hi)]
+        for k in range(DEPTH):
+            near = starts + k
+            out[near[(near >= lo) & (near < hi)] - lo] &= np.uint64((1 << (8 * k + 8)) - 1)
+        yield lo, out
 
 
 def _counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,22 +75,36 @@ class Counter:
     def __init__(self):
         self.keys, self.counts, self.held = [], [], 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> bool:
+        """Whether the counts have to be handed on."""
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
         if self.held > FLUSH:
             self.merge()
+            return self.held > FLUSH * 3 // 4
+        return False
 
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+    def merge(self) -> None:
         keys = np.concatenate([np.zeros(0, np.uint64), *self.keys])
-        counts = np.concatenate([np.zeros(0, np.int64), *self.counts])
+        self.keys = []
         order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
+        keys = keys[order]
+        counts = np.concatenate([np.zeros(0, np.int64), *self.counts])
+        self.counts = []
+        counts = counts[order]
+        del order
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        out = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
-        self.keys, self.counts, self.held = [out[0]], [out[1]], len(out[0])
-        return out
+        self.counts = [np.add.reduceat(counts, starts) if len(starts) else counts]
+        self.keys, self.held = [keys[starts]], len(starts)
+
+    def taken(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All merged counts, ``PIECE`` at a time; the counter is empty then."""
+        self.merge()
+        (keys,), (counts,) = self.keys, self.counts
+        self.__init__()
+        for lo in range(0, len(keys), PIECE):
+            yield keys[lo : lo + PIECE], counts[lo : lo + PIECE]
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,30 +112,29 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     grams, words = Counter(), Counter()
     tokens = texts = 0
 
-    def out(kind: int, counter: Counter) -> pa.RecordBatch:
-        keys, counts = counter.merge()
-        counter.__init__()
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], ["kind", "key", "n"])
+    def out(kind: int, counter: Counter) -> Iterator[pa.RecordBatch]:
+        for keys, counts in counter.taken():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], ["kind", "key", "n"])
 
     for batch in batches:
         held = batch["held_out"].to_numpy(zero_copy_only=False).astype(bool)
         for lo, hi, data, offsets in _chunks(batch):
-            g = context_grams(data, offsets)
             own = np.repeat(held[lo:hi], np.diff(offsets))
-            for part, train in ((g[~own], 1), (g[own], 0)):
-                keys, counts = _counted(part)
-                grams.add(keys, counts * train)
+            for at, g in context_grams(data, offsets):
+                mine = own[at : at + len(g)]
+                for part, train in ((g[~mine], 1), (g[mine], 0)):
+                    keys, counts = _counted(part)
+                    if grams.add(keys, counts * train):
+                        yield from out(0, grams)
             w = Words(data, offsets)
             train = ~held[lo:hi]
             h = w.hashes()[np.repeat(train, np.diff(w.first))]
-            words.add(*_counted(h))
+            if words.add(*_counted(h)):
+                yield from out(1, words)
             tokens += len(h) + int(train.sum())
             texts += int(train.sum())
-        for kind, counter in ((0, grams), (1, words)):
-            if counter.held > FLUSH:
-                yield out(kind, counter)
-    yield out(0, grams)
-    yield out(1, words)
+    yield from out(0, grams)
+    yield from out(1, words)
     yield pa.RecordBatch.from_arrays([pa.array([2, 2], pa.int32()), pa.array([0, 1], pa.int64()), pa.array([tokens, texts], pa.int64())], ["kind", "key", "n"])
 
 
@@ -171,40 +191,52 @@ def code_lengths(grams: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """Values of 64-bit keys in an open hash table of two arrays."""
+    """Values of distinct 64-bit keys: an open hash table holds their places in the two arrays, which are not copied."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
         bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values, self.used = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits), np.zeros(1 << bits, bool)
-        at = ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
-        todo = np.arange(len(keys))
-        while len(todo):
-            free = todo[~self.used[at[todo]]]
-            _, first = np.unique(at[free], return_index=True)
-            put = free[first]
-            self.keys[at[put]], self.values[at[put]], self.used[at[put]] = keys[put], values[put], True
-            done = np.zeros(len(keys), bool)
-            done[put] = True
-            todo = todo[~done[todo]]
-            at[todo] = (at[todo] + 1) & self.mask
+        self.shift = np.uint64(64 - bits)
+        home = ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
+        order = np.argsort(home)
+        at = home[order] - np.arange(len(keys))
+        at = np.maximum.accumulate(at) + np.arange(len(keys))  # its own slot, or the one after the key before it
+        self.slots = np.full(max(1 << bits, int(at[-1]) + 1 if len(at) else 0) + 1, -1, np.int32)
+        self.slots[at] = order
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values (0 where absent) and whether each key is there."""
-        at = ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
         out, known = np.zeros(len(keys)), np.zeros(len(keys), bool)
-        hit = (self.keys[at] == keys) & self.used[at]
-        out[hit], known[hit] = self.values[at[hit]], True
-        todo = np.flatnonzero(~hit & self.used[at])
+        at = ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
+        slot = self.slots[at]
+        todo = np.flatnonzero(slot >= 0)
+        slot = slot[todo]
         while len(todo):
-            at[todo] = (at[todo] + 1) & self.mask
-            slot = at[todo]
-            hit = self.used[slot] & (self.keys[slot] == keys[todo])
+            hit = self.keys[slot] == keys[todo]
             out[todo[hit]], known[todo[hit]] = self.values[slot[hit]], True
-            todo = todo[~hit & self.used[slot]]
+            todo = todo[~hit]
+            at[todo] += 1
+            slot = self.slots[at[todo]]
+            todo, slot = todo[slot >= 0], slot[slot >= 0]
         return out, known
 
 
+def _summed(look: Lookup, pieces: Iterator[tuple[int, np.ndarray]], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """Sums of the values of ``keys[bounds[i]:bounds[i + 1]]``, how many are known, and those that are not; keys come in pieces with their place."""
+    rows = len(bounds) - 1
+    total, found, absent = np.zeros(rows), np.zeros(rows, np.int64), [np.zeros(0, np.int64)]
+    for at, keys in pieces:
+        values, known = look(keys)
+        first, last = np.searchsorted(bounds, at, "right") - 1, np.searchsorted(bounds, at + len(keys))
+        own = np.clip(bounds[first : last + 1] - at, 0, len(keys))
+        sums, hits = np.r_[0.0, np.cumsum(values)], np.r_[0, np.cumsum(known)]
+        total[first:last] += sums[own[1:]] - sums[own[:-1]]
+        found[first:last] += hits[own[1:]] - hits[own[:-1]]
+        absent.append(keys[~known].view(np.int64))
+    cut = np.r_[0, np.cumsum(np.diff(bounds) - found)]
+    return total, found, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(absent)))
+
+
 def _head(table: DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
     """Keys and values of the most frequent rows, ``HEAD`` at most, and whether rows are left. Equal counts go together."""
     sizes = table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).limit(HEAD).toArrow()  # as arrays, not as rows
@@ -221,26 +253,14 @@ def _scored(shared):
         context = TaskContext.get()
         serial = (context.partitionId() if context else 0) << 40
         for batch in batches:
-            columns: dict[str, list] = {k: [] for k in ("n_words", "known", "word_sum", "gram_sum", "words", "grams")}
             for lo, hi, data, offsets in _chunks(batch):
                 w = Words(data, offsets)
-                h = w.hashes()
-                for name, keys, bounds, look in (("gram", context_grams(data, offsets), offsets, by_gram), ("word", h, w.first, by_word)):
-                    values, known = look(keys)
-                    sums = np.r_[0.0, np.cumsum(values)]
-                    columns[f"{name}_sum"].append(sums[bounds[1:]] - sums[bounds[:-1]])
-                    absent = np.flatnonzero(~known)
-                    cut = np.searchsorted(absent, bounds)
-                    columns[f"{name}s"].append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(keys[absent].view(np.int64))))
-                    if name == "word":
-                        hits = np.r_[0, np.cumsum(known)]
-                        columns["known"].append(hits[bounds[1:]] - hits[bounds[:-1]])
-                columns["n_words"].append(np.diff(w.first))
-            n = batch.num_rows
-            if n:
-                arrays = [pa.array(serial + np.arange(n)), batch["doc_id"], batch["held_out"], *[pa.concat_arrays(v) if isinstance(v[0], pa.Array) else pa.array(np.concatenate(v)) for v in columns.values()]]
-                serial += n
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "held_out", *columns])
+                gram_sum, _, grams = _summed(by_gram, context_grams(data, offsets), offsets)
+                word_sum, known, words = _summed(by_word, iter([(0, w.hashes())]), w.first)
+                row = pa.array(serial + np.arange(hi - lo))
+                serial += hi - lo
+                arrays = [row, *(batch[k].slice(lo, hi - lo) for k in ("doc_id", "held_out")), *map(pa.array, (np.diff(w.first), known, word_sum, gram_sum)), words, grams]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "held_out", "n_words", "known", "word_sum", "gram_sum", "words", "grams"])
 
     return run
 
@@ -255,7 +275,7 @@ def model_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", (held_out(F.col("doc_id"), 5, 1) if held is None else F.coalesce(held, F.lit(False))).alias("held_out"))
-    counts = rows.select("text", "held_out").mapInArrow(_gather, "kind int, key long, n long")
+    counts = rows.select("text", "held_out").mapInArrow(tidy(_gather), "kind int, key long, n long")
     counts = written(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
     totals = {r["key"]: r["n"] for r in counts.where("kind = 2").collect()}
     tokens, ends = totals.get(0, 0), totals.get(1, 0)
@@ -266,7 +286,7 @@ def model_scores(docs: DataFrame, held: Column | None = None) -> DataFrame:
     word_keys, word_values, _ = _head(words)
     shared = spark.sparkContext.broadcast(((gram_keys, gram_values), (word_keys, word_values)))
     schema = "row long, doc_id long, held_out boolean, n_words long, known long, word_sum double, gram_sum double, words array<long>, grams array<long>"
-    out = written(rows.mapInArrow(_scored(shared), schema), "ctw-scored")
+    out = written(rows.mapInArrow(tidy(_scored(shared)), schema), "ctw-scored")
 
     def rest(column: str, table: DataFrame, absent: float) -> DataFrame:
         """Sums over what the head lacks: entries counted per row, joined with the table, added up."""
